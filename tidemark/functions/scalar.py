@@ -130,3 +130,21 @@ def merge_maps_right_wins(left: Column | str, right: Column | str) -> Column:
     r = _c(right)
     l_only = F.map_filter(_c(left), lambda k, _v: ~F.array_contains(F.map_keys(r), k))
     return F.map_concat(l_only, r)
+
+
+# Ordering key for arg-min / arg-max aggregates -----------------------------------
+_ID_SHIFT = 2 ** 63          # maps any BIGINT id onto [0, 2^64)
+_ID_SPAN = 10 ** 20          # > 2^64, so ids never carry into the time part
+
+
+def order_key(ts_col: Column | str, id_col: Column | str) -> Column:
+    """``(ts, id)`` packed into one ``DECIMAL(38,0)`` that sorts the same way.
+
+    A single fixed-size, in-place-updatable value keeps ``min``/``min_by``
+    on the hash-aggregate path (a struct ordering forces a sort aggregate)
+    while still breaking ties on the id deterministically.  Valid for
+    ``|ts| < 10^17`` — epoch milliseconds until far beyond year 3000000.
+    """
+    dec = "decimal(38,0)"
+    span, shift = F.lit(str(_ID_SPAN)).cast(dec), F.lit(str(_ID_SHIFT)).cast(dec)
+    return (_c(ts_col).cast(dec) * span + (_c(id_col).cast(dec) + shift)).cast(dec)

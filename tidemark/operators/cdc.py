@@ -116,15 +116,24 @@ def project_columns(routed: DataFrame) -> DataFrame:
 
 
 # R3 ------------------------------------------------------------------------------------------
-def route(projected: DataFrame) -> dict[str, DataFrame]:
-    """Split by the rule's sink type: ``kafka`` (main output), ``hbase``
-    (dimension output), anything else ``dropped`` (counted, not written)."""
+KNOWN_SINKS = (S.SINK_TYPE_KAFKA, S.SINK_TYPE_HBASE)
+
+
+def with_branch(projected: DataFrame) -> DataFrame:
+    """Label every record with its output: the sink type when it is a known
+    one (``kafka`` main output, ``hbase`` dimension output), else
+    ``dropped``.  One pass; writers split on the label."""
     st = F.col("sink_type")
-    return {
-        S.SINK_TYPE_KAFKA: projected.filter(st == S.SINK_TYPE_KAFKA),
-        S.SINK_TYPE_HBASE: projected.filter(st == S.SINK_TYPE_HBASE),
-        "dropped": projected.filter(st.isNull() | ~st.isin(S.SINK_TYPE_KAFKA, S.SINK_TYPE_HBASE)),
-    }
+    return projected.withColumn(
+        "branch", F.when(st.isin(*KNOWN_SINKS), st).otherwise(F.lit("dropped")))
+
+
+def route(projected: DataFrame) -> dict[str, DataFrame]:
+    """Split by the rule's sink type: ``kafka``, ``hbase``; anything else is
+    ``dropped`` (counted, not written)."""
+    labelled = with_branch(projected)
+    return {b: labelled.filter(F.col("branch") == b).drop("branch")
+            for b in (*KNOWN_SINKS, "dropped")}
 
 
 def data_as_json(data_col: str = "data") -> Column:

@@ -56,15 +56,15 @@ def parse_app_log(text: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 # A1 / A2 / A3 / P13 --------------------------------------------------------------
-def first_per_key(df: DataFrame, key: Column | str, order_cols: list[str],
+def first_per_key(df: DataFrame, key: Column | str, ts_col: str,
                   id_col: str) -> DataFrame:
-    """Id of the earliest record of every key, ordered by ``order_cols``
-    (stable tie-break: the record id is the last order column)."""
+    """Id of the earliest record of every key: smallest ``ts``, ties broken by
+    the smaller record id.  A hash aggregate (``min_by`` over a packed
+    fixed-size ordering key) with map-side partial aggregation."""
     k = F.col(key) if isinstance(key, str) else key
-    order = [c for c in order_cols if c != id_col] + [id_col]
-    first = F.min(F.struct(*[F.col(c) for c in order])).alias("_first")
-    return (df.groupBy(k.alias("_key")).agg(first)
-            .select(F.col(f"_first.{id_col}").alias("_first_id")))
+    return (df.groupBy(k.alias("_key"))
+            .agg(F.min_by(F.col(id_col), fn.order_key(ts_col, id_col)).alias("_first_id"))
+            .select("_first_id"))
 
 
 def flag_new_visitors(log: DataFrame, mid: Column | None = None,
@@ -76,7 +76,7 @@ def flag_new_visitors(log: DataFrame, mid: Column | None = None,
     a known visitor; its stated rule keeps them).
     """
     mid = mid if mid is not None else F.col("common.mid")
-    firsts = first_per_key(log, mid, [ts_col], id_col)
+    firsts = first_per_key(log, mid, ts_col, id_col)
     joined = log.join(firsts, F.col(id_col) == F.col("_first_id"), "left")
     flag = F.when(F.col("_first_id").isNotNull(), F.lit("1")).otherwise(F.lit("0"))
     return (joined.withColumn("common", fn.with_is_new("common", flag))
@@ -175,12 +175,12 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
     w = Window.partitionBy("_mid", "_b").orderBy(ts_col, id_col)
     starts = (base.withColumn("_next", F.lead(nxt).over(w))
               .filter(F.col("_entry")))
+    key = fn.order_key(ts_col, id_col)
     firsts = (base.groupBy("_mid", "_b")
-              .agg(F.min(F.struct(F.col(ts_col).alias("ts"), F.col(id_col).alias("id"),
-                                  F.col("_ok").alias("ok"))).alias("_f"))
+              .agg(F.min_by(F.col(ts_col), key).alias("_fts"),
+                   F.min_by(F.col("_ok"), key).alias("_fok"))
               .select("_mid", (F.col("_b") - 1).alias("_b"),
-                      F.struct(F.col("_f.ts").alias("ts"),
-                               F.col("_f.ok").alias("ok")).alias("_nb")))
+                      F.struct(F.col("_fts").alias("ts"), F.col("_fok").alias("ok")).alias("_nb")))
     j = starts.join(firsts, ["_mid", "_b"], "left")
     next_ts = F.coalesce(F.col("_next.ts"), F.col("_nb.ts"))
     next_ok = F.coalesce(F.col("_next.ok"), F.col("_nb.ok"))

@@ -95,8 +95,7 @@ def cdc_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def rule_route(spark: SparkSession, sf: str) -> DataFrame:
     projected = cdc.project_columns(_with_latest_rules(spark, sf))
-    branches = cdc.route(projected)
-    kept = branches[S.SINK_TYPE_KAFKA].unionByName(branches[S.SINK_TYPE_HBASE])
+    kept = cdc.with_branch(projected).filter(F.col("branch") != "dropped")
     return kept.select("source_table", "ts", F.col("operate_type").alias("op"),
                        "sink_type", "sink_table", F.size("data").alias("n_columns"))
 
