@@ -38,8 +38,13 @@ def create_hour(create_time: Column | str) -> Column:
 
 
 def create_ts(create_time: Column | str) -> Column:
-    """Epoch milliseconds of the date-time text."""
-    return F.unix_millis(parse_datetime(create_time))
+    """Epoch milliseconds of the ``yyyy-MM-dd HH:mm:ss`` text.
+
+    A cast uses Spark's built-in timestamp parser (several times faster than
+    a pattern formatter) and gives the same instant for this layout; text
+    that is not a date-time gives null.
+    """
+    return F.unix_millis(_c(create_time).try_cast("timestamp"))
 
 
 # F3 ----------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.functions import scalar as fn
 from tidemark.operators.joins import checked_broadcast
+from tidemark.operators.logs import parse_where
 
 RULE_KEY = ["source_table", "operate_type"]
 # changelog kinds that add a row (retractions and deletes do not)
@@ -31,16 +32,17 @@ def clean_changes(text: DataFrame, ops: tuple[str, ...] = ("insert",),
     ``database``, ``table``, ``type``, ``data`` present, ``type`` contains one
     of ``ops`` and the text of ``data`` is longer than 10 characters."""
     data_text = F.get_json_object(F.col(value_col), "$.data")
-    parsed = text.select(
-        F.from_json(F.col(value_col), S.CHANGE).alias("r"),
-        F.length(data_text).alias("_data_len"))
-    op_ok = F.lit(False)
-    for op in ops:
-        op_ok = op_ok | F.col("r.type").contains(op)
-    keep = (F.col("r.database").isNotNull() & F.col("r.table").isNotNull()
-            & F.col("r.type").isNotNull() & F.col("r.data").isNotNull()
-            & op_ok & (F.col("_data_len") > 10))
-    return parsed.filter(keep).select("r.*")
+    rec = F.struct(F.from_json(F.col(value_col), S.CHANGE).alias("r"),
+                   F.length(data_text).alias("data_len"))
+
+    def keep(x: Column) -> Column:
+        r = x["r"]
+        op_ok = F.lit(False)
+        for op in ops:
+            op_ok = op_ok | r["type"].contains(op)
+        return (r["database"].isNotNull() & r["table"].isNotNull() & r["type"].isNotNull()
+                & r["data"].isNotNull() & op_ok & (x["data_len"] > 10))
+    return parse_where(text, rec, keep).select("r.*")
 
 
 # P5 ----------------------------------------------------------------------------------

@@ -30,16 +30,38 @@ def parse_json(text: DataFrame, schema: T.StructType, value_col: str = "value",
                keep_corrupt: bool = True) -> DataFrame:
     """JSON text -> typed columns with an explicit schema (PERMISSIVE).
 
-    Text that is not a JSON object keeps its raw value in ``_corrupt_record``
-    (all other fields null) so it can be sent to a quarantine output instead
-    of failing the job.
+    With ``keep_corrupt`` text that is not a JSON object keeps its raw value
+    in ``_corrupt_record`` (all other fields null) so it can be sent to a
+    quarantine output instead of failing the job.  Without it the cheaper
+    plain parse is used and records with no field at all are dropped.
     """
-    sch = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = text.select(F.from_json(
-        F.col(value_col), sch,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
-    out = parsed.select("r.*")
-    return out if keep_corrupt else out.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    if keep_corrupt:
+        sch = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+        parsed = text.select(F.from_json(
+            F.col(value_col), sch,
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+        return parsed.select("r.*")
+    return parse_where(text, F.from_json(F.col(value_col), schema),
+                       lambda r: _any_field(r, schema.fieldNames()))
+
+
+def _any_field(r: Column, names: list[str]) -> Column:
+    cond = F.lit(False)
+    for f in names:
+        cond = cond | r[f].isNotNull()
+    return cond
+
+
+def parse_where(text: DataFrame, parsed: Column, keep) -> DataFrame:
+    """Rows of ``parsed`` (a struct expression over ``text``) for which
+    ``keep(struct)`` holds, expanded to columns.
+
+    The parse sits in a one-element generator: a plain ``filter`` over the
+    parsed fields would be pushed below any exchange to the scan and would
+    re-run the parser once per referenced field; here it runs once per row,
+    wherever the plan places it.
+    """
+    return text.select(F.inline(F.filter(F.array(parsed), keep)))
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

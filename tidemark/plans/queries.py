@@ -20,11 +20,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- log path ------------------------------------------------------------------
 def _page_log(spark, sf):
-    return P.page_log(table(spark, sf, "events"))
+    return P.page_log(table(spark, sf, "events", spread=True))
 
 
 def _flagged_log(spark, sf):
-    text = P.app_log_text(table(spark, sf, "events"))
+    text = P.app_log_text(table(spark, sf, "events", spread=True))
     return logs.flag_new_visitors(logs.parse_app_log(text))
 
 
@@ -78,7 +78,8 @@ def bounce_timeout_only(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- change-record path -------------------------------------------------------------
 def _clean(spark, sf):
-    text = P.change_log_text(table(spark, sf, "customer"), table(spark, sf, "part"))
+    text = P.change_log_text(table(spark, sf, "customer", spread=True),
+                             table(spark, sf, "part", spread=True))
     return cdc.clean_changes(text)
 
 
@@ -121,8 +122,8 @@ def dim_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- order path --------------------------------------------------------------------
 def _orders(spark, sf):
-    info = orders.with_time_fields(P.order_info(table(spark, sf, "orders")))
-    detail = orders.with_time_fields(P.order_detail(table(spark, sf, "lineitem")),
+    info = orders.with_time_fields(P.order_info(table(spark, sf, "orders", spread=True)))
+    detail = orders.with_time_fields(P.order_detail(table(spark, sf, "lineitem", spread=True)),
                                      derive_date_hour=False)
     return info, detail
 
