@@ -1,0 +1,90 @@
+"""Change records: cleaning, rules in force, as-of rules, projection, routing."""
+
+from __future__ import annotations
+
+import json
+
+from tidemark import schemas as S
+from tidemark.operators import cdc
+
+
+def _text(spark, recs):
+    return spark.createDataFrame([(json.dumps(r) if not isinstance(r, str) else r,)
+                                  for r in recs], "value string")
+
+
+DATA = {"id": "1", "name": "abcdefgh"}          # JSON text longer than 10
+
+
+def test_clean_filter(spark):
+    recs = [
+        {"database": "d", "table": "t", "type": "insert", "ts": 1, "data": DATA},
+        {"database": "d", "table": "t", "type": "bootstrap-insert", "ts": 2, "data": DATA},
+        {"database": "d", "table": "t", "type": "update", "ts": 3, "data": DATA},
+        {"database": "d", "table": "t", "type": "delete", "ts": 4, "data": DATA},
+        {"table": "t", "type": "insert", "ts": 5, "data": DATA},
+        {"database": "d", "type": "insert", "ts": 6, "data": DATA},
+        {"database": "d", "table": "t", "ts": 7, "data": DATA},
+        {"database": "d", "table": "t", "type": "insert", "ts": 8},
+        {"database": "d", "table": "t", "type": "insert", "ts": 9, "data": {"a": "12"}},   # 10 chars
+        {"database": "d", "table": "t", "type": "insert", "ts": 10, "data": {"a": "123"}},  # 11 chars
+        "garbage",
+    ]
+    got = sorted(r.ts for r in cdc.clean_changes(_text(spark, recs)).collect())
+    assert got == [1, 2, 10]
+    got = sorted(r.ts for r in cdc.clean_changes(_text(spark, recs), ops=("insert", "update"))
+                 .collect())
+    assert got == [1, 2, 3, 10]
+
+
+def _hist(spark, rows):
+    return spark.createDataFrame(rows, S.RULE_CHANGE)
+
+
+def _rule(src, op, sink_type, table, cols, pk=None):
+    return (src, op, sink_type, table, cols, pk, None)
+
+
+def test_rules_in_force_newest_added_version(spark):
+    h = _hist(spark, [
+        _rule("t", "insert", "kafka", "a", "id") + ("insert", 1, 0),
+        _rule("t", "insert", "kafka", "a", "id") + ("update_before", 2, 10),
+        _rule("t", "insert", "hbase", "b", "id,name") + ("update_after", 3, 10),
+        _rule("t", "insert", "hbase", "b", "id,name") + ("delete", 4, 20),
+        _rule("u", "insert", "kafka", "c", "id") + ("insert", 5, 0),
+    ])
+    got = {(r.source_table, r.operate_type): (r.sink_table, r.version)
+           for r in cdc.rules_in_force(h).collect()}
+    assert got == {("t", "insert"): ("b", 3), ("u", "insert"): ("c", 5)}   # delete ignored
+
+
+def test_asof_rules(spark):
+    h = _hist(spark, [
+        _rule("t", "insert", "kafka", "v1", "id") + ("insert", 1, 100),
+        _rule("t", "insert", "kafka", "v2", "id") + ("update_after", 2, 200),
+        _rule("t", "insert", "kafka", "v3", "id") + ("update_after", 3, 200),
+    ])
+    recs = [{"database": "d", "table": "t", "type": "insert", "ts": ts, "data": DATA}
+            for ts in (50, 100, 199, 200, 500)]
+    out = cdc.attach_rules_asof(cdc.clean_changes(_text(spark, recs)), h)
+    got = sorted((r.ts, r.sink_table) for r in out.collect())
+    # before the first rule: dropped; same rule_ts: the newer version wins
+    assert got == [(100, "v1"), (199, "v1"), (200, "v3"), (500, "v3")]
+
+
+def test_attach_project_route(spark):
+    rules = spark.createDataFrame([
+        _rule("t", "insert", "kafka", "topic_t", "id,name"),
+        _rule("u", "insert", "hbase", "dim_u", "id, name", "id"),
+        _rule("v", "insert", "clickhouse", "ck_v", None),
+    ], S.RULE)
+    recs = [{"database": "d", "table": tb, "type": "bootstrap-insert", "ts": i, "data": DATA}
+            for i, tb in enumerate(["t", "u", "v", "w"])]
+    matched = cdc.attach_rules(cdc.clean_changes(_text(spark, recs)), rules)
+    projected = cdc.project_columns(matched)
+    data = {r.sink_table: dict(r.data) for r in projected.collect()}
+    assert data["topic_t"] == DATA
+    assert data["dim_u"] == {"id": "1"}          # " name" is not trimmed, so not kept
+    assert data["ck_v"] == DATA                  # null column list keeps every key
+    routes = {k: sorted(r.sink_table for r in v.collect()) for k, v in cdc.route(projected).items()}
+    assert routes == {"kafka": ["topic_t"], "hbase": ["dim_u"], "dropped": ["ck_v"]}
