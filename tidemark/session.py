@@ -56,14 +56,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the submitter and points at shared storage.
-    Only when it is unset (local tests) a fresh scratch folder is created.
+    Only when it is unset (local tests) a fresh scratch folder is created and
+    registered as the context's checkpoint folder (the setting itself is
+    static and cannot be changed on a running session).
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    if path:
+        return path
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir() or path
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
