@@ -161,3 +161,13 @@ def test_daily_unique_visitors_per_record_day(spark):
                  for r in logs.daily_unique_visitors(df).collect())
     assert got == [("1", "1970-01-01", day - 1000, 0), ("1", "1970-01-02", day + 5, 3),
                    ("2", "1970-01-01", 5, 4)]
+
+
+def test_bounce_with_sql_pattern_predicates(spark):
+    """The steps as SQL text; here the default rule written out by hand."""
+    df = spark.createDataFrame(_page_rows(FIXTURE_B), PAGE_SCHEMA)
+    out = logs.bounce_visits(
+        df, 5000, emit="timeout",
+        start_when="coalesce(page.last_page_id, '') = ''",
+        next_when="page.page_id IS NOT NULL AND length(page.last_page_id) > 0")
+    assert sorted((r.common.mid, r.ts) for r in out.collect()) == [("101", 11000)]

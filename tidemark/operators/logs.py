@@ -160,9 +160,29 @@ def daily_unique_visitors(page_log: DataFrame, id_col: str = "event_id",
 
 
 # W4 / W5 / U1 (batch form) ----------------------------------------------------------
+def pattern_predicates(next_rule: str = "entry", start_when: Column | str | None = None,
+                       next_when: Column | str | None = None) -> tuple[Column, Column]:
+    """The two steps of the pattern as boolean expressions (SQL text or
+    Columns).  Defaults: start = entry page; next = entry page
+    (``next_rule="entry"``) or non-entry page (``"non_entry"``)."""
+    def as_col(x):
+        return F.expr(x) if isinstance(x, str) else x
+    start = as_col(start_when) if start_when is not None else fn.is_entry_page("page")
+    if next_when is not None:
+        nxt = as_col(next_when)
+    elif next_rule == "entry":
+        nxt = fn.is_entry_page("page")
+    elif next_rule == "non_entry":
+        nxt = fn.is_non_entry_page("page")
+    else:
+        raise ValueError("next_rule in {entry, non_entry}")
+    return F.coalesce(start, F.lit(False)), F.coalesce(nxt, F.lit(False))
+
+
 def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
                   emit: str = "both", id_col: str = "event_id",
-                  ts_col: str = "ts") -> DataFrame:
+                  ts_col: str = "ts", start_when: Column | str | None = None,
+                  next_when: Column | str | None = None) -> DataFrame:
     """Entry pages that were not followed in time: the two-step pattern
     ``start`` = entry page, strictly next event (same visitor, event-time
     order) within ``within_ms``.
@@ -172,6 +192,8 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
       band) both emit the start record; U1 is the OR of the two.
     * ``next_rule="non_entry"``, ``emit="timeout"`` (the variant): matches
       are discarded, only timeouts are emitted.
+    * ``start_when`` / ``next_when`` (SQL text or Columns) replace the two
+      step predicates (X3).
 
     A gap of exactly ``within_ms`` is a timeout.
 
@@ -182,17 +204,16 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
     and needs no look-up, so the result is exact and no window ever holds more
     than one band of one visitor's events.
     """
-    if next_rule not in ("entry", "non_entry") or emit not in ("both", "timeout"):
-        raise ValueError("next_rule in {entry, non_entry}, emit in {both, timeout}")
+    if emit not in ("both", "timeout"):
+        raise ValueError("emit in {both, timeout}")
     from pyspark.sql import Window
 
-    entry = fn.is_entry_page("page")
-    follows = entry if next_rule == "entry" else fn.is_non_entry_page("page")
+    start, follows = pattern_predicates(next_rule, start_when, next_when)
     base = (page_log
             .withColumn("_mid", F.col("common.mid"))
             .withColumn("_b", F.floor(F.col(ts_col) / F.lit(within_ms)).cast("long"))
-            .withColumn("_entry", entry)
-            .withColumn("_ok", F.coalesce(follows, F.lit(False))))
+            .withColumn("_entry", start)
+            .withColumn("_ok", follows))
     nxt = F.struct(F.col(ts_col).alias("ts"), F.col("_ok").alias("ok"))
     w = Window.partitionBy("_mid", "_b").orderBy(ts_col, id_col)
     starts = (base.withColumn("_next", F.lead(nxt).over(w))
