@@ -3,8 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is executed in full into Spark's ``noop`` sink (all rows are
-computed, nothing is collected to the driver).  One warm-up pass, then the
-timed pass.  Prints one JSON line.
+computed, nothing is collected to the driver).  One warm-up pass, then
+``BENCH_REPEAT`` (default 3) timed passes; a query's time is its median.
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -32,9 +34,14 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     for name in QUERIES:      # warm-up: JIT, file listing, Python workers
         run(name)
-    times = {name: round(run(name), 3) for name in QUERIES}
+    samples = {name: [] for name in QUERIES}
+    for _ in range(repeat):
+        for name in QUERIES:
+            samples[name].append(run(name))
+    times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
