@@ -69,6 +69,15 @@ def age_years(birthday_col: str, as_of: str) -> Column:
         f"unix_millis(to_timestamp(`{birthday_col}`, '{DATE_FMT}'))) div {MS_PER_YEAR} AS INT)")
 
 
+# S9 ----------------------------------------------------------------------------
+def landing_day(value: Column | str) -> Column:
+    """Daily folder of a raw log line: the day of its ``ts`` (epoch ms), or of
+    its arrival when the line carries no readable ``ts``."""
+    ts = F.get_json_object(_c(value), "$.ts").try_cast("long")
+    return F.coalesce(F.date_format(F.timestamp_millis(ts), DATE_FMT),
+                      F.date_format(F.current_timestamp(), DATE_FMT))
+
+
 # F8 ----------------------------------------------------------------------------
 def is_blank(c: Column | str) -> Column:
     """Null or empty text."""

@@ -107,6 +107,12 @@ def _dim_side(spec: DimSpec) -> DataFrame:
     return side
 
 
+def flatten_dimension(spec: DimSpec) -> DataFrame:
+    """J5-J7 on the dimension side: a dimension joined with its children
+    (e.g. sku with spu, trademark, category3), keyed by ``spec.fact_key``."""
+    return _dim_side(spec)
+
+
 def enrich(facts: DataFrame, specs: list[DimSpec]) -> DataFrame:
     """Left-join every dimension (with its flattened children) by key; a
     missing dimension row leaves nulls."""

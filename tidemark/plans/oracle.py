@@ -265,6 +265,21 @@ LEFT JOIN sku s ON CAST(s.ID AS BIGINT) = w.sku_id
 LEFT JOIN spu sp ON sp.ID = s.SPU_ID
 LEFT JOIN tm t ON t.ID = s.TM_ID
 LEFT JOIN cat ct ON ct.ID = s.CATEGORY3_ID
+""",
+    "dim_sku_flat": f"""
+WITH {DIMS}
+SELECT CAST(s.ID AS BIGINT) AS sku_id, s.SKU_NAME AS sku_name,
+       CAST(s.SPU_ID AS BIGINT) AS spu_id, CAST(s.TM_ID AS BIGINT) AS tm_id,
+       CAST(s.CATEGORY3_ID AS BIGINT) AS category3_id,
+       sp.SPU_NAME AS spu_name, t.TM_NAME AS tm_name, ct.NAME AS category3_name
+FROM sku s
+LEFT JOIN spu sp ON CAST(sp.ID AS BIGINT) = CAST(s.SPU_ID AS BIGINT)
+LEFT JOIN tm t ON CAST(t.ID AS BIGINT) = CAST(s.TM_ID AS BIGINT)
+LEFT JOIN cat ct ON CAST(ct.ID AS BIGINT) = CAST(s.CATEGORY3_ID AS BIGINT)
+""",
+    "raw_log_by_day": """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS n_records
+FROM events GROUP BY 1
 """,
     "user_age": f"""
 WITH {USER_DIM}

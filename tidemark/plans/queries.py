@@ -154,6 +154,18 @@ def order_wide(spark: SparkSession, sf: str) -> DataFrame:
                              C.ORDER_BAND_MS, C.ORDER_BAND_MS)
 
 
+def dim_sku_flat(spark: SparkSession, sf: str) -> DataFrame:
+    sku_spec = orders.order_wide_specs(_dims(spark, sf), C.AS_OF)[2]
+    return orders.flatten_dimension(sku_spec).withColumnRenamed("dim_sku_name", "sku_name")
+
+
+def raw_log_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    from tidemark.functions import scalar as fn
+    text = P.app_log_text(table(spark, sf, "events", spread=True))
+    return (text.groupBy(fn.landing_day("value").alias("dt"))
+            .agg(F.count(F.lit(1)).alias("n_records")))
+
+
 def user_age(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.functions import scalar as fn
     u = P.dim_user_info(table(spark, sf, "customer"))
@@ -178,4 +190,6 @@ QUERIES: dict[str, Query] = {
     "order_interval_join": order_interval_join,
     "order_wide": order_wide,
     "user_age": user_age,
+    "dim_sku_flat": dim_sku_flat,
+    "raw_log_by_day": raw_log_by_day,
 }

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
+from tidemark.functions import scalar as fn
 from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
 from tidemark.session import shared_path
@@ -78,10 +79,12 @@ def to_topic(cfg: TopicConfig, topic: str) -> BatchWriter:
 
 
 # W6 ----------------------------------------------------------------------------------
-def rows_dropped_by_watermark(query: StreamingQuery) -> int:
-    """Late rows dropped by the stateful operators in the last micro-batch."""
-    p = query.lastProgress or {}
-    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+def rows_dropped_by_watermark(query: StreamingQuery, recent: bool = False) -> int:
+    """Late rows dropped by the stateful operators in the last micro-batch
+    (``recent``: in all micro-batches the query still reports)."""
+    progress = list(query.recentProgress) if recent else [query.lastProgress or {}]
+    return sum(int(op.get("numRowsDroppedByWatermark", 0))
+               for p in progress for op in (p or {}).get("stateOperators", []))
 
 
 # ---- the applications ----------------------------------------------------------------
@@ -193,10 +196,7 @@ def raw_log_landing_job(spark: SparkSession, cfg: TopicConfig, incoming_path: st
     src = {"raw": spark.readStream.format("text").load(incoming_path)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ts = F.get_json_object("value", "$.ts").cast("long")
-        day = F.coalesce(F.date_format(F.timestamp_millis(ts), "yyyy-MM-dd"),
-                         F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
-        (batch.withColumn("dt", day).withColumn("batch", F.lit(int(batch_id)))
+        (batch.withColumn("dt", fn.landing_day("value")).withColumn("batch", F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt", "batch").text(landing_path))
         write_topic(batch.select("value"), cfg, S.TOPIC_ODS_LOG, batch_id)
