@@ -218,11 +218,14 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
     w = Window.partitionBy("_mid", "_b").orderBy(ts_col, id_col)
     starts = (base.withColumn("_next", F.lead(nxt).over(w))
               .filter(F.col("_entry")))
+    # first row of every bucket, keyed by the bucket *before* it: grouping by
+    # (mid, b - 1) leaves the aggregate hash-partitioned exactly like the
+    # window output, so the join below moves neither side again
     key = fn.order_key(ts_col, id_col)
-    firsts = (base.groupBy("_mid", "_b")
+    firsts = (base.groupBy("_mid", (F.col("_b") - 1).alias("_b"))
               .agg(F.min_by(F.col(ts_col), key).alias("_fts"),
                    F.min_by(F.col("_ok"), key).alias("_fok"))
-              .select("_mid", (F.col("_b") - 1).alias("_b"),
+              .select("_mid", "_b",
                       F.struct(F.col("_fts").alias("ts"), F.col("_fok").alias("ok")).alias("_nb")))
     j = starts.join(firsts, ["_mid", "_b"], "left")
     next_ts = F.coalesce(F.col("_next.ts"), F.col("_nb.ts"))
