@@ -217,8 +217,10 @@ def _brand_number() -> Column:
 
 
 def _category3_ids(part: DataFrame) -> DataFrame:
-    """Dense rank of the product type.  Ranked over the *distinct* types (a
-    handful of rows), never over the whole part table in one partition."""
+    """Dense rank of the product type.  Ranked over the *distinct* types: the
+    window has no partition key, so it runs in one task, but its input is the
+    type catalogue (bounded by the product taxonomy, not by the data), never
+    the part table itself."""
     from pyspark.sql import Window
     types = part.select("p_type").distinct()
     return types.select(

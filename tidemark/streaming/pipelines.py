@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import schemas as S
 from tidemark.functions import scalar as fn
 from tidemark.operators import logs, orders
 from tidemark.plans import config as C
@@ -81,16 +80,15 @@ def daily_unique_visitors_stream(page_log: DataFrame, window_ms: int = C.WINDOW_
 # W4 / W5 / U1 ----------------------------------------------------------------------
 def bounce_stream(page_log: DataFrame, within_ms: int = C.PATTERN_WITHIN_MS,
                   next_rule: str = "entry", emit: str = "both",
-                  allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
-    """Bounce detail on a stream (see ``logs.bounce_visits`` for the rule).
-    Records later than the watermark are dropped, by record, as in the
-    reference's pattern operator."""
-    follows = (fn.is_entry_page("page") if next_rule == "entry"
-               else fn.is_non_entry_page("page"))
+                  allowance_ms: int = C.OUT_OF_ORDER_MS,
+                  start_when=None, next_when=None) -> DataFrame:
+    """Bounce detail on a stream (see ``logs.bounce_visits`` for the rule and
+    the X3 step predicates).  Records later than the watermark are dropped,
+    by record, as in the reference's pattern operator."""
+    start, follows = logs.pattern_predicates(next_rule, start_when, next_when)
     x = (with_event_time(page_log, "ts", allowance_ms)
          .select(F.col("common.mid").alias("mid"), "ts", "event_id",
-                 fn.is_entry_page("page").alias("entry"),
-                 F.coalesce(follows, F.lit(False)).alias("ok"),
+                 start.alias("entry"), follows.alias("ok"),
                  F.col("page.page_id").alias("page_id"), EVENT_TIME))
     return (x.groupBy("mid")
             .transformWithState(BounceProcessor(within_ms, emit), BOUNCE_OUT, "append",
@@ -120,8 +118,3 @@ def parse_app_log_stream(text: DataFrame) -> DataFrame:
 
 def parse_order_streams(info_text: DataFrame, detail_text: DataFrame):
     return orders.parse_order_info(info_text), orders.parse_order_detail(detail_text)
-
-
-__all__ = ["with_event_time", "flag_new_visitors_stream", "daily_unique_visitors_stream",
-           "bounce_stream", "order_interval_join_stream", "parse_app_log_stream",
-           "parse_order_streams", "S"]
