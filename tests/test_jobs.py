@@ -64,6 +64,10 @@ def test_db_detail_job(spark, env):
     one = kafka.select(F.from_json("value", "map<string,string>").alias("m")).first().m
     assert set(one) == {"p_partkey", "p_name", "p_brand", "p_type", "p_retailprice"}
 
+    metrics = spark.read.json(cfg.path("db_detail_metrics"))
+    by_branch = {r.branch: r["count"] for r in metrics.collect()}
+    assert by_branch["kafka"] == kafka.count() and by_branch["hbase"] > 0
+
     store = DimensionStore(spark, dims_path)
     got = store.read("dim_user_info")
     assert got.columns == ["C_CUSTKEY", "C_NAME", "C_NATIONKEY", "C_MKTSEGMENT"]

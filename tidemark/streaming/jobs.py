@@ -142,8 +142,9 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
                   state_root: str | None = None):
     """ods_db -> clean -> rules in force -> column projection -> kafka-type
     records to the topic named by their rule, hbase-type records upserted
-    into the dimension store.  The rules changelog (parquet) is re-read every
-    micro-batch, so a rule change applies from the next batch on."""
+    into the dimension store, per-branch counts (incl. ``dropped``) to the
+    ``db_detail_metrics`` topic.  The rules changelog (parquet) is re-read
+    every micro-batch, so a rule change applies from the next batch on."""
     src = {S.TOPIC_ODS_DB: read_topic(spark, cfg, S.TOPIC_ODS_DB)}
     store = DimensionStore(spark, dims_path)
 
@@ -159,6 +160,10 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
             tables = {r.sink_table: (r.sink_columns, r.sink_pk)
                       for r in rules.filter(F.col("sink_type") == S.SINK_TYPE_HBASE).collect()}
             store.upsert(dims.dimension_rows(hb), batch_id, tables)
+            # Records of unknown sink types are not written, only counted
+            counts = (projected.groupBy("branch").count()
+                      .select(F.lit(int(batch_id)).alias("batch_id"), "branch", "count"))
+            write_topic(counts, cfg, "db_detail_metrics", batch_id)
             projected.unpersist()
         finally:
             rules.unpersist()
