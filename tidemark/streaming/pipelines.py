@@ -15,7 +15,7 @@ from tidemark.functions import scalar as fn
 from tidemark.operators import logs, orders
 from tidemark.plans import config as C
 from tidemark.streaming.processors import (BOUNCE_OUT, FIRST_EVENT_OUT, BounceProcessor,
-                                           FirstEventProcessor)
+                                           DailyFirstProcessor, NewVisitorProcessor)
 
 EVENT_TIME = "event_time"
 
@@ -34,28 +34,21 @@ def with_event_time(df: DataFrame, ts_col: str = "ts",
 
 
 # W1 + W2 / W3 ---------------------------------------------------------------------
-def _closed_windows(log: DataFrame, window_ms: int, allowance_ms: int,
-                    value: F.Column) -> DataFrame:
-    """Per visitor, the records of each tumbling event-time window, emitted
-    once the watermark passes the window end (append mode).  Late records of
-    a closed window are dropped, as in the reference."""
-    x = (with_event_time(log, "ts", allowance_ms)
-         .withColumn("_mid", F.col("common.mid"))
-         .withColumn("_rec", F.struct(F.col("ts"), F.col("event_id"),
-                                      fn.ms_to_date_text("ts").alias("day"),
-                                      value.alias("value"))))
-    return (x.groupBy(F.window(EVENT_TIME, ms(window_ms)).alias("w"), F.col("_mid").alias("mid"))
-            .agg(F.collect_list("_rec").alias("evs"))
-            .select("mid", F.col("w.start").alias("wstart"), "evs"))
+def _keyed_records(log: DataFrame, allowance_ms: int, value: F.Column) -> DataFrame:
+    return (with_event_time(log, "ts", allowance_ms)
+            .select(F.col("common.mid").alias("mid"), "ts", "event_id",
+                    fn.ms_to_date_text("ts").alias("day"), value.alias("value"), EVENT_TIME))
 
 
 def flag_new_visitors_stream(log: DataFrame, window_ms: int = C.WINDOW_MS,
                              allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
     """App-log records with ``common.is_new`` rewritten, ``1`` on the first
-    record ever of a visitor.  All records are emitted (T1)."""
-    wins = _closed_windows(log, window_ms, allowance_ms, F.to_json(F.struct(*log.columns)))
-    flagged = (wins.groupBy("mid")
-               .transformWithState(FirstEventProcessor(None), FIRST_EVENT_OUT, "append", "none"))
+    record ever of a visitor.  All records are emitted (T1).  The first
+    record is decided when its ``window_ms`` tumbling window closes (W1)."""
+    recs = _keyed_records(log, allowance_ms, F.to_json(F.struct(*log.columns)))
+    flagged = (recs.groupBy("mid")
+               .transformWithState(NewVisitorProcessor(window_ms), FIRST_EVENT_OUT,
+                                   "append", "EventTime"))
     rec = F.from_json("value", log.schema)
     return (flagged.select(rec.alias("r"), "is_new")
             .select("r.*", "is_new")
@@ -66,12 +59,14 @@ def flag_new_visitors_stream(log: DataFrame, window_ms: int = C.WINDOW_MS,
 def daily_unique_visitors_stream(page_log: DataFrame, window_ms: int = C.WINDOW_MS,
                                  allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
     """The first page record of each visitor per day, as ``(mid,
-    visit_date, ts, event_id, page_id, last_page_id)``."""
+    visit_date, ts, event_id, page_id, last_page_id)``, emitted when its
+    ``window_ms`` window closes."""
     value = F.to_json(F.struct(F.col("page.page_id").alias("page_id"),
                                F.col("page.last_page_id").alias("last_page_id")))
-    wins = _closed_windows(page_log, window_ms, allowance_ms, value)
-    firsts = (wins.groupBy("mid")
-              .transformWithState(FirstEventProcessor("day"), FIRST_EVENT_OUT, "append", "none"))
+    recs = _keyed_records(page_log, allowance_ms, value)
+    firsts = (recs.groupBy("mid")
+              .transformWithState(DailyFirstProcessor(window_ms), FIRST_EVENT_OUT,
+                                  "append", "EventTime"))
     page = F.from_json("value", "page_id string, last_page_id string")
     return firsts.select("mid", fn.ms_to_date_text("ts").alias("visit_date"), "ts", "event_id",
                          page.page_id.alias("page_id"), page.last_page_id.alias("last_page_id"))

@@ -1,10 +1,11 @@
-"""Keyed state processors for the two streaming operators Spark has no
-built-in for.  Both keep O(band) state per visitor.
-
-* ``FirstEventProcessor`` (W2 first visit ever / W3 first visit per day):
-  fed with the closed event-time windows of one visitor (the window
-  aggregate upstream buffers a window until the watermark passes its end),
-  it sorts them and keeps one value per visitor across windows.
+"""Keyed state processors for the streaming operators Spark has no
+built-in for: per visitor a few values plus, at most, the records of one
+undecided band (kept on the state store, RocksDB).
+
+* ``NewVisitorProcessor`` (W2) and ``DailyFirstProcessor`` (W3): first
+  visit ever / first visit per day, decided when the watermark passes the
+  end of the candidate record's window.  They keep a few values per visitor;
+  no visitor's records are gathered into one in-memory group.
 * ``BounceProcessor`` (W4 / W5): an event-time two-step pattern with a
   timeout.  Page records are buffered until the watermark passes
   ``ts + within`` of an entry page; then the strictly next record decides.
@@ -38,48 +39,125 @@ def _get(r, name):
     return r[name]
 
 
-class FirstEventProcessor(StatefulProcessor):
-    """Input rows: ``(mid, wstart, evs: array<struct<ts, event_id, day, value>>)``,
-    one per closed window of the visitor.
+def _window_end(ts: int, window_ms: int) -> int:
+    return (ts // window_ms) * window_ms + window_ms
+
 
-    ``reset=None``  (W2): every record is emitted, ``is_new = 1`` on the
-    visitor's first record ever, ``0`` on all others.
-    ``reset="day"`` (W3): only the first record of each calendar day is
-    emitted (``day`` is computed in Spark, in the session zone).
+class NewVisitorProcessor(StatefulProcessor):
+    """Every app-log record of a visitor, ``is_new = 1`` on the first one
+    ever (smallest ``(ts, event_id)``), ``0`` on all others.
+
+    Input rows ``(mid, ts, event_id, value)``; event-time mode.  Until the
+    visitor's first record is decided, records are kept in list state (on
+    the state store, streamed back out, never held in memory together) and
+    the smallest one is tracked in a single value.  The decision is taken
+    when the watermark passes the end of that record's ``window_ms`` window:
+    every earlier record has arrived by then.  Afterwards each record is
+    emitted as soon as it arrives, flagged ``0``.
     """
 
-    def __init__(self, reset: str | None = None):
-        if reset not in (None, "day"):
-            raise ValueError("reset is None or 'day'")
-        self.reset = reset
+    CHUNK = 1024
+
+    def __init__(self, window_ms: int):
+        self.window_ms = int(window_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("ts", T.LongType()),
-                               T.StructField("day", T.StringType())])
-        self.first = handle.getValueState("first", schema)
+        self.handle = handle
+        self.decided = handle.getValueState("decided", "ts long, event_id long")
+        self.cand = handle.getValueState("cand", "ts long, event_id long")
+        self.buf = handle.getListState("buf", "ts long, event_id long, value string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mid = key[0]
-        windows = sorted(rows, key=lambda r: _get(r, "wstart"))
-        seen = self.first.get() if self.first.exists() else None
-        last_day = seen[1] if seen else None
-        for w in windows:
-            for e in sorted(_get(w, "evs"), key=lambda e: (_get(e, "ts"), _get(e, "event_id"))):
-                ts, eid, day, value = (_get(e, "ts"), _get(e, "event_id"),
-                                       _get(e, "day"), _get(e, "value"))
-                if self.reset == "day":
-                    if day != last_day:
-                        last_day = day
-                        seen = (ts, day)
-                        yield Row(mid=mid, event_id=eid, ts=ts, is_new="1", value=value)
-                else:
-                    if seen is None:
-                        seen = (ts, day)
-                        yield Row(mid=mid, event_id=eid, ts=ts, is_new="1", value=value)
-                    else:
-                        yield Row(mid=mid, event_id=eid, ts=ts, is_new="0", value=value)
-        if seen is not None:
-            self.first.update(seen)
+        if self.decided.exists():
+            for r in rows:
+                yield Row(mid=mid, event_id=r["event_id"], ts=r["ts"], is_new="0", value=r["value"])
+            return
+        cand = tuple(self.cand.get()) if self.cand.exists() else None
+        chunk = []
+        for r in rows:
+            k = (r["ts"], r["event_id"])
+            if cand is None or k < cand:
+                cand = k
+            chunk.append((r["ts"], r["event_id"], r["value"]))
+            if len(chunk) >= self.CHUNK:
+                self.buf.appendList(chunk)
+                chunk = []
+        if chunk:
+            self.buf.appendList(chunk)
+        if cand is not None:
+            self.cand.update(cand)
+            self.handle.registerTimer(_window_end(cand[0], self.window_ms))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.decided.exists() or not self.cand.exists():
+            return
+        first = tuple(self.cand.get())
+        if _window_end(first[0], self.window_ms) > timerValues.getCurrentWatermarkInMs():
+            return                      # an older timer; the current candidate's fires later
+        mid = key[0]
+        if self.buf.exists():
+            for ts, eid, value in self.buf.get():
+                yield Row(mid=mid, event_id=eid, ts=ts,
+                          is_new="1" if (ts, eid) == first else "0", value=value)
+        self.buf.clear()
+        self.cand.clear()
+        self.decided.update(first)
+
+    def close(self) -> None:
+        pass
+
+
+class DailyFirstProcessor(StatefulProcessor):
+    """The first record of a visitor on each calendar day.
+
+    Input rows ``(mid, ts, event_id, day, value)`` (``day`` computed in Spark
+    in the session zone); event-time mode.  State: the smallest record per
+    open day (map state) and the last day emitted.  A day's record is
+    emitted when the watermark passes the end of its ``window_ms`` window.
+    """
+
+    def __init__(self, window_ms: int):
+        self.window_ms = int(window_ms)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getMapState("best", "day string",
+                                       "ts long, event_id long, value string")
+        self.last_day = handle.getValueState("last_day", "day string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        done = self.last_day.get()[0] if self.last_day.exists() else None
+        best: dict = {}
+        for r in rows:
+            day = r["day"]
+            if done is not None and day <= done:
+                continue
+            k = (r["ts"], r["event_id"])
+            cur = best.get(day)
+            if cur is None:
+                stored = self.best.getValue((day,))
+                cur = tuple(stored) if stored is not None else None
+            if cur is None or k < (cur[0], cur[1]):
+                best[day] = (r["ts"], r["event_id"], r["value"])
+            elif day not in best:
+                best[day] = cur
+        for day, rec in best.items():
+            self.best.updateValue((day,), rec)
+            self.handle.registerTimer(_window_end(rec[0], self.window_ms))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        ready = sorted((k[0], tuple(v)) for k, v in self.best.iterator()
+                       if _window_end(v[0], self.window_ms) <= wm)
+        out = []
+        for day, (ts, eid, value) in ready:
+            out.append(Row(mid=key[0], event_id=eid, ts=ts, is_new="1", value=value))
+            self.best.removeKey((day,))
+        if ready:
+            self.last_day.update((ready[-1][0],))
+        return iter(out)
 
     def close(self) -> None:
         pass
