@@ -125,3 +125,17 @@ def test_merge_maps_right_wins(spark):
                                "l map<string,string>, r map<string,string>")
     got = dict(df.select(fn.merge_maps_right_wins("l", "r").alias("m")).collect()[0].m)
     assert got == {"a": "1", "b": "9", "c": "3"}
+
+
+def test_order_wide_enrich_first_same_rows(spark):
+    from tests.conftest import SF01
+    from tidemark.plans import config as C
+    from tidemark.plans import queries as Q
+    info, detail = Q._orders(spark, SF01)
+    dims = Q._dims(spark, SF01)
+    a = orders.order_wide(info, detail, dims, C.AS_OF, C.ORDER_BAND_MS, C.ORDER_BAND_MS)
+    b = orders.order_wide(info, detail, dims, C.AS_OF, C.ORDER_BAND_MS, C.ORDER_BAND_MS,
+                          enrich_first=True)
+    assert b.columns == a.columns
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
