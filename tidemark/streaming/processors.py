@@ -192,21 +192,32 @@ class BounceProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", self.BUF)
+        # watermark at which the buffer was last decided: the timers of one
+        # batch share a watermark, so only the first of them does any work
+        self.done_wm = handle.getValueState("done_wm", "wm long")
+
+    CHUNK = 1024
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = []
+        chunk = []
         for r in rows:
             entry = bool(_get(r, "entry"))
-            new.append((_get(r, "ts"), _get(r, "event_id"), entry,
-                        bool(_get(r, "ok")), _get(r, "page_id"), False))
+            chunk.append((_get(r, "ts"), _get(r, "event_id"), entry,
+                          bool(_get(r, "ok")), _get(r, "page_id"), False))
             if entry:
                 self.handle.registerTimer(_get(r, "ts") + self.within)
-        if new:
-            self.buf.appendList(new)
+            if len(chunk) >= self.CHUNK:
+                self.buf.appendList(chunk)
+                chunk = []
+        if chunk:
+            self.buf.appendList(chunk)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
+        if self.done_wm.exists() and self.done_wm.get()[0] == wm:
+            return iter([])
+        self.done_wm.update((wm,))
         horizon = max(wm, expiredTimerInfo.getExpiryTimeInMs())
         items = sorted(self.buf.get(), key=lambda x: (x[0], x[1])) if self.buf.exists() else []
         out = []
