@@ -78,18 +78,28 @@ def test_db_detail_job(spark, env):
     assert got_rows == exp_rows
 
 
-def test_dimension_store_upsert_versions(spark, env):
+def test_dimension_store_deltas_and_compaction(spark, env):
     base, _ = env
-    store = DimensionStore(spark, os.path.join(base, "dims2"))
-    rows = spark.createDataFrame(
-        [("dim_x", "1", 1, {"ID": "1", "NAME": "a"}), ("dim_x", "2", 1, {"ID": "2", "NAME": "b"})],
-        "sink_table string, pk string, seq long, data map<string,string>")
-    store.upsert(rows, 0, {"dim_x": ("id,name", "id")})
-    later = spark.createDataFrame([("dim_x", "1", 9, {"ID": "1", "NAME": "z"})], rows.schema)
-    store.upsert(later, 1, {"dim_x": ("id,name", "id")})
-    store.upsert(later, 1, {"dim_x": ("id,name", "id")})        # replay: same version
-    assert store.versions("dim_x") == [0, 1, 2]
+    store = DimensionStore(spark, os.path.join(base, "dims2"), compact_every=3)
+    schema = "sink_table string, pk string, seq long, data map<string,string>"
+    tables = {"dim_x": ("id,name", "id")}
+    b0 = spark.createDataFrame([("dim_x", "1", 1, {"ID": "1", "NAME": "a"}),
+                                ("dim_x", "2", 1, {"ID": "2", "NAME": "b"}),
+                                ("dim_x", "2", 0, {"ID": "2", "NAME": "old"})], schema)
+    store.upsert(b0, 0, tables)
+    b1 = spark.createDataFrame([("dim_x", "1", 9, {"ID": "1", "NAME": "z"})], schema)
+    store.upsert(b1, 1, tables)
+    store.upsert(b1, 1, tables)                     # replay: same delta folder
+    assert store.versions("dim_x") == [0] and store.deltas("dim_x") == [0, 1]
     assert sorted(tuple(r) for r in store.read("dim_x").collect()) == [("1", "z"), ("2", "b")]
+    b2 = spark.createDataFrame([("dim_x", "3", 4, {"ID": "3", "NAME": "c"})], schema)
+    store.upsert(b2, 2, tables)                     # third batch: compaction into v=3
+    store.compact("dim_x", 2)                       # replayed compaction is harmless
+    assert store.versions("dim_x") == [0, 3]
+    snap = spark.read.parquet(os.path.join(base, "dims2", "DIM_X", "base", "v=3"))
+    assert sorted((r.ID, r.NAME) for r in snap.collect()) == [("1", "z"), ("2", "b"), ("3", "c")]
+    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == \
+        [("1", "z"), ("2", "b"), ("3", "c")]
 
 
 def test_log_detail_job_split(spark, env):

@@ -11,7 +11,6 @@ Job progress lives under ``spark.checkpoint.dir``; a restarted job resumes.
 from __future__ import annotations
 
 import argparse
-import sys
 
 from tidemark.plans import config as C
 
@@ -58,7 +57,6 @@ def main(argv: list[str] | None = None) -> None:
         QUERIES[args.name](spark, args.sf).write.mode("overwrite").parquet(args.out)
         return
 
-    from tidemark import schemas as S
     from tidemark.sinks.dimensions import DimensionStore
     from tidemark.sources.topics import TopicConfig
     from tidemark.streaming import jobs
@@ -75,14 +73,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "db-detail":
         qs = jobs.db_detail_job(spark, cfg, args.rules, args.dims, trigger=trig)
     elif args.cmd == "order-wide":
-        store = DimensionStore(spark, args.dims)
-        names = [S.DIM_USER_INFO, S.DIM_BASE_PROVINCE, S.DIM_SKU_INFO, S.DIM_SPU_INFO,
-                 S.DIM_BASE_TRADEMARK, S.DIM_BASE_CATEGORY3]
-        dims = {n: store.read(n) for n in names}
-        missing = [n for n, d in dims.items() if d is None]
-        if missing:
-            sys.exit(f"dimension tables missing in {args.dims}: {missing}")
-        qs = jobs.order_wide_job(spark, cfg, dims, args.as_of, args.band_ms, args.band_ms,
+        reader = jobs.dimension_reader(DimensionStore(spark, args.dims))
+        qs = jobs.order_wide_job(spark, cfg, reader, args.as_of, args.band_ms, args.band_ms,
                                  args.allowance_ms, trig)
     else:
         qs = jobs.raw_log_landing_job(spark, cfg, args.incoming, args.landing, trig)

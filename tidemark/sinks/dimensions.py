@@ -1,10 +1,17 @@
 """Dimension store: rule-defined tables kept by upsert.
 
-Each table lives in ``<base>/<TABLE>/v=<n>/`` as parquet; a new version is
-the previous one plus the upsert rows, newest ``seq`` per key (A5).  The
-version number is the micro-batch id + 1, so a replayed batch rewrites the
-same version: the write is idempotent.  Readers take the highest complete
-version.  Columns are all text, upper case, key first (S6).
+Layout per table (upper-case name), parquet, all-text columns, key first:
+
+* ``<base>/<TABLE>/base/v=<n>/`` — complete snapshots; ``v=0`` is the empty
+  table created from the rule (S6).
+* ``<base>/<TABLE>/delta/b=<batch>/`` — the newest row per key of one
+  micro-batch.  Written by ``upsert``: the cost of a batch is the batch, not
+  the table, and a replayed batch overwrites its own folder (idempotent).
+
+Every ``compact_every`` batches the deltas are folded into a new snapshot
+``v=<batch + 1>``.  ``read`` returns the newest snapshot merged with the
+deltas written after it, newest ``seq`` per key (A5, last write wins).
+A folder only counts once its ``_SUCCESS`` marker exists.
 """
 
 from __future__ import annotations
@@ -18,62 +25,80 @@ from tidemark.operators import dims
 from tidemark.sinks import fs
 
 _V = re.compile(r"^v=(\d+)$")
+_B = re.compile(r"^b=(\d+)$")
 
 
 class DimensionStore:
-    def __init__(self, spark: SparkSession, base_path: str):
+    def __init__(self, spark: SparkSession, base_path: str, compact_every: int = 10):
         self.spark = spark
         self.base = base_path.rstrip("/")
+        self.compact_every = max(1, int(compact_every))
+
+    # layout --------------------------------------------------------------------
+    def _dir(self, table: str, kind: str) -> str:
+        return f"{self.base}/{table.upper()}/{kind}"
 
-    def _table_dir(self, table: str) -> str:
-        return f"{self.base}/{table.upper()}"
+    def _complete(self, folder: str, pattern) -> list[int]:
+        return sorted(int(m.group(1)) for name in fs.list_names(self.spark, folder)
+                      if (m := pattern.match(name))
+                      and fs.exists(self.spark, f"{folder}/{name}/_SUCCESS"))
 
     def versions(self, table: str) -> list[int]:
-        d = self._table_dir(table)
-        return sorted(int(m.group(1)) for name in fs.list_names(self.spark, d)
-                      if (m := _V.match(name)) and fs.exists(self.spark, f"{d}/{name}/_SUCCESS"))
+        return self._complete(self._dir(table, "base"), _V)
+
+    def deltas(self, table: str) -> list[int]:
+        return self._complete(self._dir(table, "delta"), _B)
 
     # S6 -------------------------------------------------------------------------
     def create_if_absent(self, table: str, sink_columns: str, sink_pk: str | None = None) -> None:
-        """Empty version 0 with the rule's all-text schema."""
+        """Empty snapshot ``v=0`` with the rule's all-text schema."""
         if self.versions(table):
             return
         schema = dims.table_schema(sink_columns, sink_pk)
         (self.spark.createDataFrame([], schema).withColumn("_seq", F.lit(None).cast("long"))
-         .write.mode("overwrite").parquet(f"{self._table_dir(table)}/v=0"))
+         .write.mode("overwrite").parquet(f"{self._dir(table, 'base')}/v=0"))
 
-    def read(self, table: str, before: int | None = None) -> DataFrame | None:
-        """Highest complete version (below ``before``), without the sequence column."""
-        raw = self._read_raw(table, before)
+    # reads ----------------------------------------------------------------------
+    def read(self, table: str) -> DataFrame | None:
+        """Current content of a table (without the sequence column)."""
+        raw = self._current(table)
         return None if raw is None else raw.drop("_seq")
 
-    def _read_raw(self, table: str, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self.versions(table) if before is None or v < before]
+    def _current(self, table: str, upto: int | None = None) -> DataFrame | None:
+        vs = self.versions(table)
+        if upto is not None:          # compaction at batch `upto`: strictly older snapshots
+            vs = [v for v in vs if v <= upto]
         if not vs:
             return None
-        return self.spark.read.parquet(f"{self._table_dir(table)}/v={vs[-1]}")
+        v = vs[-1]
+        base = self.spark.read.parquet(f"{self._dir(table, 'base')}/v={v}")
+        newer = [b for b in self.deltas(table) if b + 1 > v and (upto is None or b <= upto)]
+        if not newer:
+            return base
+        key = base.columns[0]
+        delta = self.spark.read.parquet(*[f"{self._dir(table, 'delta')}/b={b}" for b in newer])
+        both = base.unionByName(delta, allowMissingColumns=True)
+        return dims.latest_per_key(both, [key], ["_seq"])
 
     # S5 -------------------------------------------------------------------------
     def upsert(self, rows: DataFrame, batch_id: int,
                tables: dict[str, tuple[str, str | None]]) -> None:
         """``rows``: ``(sink_table, pk, seq, data)`` from ``dims.dimension_rows``;
-        ``tables``: sink table -> (sink_columns, sink_pk) of the rules in force.
-        Writes version ``batch_id + 1`` of every table in ``tables``."""
-        version = int(batch_id) + 1
+        ``tables``: sink table -> (sink_columns, sink_pk) of the rules in force."""
+        batch_id = int(batch_id)
         for t, (columns, pk) in tables.items():
             self.create_if_absent(t, columns, pk)
-            schema = dims.table_schema(columns, pk)
-            names = [f.name for f in schema.fields]
-            prev = self._read_raw(t, before=version)
-            current = None
-            if prev is not None:
-                have = [c for c in prev.columns if c != "_seq"]
-                current = prev.select(
-                    F.lit(t).alias("sink_table"), F.col(names[0]).alias("pk"),
-                    F.col("_seq").alias("seq"),
-                    F.create_map(*[x for c in have for x in (F.lit(c), F.col(c))]).alias("data"))
-            new = rows.filter(F.col("sink_table") == t).select("sink_table", "pk", "seq", "data")
-            snap = dims.upsert(current, new)
-            (snap.select(*[F.coalesce(F.col("data")[c], F.lit("")).alias(c) for c in names],
-                         F.col("seq").alias("_seq"))
-             .write.mode("overwrite").parquet(f"{self._table_dir(t)}/v={version}"))
+            names = [f.name for f in dims.table_schema(columns, pk).fields]
+            new = dims.latest_per_key(
+                rows.filter(F.col("sink_table") == t).select("pk", "seq", "data"), ["pk"], ["seq"])
+            (new.select(*[F.coalesce(F.col("data")[c], F.lit("")).alias(c) for c in names],
+                        F.col("seq").alias("_seq"))
+             .write.mode("overwrite").parquet(f"{self._dir(t, 'delta')}/b={batch_id}"))
+            if (batch_id + 1) % self.compact_every == 0:
+                self.compact(t, batch_id)
+
+    def compact(self, table: str, batch_id: int) -> None:
+        """Fold the deltas up to ``batch_id`` into snapshot ``v=batch_id + 1``."""
+        cur = self._current(table, upto=batch_id)
+        if cur is not None:
+            cur.write.mode("overwrite").parquet(f"{self._dir(table, 'base')}/v={batch_id + 1}")

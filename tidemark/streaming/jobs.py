@@ -172,24 +172,46 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
                    {"out": write}, trigger, state_root)
 
 
-def order_wide_job(spark: SparkSession, cfg: TopicConfig, dim_tables: dict[str, DataFrame],
+def order_wide_job(spark: SparkSession, cfg: TopicConfig,
+                   dim_tables: dict[str, DataFrame] | Callable[[], dict[str, DataFrame]],
                    as_of: str, lower_ms: int = C.JOIN_BAND_MS, upper_ms: int = C.JOIN_BAND_MS,
                    allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
-                  state_root: str | None = None):
-    """dwd_order_info + dwd_order_detail -> band join -> dimension enrichment
-    (stream-static left joins) -> dwm_order_wide."""
+                   state_root: str | None = None):
+    """dwd_order_info + dwd_order_detail -> stream-stream band join ->
+    dimension enrichment -> dwm_order_wide.
+
+    Enrichment runs per micro-batch: ``dim_tables`` may be a callable that
+    returns the dimension frames (e.g. from a ``DimensionStore``), called
+    for every batch so upserted dimension rows are seen by later orders, as
+    the reference's per-record look-ups did."""
     src = read_topics(spark, cfg, S.TOPIC_DWD_ORDER_INFO, S.TOPIC_DWD_ORDER_DETAIL)
 
     def transform(s):
         info, detail = SP.parse_order_streams(s[S.TOPIC_DWD_ORDER_INFO],
                                               s[S.TOPIC_DWD_ORDER_DETAIL])
-        wide = SP.order_interval_join_stream(info, detail, lower_ms, upper_ms, allowance_ms)
-        wide = orders.enrich(wide, orders.order_wide_specs(dim_tables, as_of))
-        wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
-        return wide.select(*S.ORDER_WIDE_COLUMNS)
+        return SP.order_interval_join_stream(info, detail, lower_ms, upper_ms, allowance_ms)
 
-    return run_job(spark, "order_wide", src, transform,
-                   {"out": to_topic(cfg, S.TOPIC_DWM_ORDER_WIDE)}, trigger, state_root)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables = dim_tables() if callable(dim_tables) else dim_tables
+        wide = orders.enrich(batch, orders.order_wide_specs(tables, as_of))
+        wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
+        write_topic(wide.select(*S.ORDER_WIDE_COLUMNS), cfg, S.TOPIC_DWM_ORDER_WIDE, batch_id)
+
+    return run_job(spark, "order_wide", src, transform, {"out": write}, trigger, state_root)
+
+
+def dimension_reader(store: DimensionStore,
+                     names: tuple[str, ...] = (S.DIM_USER_INFO, S.DIM_BASE_PROVINCE,
+                                               S.DIM_SKU_INFO, S.DIM_SPU_INFO,
+                                               S.DIM_BASE_TRADEMARK, S.DIM_BASE_CATEGORY3)):
+    """A ``dim_tables`` callable reading the current content of the store."""
+    def read() -> dict[str, DataFrame]:
+        out = {n: store.read(n) for n in names}
+        missing = [n for n, d in out.items() if d is None]
+        if missing:
+            raise ValueError(f"dimension tables missing: {missing}")
+        return out
+    return read
 
 
 # S9 ----------------------------------------------------------------------------------
