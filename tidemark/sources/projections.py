@@ -230,7 +230,9 @@ def _category3_ids(part: DataFrame) -> DataFrame:
 
 def dim_sku_info(part: DataFrame) -> DataFrame:
     c3 = _category3_ids(part)
-    return (part.join(F.broadcast(c3), "p_type", "left")
+    # no hint: the type catalogue is an aggregate, adaptive execution measures
+    # it and broadcasts it when it is small
+    return (part.join(c3, "p_type", "left")
             .select(
                 F.col("p_partkey").cast("string").alias("ID"),
                 F.col("p_name").alias("SKU_NAME"),
