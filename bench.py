@@ -35,11 +35,15 @@ def main() -> None:
         return time.perf_counter() - t0
 
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    errors: dict[str, str] = {}
     for name in QUERIES:      # warm-up: JIT, file listing, Python workers
-        run(name)
-    samples = {name: [] for name in QUERIES}
+        try:
+            run(name)
+        except Exception as e:  # a failing query is reported, the others still run
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    samples = {name: [] for name in QUERIES if name not in errors}
     for _ in range(repeat):
-        for name in QUERIES:
+        for name in samples:
             samples[name].append(run(name))
     times = {name: round(statistics.median(v), 3) for name, v in samples.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -51,6 +55,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
