@@ -155,3 +155,39 @@ def test_raw_log_landing(spark, env):
     days = landed.select("dt").distinct().count()
     assert days == table(spark, SF001, "events").select(F.to_date("ts")).distinct().count()
     assert read_topic(spark, cfg, S.TOPIC_ODS_LOG, streaming=False).count() == 1000
+
+
+def test_dimension_path_feeds_order_wide(spark, env):
+    """The reference's two paths together: change records of the six
+    dimension tables -> db-detail job -> dimension store -> order-wide job
+    (dimensions read per micro-batch) = the batch order_wide query."""
+    base, cfg = env
+    dim_frames = Q._dims(spark, SF001)
+    changes, rules = None, []
+    for i, (name, df) in enumerate(dim_frames.items()):
+        src = name.lower().replace("dim_", "")
+        cols = [c.lower() for c in df.columns]
+        data = F.create_map(*[x for c in df.columns for x in (F.lit(c.lower()), F.col(c))])
+        recs = df.select(F.lit("shop").alias("database"), F.lit(src).alias("table"),
+                         F.lit("insert").alias("type"), F.lit(i).cast("long").alias("ts"),
+                         data.alias("data"))
+        changes = recs if changes is None else changes.unionByName(recs)
+        rules.append((src, "insert", "hbase", name, ",".join(cols), "id", None, "insert", i + 1, 0))
+    write_topic(changes, cfg, S.TOPIC_ODS_DB, batch_id=0)
+    rules_path = os.path.join(base, "rules")
+    spark.createDataFrame(rules, S.RULE_CHANGE).write.parquet(rules_path)
+    store_path = os.path.join(base, "dims")
+    _finish(jobs.db_detail_job(spark, cfg, rules_path, store_path, trigger=ONCE,
+                               state_root=os.path.join(base, "state")))
+
+    store = DimensionStore(spark, store_path)
+    write_topic(P.order_info(table(spark, SF001, "orders")), cfg, S.TOPIC_DWD_ORDER_INFO, 0)
+    write_topic(P.order_detail(table(spark, SF001, "lineitem")), cfg, S.TOPIC_DWD_ORDER_DETAIL, 0)
+    _finish(jobs.order_wide_job(spark, cfg, jobs.dimension_reader(store), C.AS_OF,
+                                C.ORDER_BAND_MS, C.ORDER_BAND_MS, allowance_ms=10 ** 12,
+                                trigger=ONCE, state_root=os.path.join(base, "state")))
+    want = Q.order_wide(spark, SF001)
+    got = (read_topic(spark, cfg, S.TOPIC_DWM_ORDER_WIDE, streaming=False)
+           .select(F.from_json("value", want.schema).alias("r")).select("r.*"))
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
