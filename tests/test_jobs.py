@@ -106,7 +106,7 @@ def test_log_detail_job_split(spark, env):
     base, cfg = env
     log = P.app_log(table(spark, SF001, "events"))
     closing = (log.limit(1).withColumn("event_id", F.lit(-1).cast("long"))
-               .withColumn("ts", F.lit(10 ** 13).cast("long"))
+               .withColumn("ts", F.lit(4 * 10 ** 12).cast("long"))
                .withColumn("common", F.col("common").withField("mid", F.lit("zz"))))
     ordered = log.repartitionByRange(4, "ts").select(F.to_json(F.struct("*")).alias("value"))
     write_topic(ordered.unionByName(spark.createDataFrame([("{broken",)], "value string")),

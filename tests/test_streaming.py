@@ -17,7 +17,7 @@ from tidemark.sources import projections as P
 from tidemark.sources.tables import table
 from tidemark.streaming import pipelines as SP
 
-CLOSING_TS = 10 ** 13          # year 2286: closes every window / timer
+CLOSING_TS = 4 * 10 ** 12     # year 2096: closes every window / timer (pandas-safe)
 HOUR = 3_600_000
 
 
@@ -149,7 +149,7 @@ def test_late_rows_dropped_counted_and_restart(spark, page_src):
     run_once([rec(1, "a", 10_000), rec(2, "b", 20_000)], 0)
     q = run_once([rec(3, "c", 1_000), rec(4, "a", 30_000)], 1)   # c is late
     dropped = rows_dropped_by_watermark(q, recent=True)
-    run_once([rec(5, "zz", 10 ** 13)], 2)
+    run_once([rec(5, "zz", CLOSING_TS)], 2)
     got = sorted((r.mid, r.event_id) for r in
                  spark.read.parquet(os.path.join(base, "late_out")).filter("mid <> 'zz'").collect())
     assert got == [("a", 1), ("b", 2)]        # c dropped; a's second record same day
