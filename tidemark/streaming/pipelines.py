@@ -35,9 +35,12 @@ def with_event_time(df: DataFrame, ts_col: str = "ts",
 
 # W1 + W2 / W3 ---------------------------------------------------------------------
 def _keyed_records(log: DataFrame, allowance_ms: int, value: F.Column) -> DataFrame:
+    day_start = F.date_trunc("day", fn.ms_to_timestamp("ts"))
     return (with_event_time(log, "ts", allowance_ms)
             .select(F.col("common.mid").alias("mid"), "ts", "event_id",
-                    fn.ms_to_date_text("ts").alias("day"), value.alias("value"), EVENT_TIME))
+                    fn.ms_to_date_text("ts").alias("day"),
+                    F.unix_millis(day_start + F.expr("INTERVAL 1 DAY")).alias("day_end"),
+                    value.alias("value"), EVENT_TIME))
 
 
 def flag_new_visitors_stream(log: DataFrame, window_ms: int = C.WINDOW_MS,

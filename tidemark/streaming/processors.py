@@ -111,10 +111,13 @@ class NewVisitorProcessor(StatefulProcessor):
 class DailyFirstProcessor(StatefulProcessor):
     """The first record of a visitor on each calendar day.
 
-    Input rows ``(mid, ts, event_id, day, value)`` (``day`` computed in Spark
-    in the session zone); event-time mode.  State: the smallest record per
-    open day (map state) and the last day emitted.  A day's record is
-    emitted when the watermark passes the end of its ``window_ms`` window.
+    Input rows ``(mid, ts, event_id, day, day_end, value)`` (``day`` and its
+    end in epoch ms computed in Spark, in the session zone); event-time mode.
+    State: the smallest record per open day (map state) and the last day
+    emitted.  A day's record is emitted when the watermark passes the end of
+    its ``window_ms`` window.  Once the watermark passes the end of the last
+    emitted day every later record falls on a later day, so that value is
+    cleared too: an idle visitor keeps no state.
     """
 
     def __init__(self, window_ms: int):
@@ -123,8 +126,8 @@ class DailyFirstProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.best = handle.getMapState("best", "day string",
-                                       "ts long, event_id long, value string")
-        self.last_day = handle.getValueState("last_day", "day string")
+                                       "ts long, event_id long, day_end long, value string")
+        self.last_day = handle.getValueState("last_day", "day string, day_end long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         done = self.last_day.get()[0] if self.last_day.exists() else None
@@ -139,7 +142,7 @@ class DailyFirstProcessor(StatefulProcessor):
                 stored = self.best.getValue((day,))
                 cur = tuple(stored) if stored is not None else None
             if cur is None or k < (cur[0], cur[1]):
-                best[day] = (r["ts"], r["event_id"], r["value"])
+                best[day] = (r["ts"], r["event_id"], r["day_end"], r["value"])
             elif day not in best:
                 best[day] = cur
         for day, rec in best.items():
@@ -152,11 +155,15 @@ class DailyFirstProcessor(StatefulProcessor):
         ready = sorted((k[0], tuple(v)) for k, v in self.best.iterator()
                        if _window_end(v[0], self.window_ms) <= wm)
         out = []
-        for day, (ts, eid, value) in ready:
+        for day, (ts, eid, day_end, value) in ready:
             out.append(Row(mid=key[0], event_id=eid, ts=ts, is_new="1", value=value))
             self.best.removeKey((day,))
         if ready:
-            self.last_day.update((ready[-1][0],))
+            day, (_, _, day_end, _) = ready[-1]
+            self.last_day.update((day, day_end))
+            self.handle.registerTimer(day_end)
+        elif self.last_day.exists() and self.last_day.get()[1] <= wm:
+            self.last_day.clear()
         return iter(out)
 
     def close(self) -> None:
@@ -237,8 +244,9 @@ class BounceProcessor(StatefulProcessor):
         kept = [x for x in kept if x[0] >= floor or (x[2] and not x[5])]
         if kept:
             self.buf.put(kept)
-        else:
+        else:                       # nothing pending: the visitor keeps no state
             self.buf.clear()
+            self.done_wm.clear()
         return iter(out)
 
     def close(self) -> None:
