@@ -91,7 +91,7 @@ def null_to_empty(c: Column | str) -> Column:
 # F12 ---------------------------------------------------------------------------
 def to_long(c: Column | str) -> Column:
     """Text -> BIGINT; text that is not a number gives null instead of failing."""
-    return F.try_cast(_c(c), "bigint") if hasattr(F, "try_cast") else _c(c).try_cast("bigint")
+    return _c(c).try_cast("bigint")
 
 
 # Page predicates -------------------------------------------------------

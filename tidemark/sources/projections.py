@@ -18,8 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
-
-DATETIME_FMT = "yyyy-MM-dd HH:mm:ss"
+from tidemark.functions.scalar import DATETIME_FMT
 
 
 def epoch_ms(ts: Column | str) -> Column:
