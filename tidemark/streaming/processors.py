@@ -128,6 +128,8 @@ class DailyFirstProcessor(StatefulProcessor):
         self.best = handle.getMapState("best", "day string",
                                        "ts long, event_id long, day_end long, value string")
         self.last_day = handle.getValueState("last_day", "day string, day_end long")
+        # timers of one batch share a watermark: only the first does any work
+        self.done_wm = handle.getValueState("done_wm", "wm long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         done = self.last_day.get()[0] if self.last_day.exists() else None
@@ -152,8 +154,16 @@ class DailyFirstProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        ready = sorted((k[0], tuple(v)) for k, v in self.best.iterator()
-                       if _window_end(v[0], self.window_ms) <= wm)
+        if self.done_wm.exists() and self.done_wm.get()[0] == wm:
+            return iter([])
+        self.done_wm.update((wm,))
+        ready, pending = [], False
+        for k, v in self.best.iterator():
+            if _window_end(v[0], self.window_ms) <= wm:
+                ready.append((k[0], tuple(v)))
+            else:
+                pending = True
+        ready.sort()
         out = []
         for day, (ts, eid, day_end, value) in ready:
             out.append(Row(mid=key[0], event_id=eid, ts=ts, is_new="1", value=value))
@@ -164,6 +174,8 @@ class DailyFirstProcessor(StatefulProcessor):
             self.handle.registerTimer(day_end)
         elif self.last_day.exists() and self.last_day.get()[1] <= wm:
             self.last_day.clear()
+            if not pending:
+                self.done_wm.clear()        # idle visitor: no state left
         return iter(out)
 
     def close(self) -> None:
