@@ -97,9 +97,12 @@ def log_detail_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WIN
     src = {S.TOPIC_ODS_LOG: read_topic(spark, cfg, S.TOPIC_ODS_LOG)}
 
     def transform(s):
-        parsed = logs.parse_json(s[S.TOPIC_ODS_LOG], S.APP_LOG)
-        good, bad = logs.split_corrupt(parsed)
-        return {"detail": SP.flag_new_visitors_stream(good, window_ms, allowance_ms),
+        # two queries: the detail one uses the cheap parse (records with no
+        # field at all are dropped), the quarantine one keeps malformed text
+        text = s[S.TOPIC_ODS_LOG]
+        bad = logs.split_corrupt(logs.parse_json(text, S.APP_LOG))[1]
+        return {"detail": SP.flag_new_visitors_stream(logs.parse_app_log(text), window_ms,
+                                                      allowance_ms),
                 "quarantine": bad}
 
     split = {
