@@ -52,6 +52,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -63,12 +66,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:      # no context in this client (Spark Connect): scratch folder only
+        return _LOCAL_FALLBACK.setdefault("dir", tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    current = sc.getCheckpointDir()
     if current:
         return current
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:

@@ -25,7 +25,10 @@ def spread_partitions(df: DataFrame) -> DataFrame:
     task however many cores there are; it is redistributed round-robin so the
     per-row work after the scan (JSON, joins) runs in parallel.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:      # no RDD view (e.g. a Spark Connect session): leave as is
         return df
     return df.repartition(cores)
