@@ -103,11 +103,13 @@ class DailyFirstProcessor(StatefulProcessor):
 
     Input rows ``(mid, ts, event_id, day, day_end, value)`` (``day`` and its
     end in epoch ms computed in Spark, in the session zone); event-time mode.
-    State: the smallest record per open day (map state) and the last day
-    emitted.  A day's record is emitted when the watermark passes the end of
-    its ``window_ms`` window.  Once the watermark passes the end of the last
-    emitted day every later record falls on a later day, so that value is
-    cleared too: an idle visitor keeps no state.
+    State per visitor: its open days with their smallest record so far (one
+    value, so a batch costs a couple of state calls per visitor however many
+    days it holds), the last day emitted, and one timer at the earliest
+    pending window end.  A day's record is emitted when the watermark passes
+    the end of its ``window_ms`` window.  Once the watermark passes the end
+    of the last emitted day every later record falls on a later day, so an
+    idle visitor ends with no state.
     """
 
     def __init__(self, window_ms: int):
@@ -115,57 +117,52 @@ class DailyFirstProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.best = handle.getMapState("best", "day string",
-                                       "ts long, event_id long, day_end long, value string")
+        self.open = handle.getValueState("open", "days string")
         self.last_day = handle.getValueState("last_day", "day string, day_end long")
-        # timers of one batch share a watermark: only the first does any work
-        self.done_wm = handle.getValueState("done_wm", "wm long")
+
+    def _load(self) -> dict:
+        import json
+        return json.loads(self.open.get()[0]) if self.open.exists() else {}
+
+    def _save(self, days: dict) -> None:
+        import json
+        if days:
+            self.open.update((json.dumps(days, separators=(",", ":")),))
+            self.handle.registerTimer(min(_window_end(v[0], self.window_ms)
+                                          for v in days.values()))
+        else:
+            self.open.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         done = self.last_day.get()[0] if self.last_day.exists() else None
-        best: dict = {}
+        days = self._load()
+        before = dict(days)
         for r in rows:
             day = r["day"]
             if done is not None and day <= done:
                 continue
-            k = (r["ts"], r["event_id"])
-            cur = best.get(day)
-            if cur is None:
-                stored = self.best.getValue((day,))
-                cur = tuple(stored) if stored is not None else None
-            if cur is None or k < (cur[0], cur[1]):
-                best[day] = (r["ts"], r["event_id"], r["day_end"], r["value"])
-            elif day not in best:
-                best[day] = cur
-        for day, rec in best.items():
-            self.best.updateValue((day,), rec)
-            self.handle.registerTimer(_window_end(rec[0], self.window_ms))
+            cur = days.get(day)
+            if cur is None or (r["ts"], r["event_id"]) < (cur[0], cur[1]):
+                days[day] = [r["ts"], r["event_id"], r["day_end"], r["value"]]
+        if days != before:
+            self._save(days)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        if self.done_wm.exists() and self.done_wm.get()[0] == wm:
-            return iter([])
-        self.done_wm.update((wm,))
-        ready, pending = [], False
-        for k, v in self.best.iterator():
-            if _window_end(v[0], self.window_ms) <= wm:
-                ready.append((k[0], tuple(v)))
-            else:
-                pending = True
-        ready.sort()
-        out = []
-        for day, (ts, eid, day_end, value) in ready:
+        days = self._load()
+        ready = sorted(d for d, v in days.items() if _window_end(v[0], self.window_ms) <= wm)
+        out, last_end = [], None
+        for d in ready:
+            ts, eid, day_end, value = days.pop(d)
             out.append(Row(mid=key[0], event_id=eid, ts=ts, is_new="1", value=value))
-            self.best.removeKey((day,))
+            last_end = int(day_end)
         if ready:
-            day, (_, _, day_end, _) = ready[-1]
-            self.last_day.update((day, day_end))
-            self.handle.registerTimer(day_end)
-        elif self.last_day.exists() and self.last_day.get()[1] <= wm:
-            self.last_day.clear()
-            if not pending:
-                self.done_wm.clear()        # idle visitor: no state left
+            self._save(days)
+            self.last_day.update((ready[-1], last_end))
+            self.handle.registerTimer(last_end)      # to forget the day once it is over
+        elif not days and self.last_day.exists() and self.last_day.get()[1] <= wm:
+            self.last_day.clear()                    # idle visitor: no state left
         return iter(out)
 
     def close(self) -> None:
