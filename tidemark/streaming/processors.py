@@ -171,81 +171,76 @@ class DailyFirstProcessor(StatefulProcessor):
 
 class BounceProcessor(StatefulProcessor):
     """Input rows: ``(mid, ts, event_id, entry, ok, page_id)`` where ``entry``
-    marks an entry page and ``ok`` whether the record satisfies the
-    next-step rule.  Event-time timers at ``ts + within`` of each entry.
+    marks a start record and ``ok`` whether the record satisfies the
+    next-step rule; event-time mode.
 
     ``emit="both"``: a match (strictly next record inside the band with
     ``ok``) and a timeout (no record inside the band) emit the start record.
     ``emit="timeout"``: only timeouts.  A gap of exactly ``within`` is a
     timeout.
-    """
 
-    BUF = T.StructType([
-        T.StructField("ts", T.LongType()),
-        T.StructField("event_id", T.LongType()),
-        T.StructField("entry", T.BooleanType()),
-        T.StructField("ok", T.BooleanType()),
-        T.StructField("page_id", T.StringType()),
-        T.StructField("decided", T.BooleanType()),
-    ])
+    State per visitor: the records of the undecided band as one value (a
+    couple of state calls per visitor and batch) and one timer at the
+    earliest undecided start's ``ts + within``.  A start is decided once the
+    watermark passes that point: every record before it has arrived.
+    Records that can no longer be anyone's next record are pruned.
+    """
 
     def __init__(self, within_ms: int, emit: str = "both"):
         if emit not in ("both", "timeout"):
             raise ValueError("emit is 'both' or 'timeout'")
-        self.within = within_ms
+        self.within = int(within_ms)
         self.emit = emit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", self.BUF)
-        # watermark at which the buffer was last decided: the timers of one
-        # batch share a watermark, so only the first of them does any work
-        self.done_wm = handle.getValueState("done_wm", "wm long")
+        self.buf = handle.getValueState("buf", "items string")
+
+    def _load(self) -> list:
+        import json
+        return json.loads(self.buf.get()[0]) if self.buf.exists() else []
 
-    CHUNK = 1024
+    def _save(self, items: list) -> None:
+        import json
+        if not items:
+            self.buf.clear()
+            return
+        self.buf.update((json.dumps(items, separators=(",", ":")),))
+        pending = [x[0] for x in items if x[2] and not x[5]]
+        if pending:
+            self.handle.registerTimer(min(pending) + self.within)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        chunk = []
+        items = self._load()
+        n = len(items)
         for r in rows:
-            entry = bool(_get(r, "entry"))
-            chunk.append((_get(r, "ts"), _get(r, "event_id"), entry,
-                          bool(_get(r, "ok")), _get(r, "page_id"), False))
-            if entry:
-                self.handle.registerTimer(_get(r, "ts") + self.within)
-            if len(chunk) >= self.CHUNK:
-                self.buf.appendList(chunk)
-                chunk = []
-        if chunk:
-            self.buf.appendList(chunk)
+            items.append([r["ts"], r["event_id"], bool(r["entry"]), bool(r["ok"]),
+                          r["page_id"], False])
+        if len(items) != n:
+            self._save(items)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        if self.done_wm.exists() and self.done_wm.get()[0] == wm:
+        items = sorted(self._load(), key=lambda x: (x[0], x[1]))
+        if not items:
             return iter([])
-        self.done_wm.update((wm,))
-        horizon = max(wm, expiredTimerInfo.getExpiryTimeInMs())
-        items = sorted(self.buf.get(), key=lambda x: (x[0], x[1])) if self.buf.exists() else []
-        out = []
-        kept = []
-        for i, (ts, eid, entry, ok, page_id, decided) in enumerate(items):
-            if entry and not decided and ts + self.within <= horizon:
+        out, changed = [], False
+        for i, x in enumerate(items):
+            ts, eid, entry, _, page_id, decided = x
+            if entry and not decided and ts + self.within <= wm:
                 nxt = items[i + 1] if i + 1 < len(items) else None
                 timeout = nxt is None or nxt[0] - ts >= self.within
                 if timeout or (self.emit == "both" and nxt[3]):
                     out.append(Row(mid=key[0], ts=ts, event_id=eid, page_id=page_id))
-                decided = True
-            kept.append((ts, eid, entry, ok, page_id, decided))
-        # rows before the earliest undecided entry (and before the watermark)
+                x[5] = changed = True
+        # rows before the earliest undecided start (and before the watermark)
         # can no longer be anyone's next record
-        undecided = [x[0] for x in kept if x[2] and not x[5]]
+        undecided = [x[0] for x in items if x[2] and not x[5]]
         floor = min([wm] + undecided)
-        kept = [x for x in kept if x[0] >= floor or (x[2] and not x[5])]
-        if kept:
-            self.buf.put(kept)
-        else:                       # nothing pending: the visitor keeps no state
-            self.buf.clear()
-            self.done_wm.clear()
+        kept = [x for x in items if x[0] >= floor or (x[2] and not x[5])]
+        if changed or len(kept) != len(items):
+            self._save(kept)
         return iter(out)
 
     def close(self) -> None:
