@@ -171,3 +171,8 @@ def test_bounce_with_sql_pattern_predicates(spark):
         start_when="coalesce(page.last_page_id, '') = ''",
         next_when="page.page_id IS NOT NULL AND length(page.last_page_id) > 0")
     assert sorted((r.common.mid, r.ts) for r in out.collect()) == [("101", 11000)]
+
+
+def test_unparsable_lines(spark):
+    got = sorted(r.value for r in logs.unparsable(_log_text(spark, RAW + ["{}"]), S.APP_LOG).collect())
+    assert got == ["this is not json", "{}"]

@@ -71,6 +71,16 @@ def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def unparsable(text: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """Raw lines that give no field under ``schema`` (malformed text or an
+    empty object), for a quarantine output; the cheap parse, run once."""
+    rec = F.struct(F.col(value_col).alias("value"),
+                   F.from_json(F.col(value_col), schema).alias("r"))
+    return (text.select(F.inline(F.filter(F.array(rec),
+                                          lambda x: ~_any_field(x["r"], schema.fieldNames()))))
+            .select("value"))
+
+
 def parse_app_log(text: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw ``ods_log`` text -> app-log records; malformed text dropped
     (use ``parse_json`` + ``split_corrupt`` to keep it)."""

@@ -97,10 +97,10 @@ def log_detail_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WIN
     src = {S.TOPIC_ODS_LOG: read_topic(spark, cfg, S.TOPIC_ODS_LOG)}
 
     def transform(s):
-        # two queries: the detail one uses the cheap parse (records with no
-        # field at all are dropped), the quarantine one keeps malformed text
+        # two queries over the same topic, both with the cheap parse: the
+        # detail one keeps records with fields, the quarantine one the rest
         text = s[S.TOPIC_ODS_LOG]
-        bad = logs.split_corrupt(logs.parse_json(text, S.APP_LOG))[1]
+        bad = logs.unparsable(text, S.APP_LOG)
         return {"detail": SP.flag_new_visitors_stream(logs.parse_app_log(text), window_ms,
                                                       allowance_ms),
                 "quarantine": bad}
