@@ -125,3 +125,32 @@ def test_topic_sinks_round_trip(spark, scratch):
     both = read_topics(spark, cfg, "x", "y", "x", streaming=False)
     assert set(both) == {"x", "y"}
     assert sorted(r.value for r in both["x"].collect()) == ['{"k":"1"}', '{"k":"3"}']
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rule_row = st.tuples(st.sampled_from(["t", "u"]),
+                      st.sampled_from(["insert", "update_after", "update_before", "delete"]),
+                      st.integers(0, 50))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(history=st.lists(_rule_row, min_size=1, max_size=12),
+       times=st.lists(st.integers(0, 60), min_size=1, max_size=10))
+def test_asof_equals_brute_force(spark, history, times):
+    rows = [(src, "insert", "kafka", f"s{v}", "id", None, None, op, v, ts)
+            for v, (src, op, ts) in enumerate(history)]
+    h = _hist(spark, rows)
+    recs = [{"database": "d", "table": tb, "type": "insert", "ts": ts, "data": DATA}
+            for i, ts in enumerate(times) for tb in ("t", "u")]
+    got = sorted((r.table, r.ts, r.sink_table)
+                 for r in cdc.attach_rules_asof(cdc.clean_changes(_text(spark, recs)), h).collect())
+    want = []
+    for rec in recs:
+        live = [r for r in rows if r[0] == rec["table"] and r[7] in ("insert", "update_after")
+                and r[9] <= rec["ts"]]
+        if live:
+            best = max(live, key=lambda r: (r[9], r[8]))
+            want.append((rec["table"], rec["ts"], best[3]))
+    assert got == sorted(want)
