@@ -191,3 +191,28 @@ def test_dimension_path_feeds_order_wide(spark, env):
            .select(F.from_json("value", want.schema).alias("r")).select("r.*"))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches=st.lists(st.lists(st.tuples(st.integers(1, 4), st.sampled_from("abc")),
+                                 min_size=1, max_size=4), min_size=1, max_size=5))
+def test_dimension_store_equals_last_write(spark, batches):
+    import tempfile as _t
+    from tidemark.session import ensure_checkpoint_dir
+    store = DimensionStore(spark, _t.mkdtemp(prefix="dimprop-", dir=ensure_checkpoint_dir(spark)),
+                           compact_every=2)
+    schema = "sink_table string, pk string, seq long, data map<string,string>"
+    seq, last = 0, {}
+    for b, rows in enumerate(batches):
+        recs = []
+        for pk, name in rows:
+            seq += 1
+            recs.append(("dim_p", str(pk), seq, {"ID": str(pk), "NAME": name}))
+            last[str(pk)] = name
+        store.upsert(spark.createDataFrame(recs, schema), b, {"dim_p": ("id,name", "id")})
+    got = {r.ID: r.NAME for r in store.read("dim_p").collect()}
+    assert got == last
