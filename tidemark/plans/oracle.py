@@ -288,3 +288,4 @@ SELECT CAST(ID AS BIGINT) AS user_id, GENDER AS user_gender, BIRTHDAY AS birthda
 FROM user_dim
 """,
 }
+SQL["order_wide_enrich_first"] = SQL["order_wide"]

@@ -166,6 +166,14 @@ def raw_log_by_day(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def order_wide_enrich_first(spark: SparkSession, sf: str) -> DataFrame:
+    """The same wide record, dimensions joined to orders and details before
+    the band join (the plan for non-selective bands)."""
+    info, detail = _orders(spark, sf)
+    return orders.order_wide(info, detail, _dims(spark, sf), C.AS_OF,
+                             C.ORDER_BAND_MS, C.ORDER_BAND_MS, enrich_first=True)
+
+
 def user_age(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.functions import scalar as fn
     u = P.dim_user_info(table(spark, sf, "customer"))
@@ -190,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "order_interval_join": order_interval_join,
     "order_wide": order_wide,
     "user_age": user_age,
+    "order_wide_enrich_first": order_wide_enrich_first,
     "dim_sku_flat": dim_sku_flat,
     "raw_log_by_day": raw_log_by_day,
 }
