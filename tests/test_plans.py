@@ -24,10 +24,10 @@ def at_scale(spark):
         spark.conf.set(k, v)
 
 
-def _plan(spark, name) -> str:
+def _plan(spark, name, mode: str = "simple") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        QUERIES[name](spark, SF01).explain()
+        QUERIES[name](spark, SF01).explain(mode)
     return buf.getvalue()
 
 
@@ -61,7 +61,7 @@ def test_change_records_never_shuffled_on_rule_key(at_scale):
 
 
 def test_scans_are_pruned(at_scale):
-    text = _plan(at_scale, "order_interval_join")
+    text = _plan(at_scale, "order_interval_join", "formatted")
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     lineitem = [s for s in schemas if "l_orderkey" in s][0]
     assert "l_returnflag" not in lineitem and "l_tax" not in lineitem
