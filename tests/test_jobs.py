@@ -216,3 +216,37 @@ def test_dimension_store_equals_last_write(spark, batches):
         store.upsert(spark.createDataFrame(recs, schema), b, {"dim_p": ("id,name", "id")})
     got = {r.ID: r.NAME for r in store.read("dim_p").collect()}
     assert got == last
+
+
+def test_layers_chain_through_topics(spark, env):
+    """ods_log -> log-detail job -> dwd_page topic -> unique-visitor job ->
+    dwm_uv topic, equal to the batch operators chained the same way."""
+    base, cfg = env
+    log = P.app_log(table(spark, SF001, "events"))
+    closing = (log.limit(1).withColumn("event_id", F.lit(-1).cast("long"))
+               .withColumn("ts", F.lit(4 * 10 ** 12).cast("long"))
+               .withColumn("start", F.lit(None).cast(S.START))
+               .withColumn("page", F.struct(F.lit("home").alias("page_id"),
+                                            F.lit(None).cast("string").alias("last_page_id"),
+                                            F.lit(0.0).alias("during_time")))
+               .withColumn("common", F.col("common").withField("mid", F.lit("zz"))))
+    write_topic(log.repartitionByRange(4, "ts").select(F.to_json(F.struct("*")).alias("value")),
+                cfg, S.TOPIC_ODS_LOG, batch_id=0)
+    write_topic(closing.select(F.to_json(F.struct("*")).alias("value")), cfg, S.TOPIC_ODS_LOG, 1)
+    _stamp_in_order(cfg.path(S.TOPIC_ODS_LOG))
+    state = os.path.join(base, "state")
+    _finish(jobs.log_detail_job(spark, cfg, window_ms=6 * HOUR, trigger=ONCE, state_root=state))
+    # the consumer takes every available file per batch, as from a live topic,
+    # and a closing record moves its watermark past the end
+    write_topic(closing, cfg, S.TOPIC_DWD_PAGE, batch_id=10 ** 6)
+    _stamp_in_order(cfg.path(S.TOPIC_DWD_PAGE))
+    cfg_all = TopicConfig(base_path=cfg.base_path)
+    _finish(jobs.unique_visitor_job(spark, cfg_all, window_ms=6 * HOUR, trigger=ONCE,
+                                    state_root=state))
+    got = (read_topic(spark, cfg, S.TOPIC_DWM_UV, streaming=False)
+           .select(F.from_json("value", "mid string, event_id long").alias("r"))
+           .select("r.*").filter("mid <> 'zz'"))
+    pages = logs.split_logs(logs.flag_new_visitors(log))["page"]
+    want = logs.daily_unique_visitors(pages).select("mid", "event_id")
+    assert sorted(got.collect()) == sorted(want.collect())
+    assert want.count() > 0

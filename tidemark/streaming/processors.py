@@ -4,8 +4,9 @@ records of one undecided band (kept on the state store, RocksDB).
 
 * ``NewVisitorProcessor`` (W2) and ``DailyFirstProcessor`` (W3): first
   visit ever / first visit per day, decided when the watermark passes the
-  end of the candidate record's window.  They keep one candidate record per
-  visitor (per open day for W3); every other record passes straight through.
+  end of the candidate record's window.  W2 holds a new visitor's records
+  until then and releases them together (order-preserving for downstream
+  jobs); W3 keeps the smallest record per open day.
 * ``BounceProcessor`` (W4 / W5): an event-time two-step pattern with a
   timeout.  Page records are buffered until the watermark passes
   ``ts + within`` of an entry page; then the strictly next record decides.
@@ -47,22 +48,27 @@ class NewVisitorProcessor(StatefulProcessor):
     """Every app-log record of a visitor, ``is_new = 1`` on the first one
     ever (smallest ``(ts, event_id)``), ``0`` on all others.
 
-    Input rows ``(mid, ts, event_id, value)``; event-time mode.  State per
-    visitor is one candidate record and, once decided, the first record's
-    key.  A record that arrives while a smaller candidate exists can never be
-    the first, so it is emitted at once with ``0``; a candidate displaced by
-    a smaller record likewise.  The candidate is decided (emitted with ``1``)
-    when the watermark passes the end of its ``window_ms`` window: every
-    earlier record has arrived by then, later ones are dropped as late.
+    Input rows ``(mid, ts, event_id, value)``; event-time mode.  Until the
+    visitor's first record is decided, records are kept in list state (on
+    the state store, streamed back out, never held in memory together) and
+    the smallest one is tracked in a single value.  The decision is taken
+    when the watermark passes the end of that record's ``window_ms`` window:
+    every earlier record has arrived by then.  Afterwards each record is
+    emitted as soon as it arrives, flagged ``0``.  Releasing an undecided
+    visitor's records together keeps them in event-time order for the jobs
+    downstream (a first record held back alone could reach them late).
     """
 
+    CHUNK = 1024
+
     def __init__(self, window_ms: int):
         self.window_ms = int(window_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.decided = handle.getValueState("decided", "ts long, event_id long")
-        self.cand = handle.getValueState("cand", "ts long, event_id long, value string")
+        self.cand = handle.getValueState("cand", "ts long, event_id long")
+        self.buf = handle.getListState("buf", "ts long, event_id long, value string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mid = key[0]
@@ -71,28 +77,35 @@ class NewVisitorProcessor(StatefulProcessor):
                 yield Row(mid=mid, event_id=r["event_id"], ts=r["ts"], is_new="0", value=r["value"])
             return
         cand = tuple(self.cand.get()) if self.cand.exists() else None
-        changed = False
+        chunk = []
         for r in rows:
-            rec = (r["ts"], r["event_id"], r["value"])
-            if cand is None or rec[:2] < cand[:2]:
-                if cand is not None:            # displaced: never the first
-                    yield Row(mid=mid, event_id=cand[1], ts=cand[0], is_new="0", value=cand[2])
-                cand, changed = rec, True
-            else:
-                yield Row(mid=mid, event_id=rec[1], ts=rec[0], is_new="0", value=rec[2])
-        if changed:
+            k = (r["ts"], r["event_id"])
+            if cand is None or k < cand:
+                cand = k
+            chunk.append((r["ts"], r["event_id"], r["value"]))
+            if len(chunk) >= self.CHUNK:
+                self.buf.appendList(chunk)
+                chunk = []
+        if chunk:
+            self.buf.appendList(chunk)
+        if cand is not None:
             self.cand.update(cand)
             self.handle.registerTimer(_window_end(cand[0], self.window_ms))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.decided.exists() or not self.cand.exists():
             return
-        cand = tuple(self.cand.get())
-        if _window_end(cand[0], self.window_ms) > timerValues.getCurrentWatermarkInMs():
+        first = tuple(self.cand.get())
+        if _window_end(first[0], self.window_ms) > timerValues.getCurrentWatermarkInMs():
             return                      # an older timer; the current candidate's fires later
-        yield Row(mid=key[0], event_id=cand[1], ts=cand[0], is_new="1", value=cand[2])
+        mid = key[0]
+        if self.buf.exists():
+            for ts, eid, value in self.buf.get():
+                yield Row(mid=mid, event_id=eid, ts=ts,
+                          is_new="1" if (ts, eid) == first else "0", value=value)
+        self.buf.clear()
         self.cand.clear()
-        self.decided.update((cand[0], cand[1]))
+        self.decided.update(first)
 
     def close(self) -> None:
         pass
