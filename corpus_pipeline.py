@@ -6,10 +6,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import line_rules, simhash
 from tidemark.llm.common import documents, small_batches, staged
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go; of the others, the failing lines."""
+    small_batches(spark)
+    return line_rules.clean(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays (the smallest id)."""
     small_batches(spark)
@@ -17,6 +23,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_dedup),
 ]
 

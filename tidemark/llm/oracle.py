@@ -2,4 +2,68 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from tidemark.llm import line_rules as lr
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _any_of(chars: str) -> str:
+    return "[" + "".join("\\" + c if c in r"\]^-[" else c for c in chars) + "]"
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _count(column: str, chars: str) -> str:
+    none = _any_of(chars).replace("[", "[^", 1)
+    return f"length(regexp_replace({column}, {_quoted(none)}, '', 'g'))"
+
+
+OP9 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, regexp_extract_all(t, '{WORD}') AS ws FROM d),
+g AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS times
+  FROM (SELECT rid, i, ws[i] AS a, ws[i + 1] AS b, ws[i + 2] AS c
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w))),
+rep AS (
+  SELECT rid, count(DISTINCT i + k) AS n
+  FROM g, (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY rid),
+l AS (
+  SELECT rid, pos, line, regexp_extract_all(line, '{WORD}') AS lw
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line,
+               unnest(range(len(string_split(t, chr(10))))) AS pos FROM d)),
+f AS (
+  SELECT rid, row_number() OVER (PARTITION BY rid, line ORDER BY pos) AS nth, chars,
+         CASE WHEN 100 * syms > {lr.MAX_SYMBOL_PERCENT} * chars THEN true
+              WHEN n < {lr.MIN_OPEN_WORDS} AND NOT closed THEN true
+              WHEN seps >= {lr.MIN_SEPARATORS} AND n <= {lr.MAX_ITEM_WORDS} * (seps + 1) THEN true
+              ELSE n <= {lr.MAX_BOILERPLATE_WORDS} AND said END AS fails
+  FROM (SELECT rid, pos, line, len(lw) AS n,
+               list_sum(list_transform(lw, lambda x: length(x))) AS chars,
+               {_count("line", lr.SYMBOLS)} AS syms, {_count("line", lr.SEPARATORS)} AS seps,
+               regexp_matches(line, {_quoted(_any_of(lr.TERMINAL) + _any_of(lr.CLOSING)
+                                             + r"*[ \t\n\x0b\x0c\r]*\z")}) AS closed,
+               regexp_matches(lower(line), {_quoted("|".join(
+                   p.replace("(", r"\(").replace(")", r"\)") for p in lr.BOILERPLATE))}) AS said
+        FROM l WHERE len(lw) > 0)),
+ls AS (
+  SELECT rid, count(*) FILTER (WHERE nth > 1) AS n_dup,
+         coalesce(sum(chars) FILTER (WHERE fails), 0) AS lost FROM f GROUP BY rid),
+m AS (
+  SELECT doc_id, len(ws) AS n_words,
+         coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         {_count("t", lr.SYMBOLS)} AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+         coalesce(rep.n, 0) AS n_repeat_words, coalesce(lost, 0)::BIGINT AS lost_chars
+  FROM d JOIN w USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN ls USING (rid)),
+b AS (
+  SELECT *, n_words < {lr.MIN_WORDS}
+            OR 100 * n_repeat_words > {lr.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * lost_chars <= {lr.MAX_LOST_PERCENT} * word_chars AS kept FROM b
+"""
+
+SQL: dict[str, str] = {
+    "op9_quality_rules": OP9,
+}

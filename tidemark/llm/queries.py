@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import line_rules, simhash
 from tidemark.llm.common import documents, small_batches
 
 
@@ -16,6 +16,15 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return line_rules.judge(documents(spark, sf_dir)).select(
+        "doc.doc_id", *[f"rules.{c}" for c in (
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "lost_chars", "base_failed", "kept")])
+
+
 QUERIES = {
+    "op9_quality_rules": op9_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
