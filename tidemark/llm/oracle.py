@@ -64,6 +64,22 @@ b AS (
 SELECT *, NOT base_failed AND 100 * lost_chars <= {lr.MAX_LOST_PERCENT} * word_chars AS kept FROM b
 """
 
+OP4 = """
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS h FROM pages),
+q AS (
+  SELECT *, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest FROM p),
+r AS (
+  SELECT *, row_number() OVER w AS nth, first_value(page_id) OVER w AS lead
+  FROM q WINDOW w AS (PARTITION BY payload_digest
+                      ORDER BY page_id NULLS LAST, coalesce(url, ''), rid))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND nth > 1 THEN lead END AS refers_to
+FROM r
+"""
+
 SQL: dict[str, str] = {
+    "op4_warc_archive": OP4,
     "op9_quality_rules": OP9,
 }

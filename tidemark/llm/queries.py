@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_rules, simhash
-from tidemark.llm.common import documents, small_batches
+from tidemark.llm import line_rules, simhash, warc
+from tidemark.llm.common import documents, run_folder, small_batches
+from tidemark.sources.tables import table
+
+
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.fields(warc.read_archive(spark, folder))
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +32,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_warc_archive": op4_warc_archive,
     "op9_quality_rules": op9_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
