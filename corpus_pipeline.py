@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_rules, simhash
+from tidemark.llm import line_rules, packing, simhash
 from tidemark.llm.common import documents, small_batches, staged
+from tidemark.llm.vocabulary import broadcast_vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +23,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one_per_group(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All that is left, as pieces of token windows."""
+    small_batches(spark)
+    return packing.pack(docs, broadcast_vocabulary(spark))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_dedup),
+    ("packing", pack),
 ]
 
 #: Tokens, chunk boundaries and the fitted classifier are not expressible in SQL.

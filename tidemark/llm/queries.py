@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_rules, simhash, warc
+from tidemark.llm import bpe, line_rules, packing, simhash, warc
 from tidemark.llm.common import documents, run_folder, small_batches
+from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
 
 
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    vocabulary = broadcast_vocabulary(spark)
+    coded = documents(spark, sf_dir).select("doc_id", bpe.encode("text", vocabulary).alias("ids"))
+    both = coded.select("doc_id", "ids", bpe.decode("ids", vocabulary).alias("decoded"))
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+        .alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "warc")
     warc.write_archive(table(spark, sf_dir, "pages"), folder)
@@ -23,6 +36,13 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    pieces = packing.pack(documents(spark, sf_dir), broadcast_vocabulary(spark))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return line_rules.judge(documents(spark, sf_dir)).select(
@@ -32,7 +52,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_warc_archive": op4_warc_archive,
+    "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
