@@ -7,25 +7,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import line_rules, packing, simhash
-from tidemark.llm.common import documents, small_batches, staged
+from tidemark.llm.common import documents, prepare, staged
 from tidemark.llm.vocabulary import broadcast_vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; of the others, the failing lines."""
-    small_batches(spark)
+    prepare(spark)
     return line_rules.clean(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays (the smallest id)."""
-    small_batches(spark)
+    prepare(spark)
     return simhash.keep_one_per_group(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, as pieces of token windows."""
-    small_batches(spark)
+    prepare(spark)
     return packing.pack(docs, broadcast_vocabulary(spark))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.session import shared_path
 from tidemark.sources.tables import table
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 HELD_OUT_REMAINDER = 2      # crc32(doc_id as text) mod 4 of the rows no model learns from
 
 
@@ -47,7 +49,13 @@ def unaligned(key: Column) -> Column:
     return key.bitwiseXOR(F.lit(0).cast("long"))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch of whole texts takes in a Python worker."""
+def prepare(spark: SparkSession) -> None:
+    """Settings of the operators that run Python: bound what one Arrow batch of
+    whole texts takes in a worker, and let workers that share this machine's
+    folders import the package wherever the job was started from."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, line_rules, packing, simhash, warc
-from tidemark.llm.common import documents, run_folder, small_batches
+from tidemark.llm.common import documents, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     vocabulary = broadcast_vocabulary(spark)
     coded = documents(spark, sf_dir).select("doc_id", bpe.encode("text", vocabulary).alias("ids"))
     both = coded.select("doc_id", "ids", bpe.decode("ids", vocabulary).alias("decoded"))
@@ -30,21 +30,21 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     rows = simhash.near_duplicates(documents(spark, sf_dir))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                        "component_id")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     pieces = packing.pack(documents(spark, sf_dir), broadcast_vocabulary(spark))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return line_rules.judge(documents(spark, sf_dir)).select(
         "doc.doc_id", *[f"rules.{c}" for c in (
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
