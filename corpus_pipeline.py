@@ -5,10 +5,12 @@ folder and reread as the next one's documents."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import line_rules, packing, simhash
+from tidemark.llm import line_rules, packing, quality, simhash
 from tidemark.llm.common import documents, prepare, staged
 from tidemark.llm.vocabulary import broadcast_vocabulary
+from tidemark.sources.tables import table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,6 +19,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return line_rules.clean(docs)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold go.  The rules before have
+    taken out most bad examples, so the fit reads the labelled rows of the
+    uncleaned documents; where nothing can be learned, nothing goes."""
+    prepare(spark)
+    model = quality.fit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    if model is None:
+        return docs
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    scored = docs.select(F.struct(*own).alias("doc"), quality.score("text", model).alias("score"))
+    return scored.where(F.col("score") >= quality.THRESHOLD).select("doc.*")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays (the smallest id)."""
     prepare(spark)
@@ -31,6 +46,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", near_dedup),
     ("packing", pack),
 ]

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_rules, packing, simhash, warc
-from tidemark.llm.common import documents, prepare, run_folder
+from tidemark.llm import bpe, language, line_rules, packing, quality, simhash, warc
+from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                         quality.score("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     vocabulary = broadcast_vocabulary(spark)
@@ -29,6 +38,14 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.fields(warc.read_archive(spark, folder))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = documents(spark, sf_dir)
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                        language.predict("text", language.fit(docs)).alias("p"))
+    return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = simhash.near_duplicates(documents(spark, sf_dir))
@@ -52,9 +69,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_warc_archive": op4_warc_archive,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op5_language_id": op5_language_id,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
