@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tidemark.llm import line_rules as lr
+from tidemark.llm import url_templates as ut
+from tidemark.llm.queries import URL_RULES
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,6 +66,72 @@ b AS (
 SELECT *, NOT base_failed AND 100 * lost_chars <= {lr.MAX_LOST_PERCENT} * word_chars AS kept FROM b
 """
 
+def _op2() -> str:
+    """The template tree, one pair of CTEs per level (a page ends at its own depth)."""
+    rules = sorted(ut.parse_rules(URL_RULES),
+                   key=lambda r: (-len(r.name), r.verdict != "block", r.name))
+
+    def rule(what: str) -> str:
+        return "CASE " + " ".join(
+            f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) "
+            f"AND starts_with(path, '{r.path}') THEN '{getattr(r, what)}'" for r in rules) + " END"
+
+    def alike(part: str, whole: str, all_part: str, all_whole: str) -> str:
+        share = f"({all_part}::DOUBLE / {all_whole})"
+        gap = f"({part}::DOUBLE / {whole} - {share})"
+        return (f"({whole} = 0 OR {all_whole} = 0 OR {all_part} = 0 OR {all_part} = {all_whole} OR "
+                f"{gap} * {gap} <= {ut.CHI_SQUARE} * ({share} * (1 - {share}) "
+                f"* (1::DOUBLE / {whole} + 1::DOUBLE / {all_whole})))")
+
+    levels = []
+    for d in range(ut.MAX_DEPTH):
+        levels.append(f"""
+k{d} AS (
+  SELECT host, node, seg, count(*) AS n, count(*) FILTER (WHERE label = 1) AS good,
+         count(label) AS m, count(*) FILTER (WHERE len(segs) = {d + 1}) AS ends
+  FROM (SELECT *, segs[{d + 1}] AS seg FROM r{d} WHERE len(segs) > {d}) GROUP BY ALL),
+l{d} AS (
+  SELECT host, node, seg,
+    CASE WHEN kinds >= {ut.MIN_KINDS} AND n * {ut.RARE_SHARE} <= an
+           THEN '{ut.ANY}' || regexp_extract(seg, '\\.[A-Za-z0-9]{{1,5}}$')
+         WHEN kinds > 1 AND {alike("good", "m", "agood", "am")}
+              AND {alike("ends", "n", "aends", "an")} THEN '{ut.ALIKE}'
+         ELSE seg END AS label_to
+  FROM (SELECT *, count(*) OVER w AS kinds, sum(n) OVER w AS an, sum(good) OVER w AS agood,
+               sum(m) OVER w AS am, sum(ends) OVER w AS aends
+        FROM k{d} WINDOW w AS (PARTITION BY host, node))),
+r{d + 1} AS (
+  SELECT rid, page_id, r.host, path, rule, label, segs,
+         CASE WHEN label_to IS NULL THEN r.node ELSE r.node || '/' || label_to END AS node
+  FROM r{d} r LEFT JOIN l{d} l
+    ON r.host = l.host AND r.node = l.node AND segs[{d + 1}] = l.seg)""")
+    return f"""
+WITH u AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+p AS (
+  SELECT rid, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), '{ut._UPPER}', '{ut._LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r0 AS (
+  SELECT rid, page_id, host, path, {rule("name")} AS rule,
+         CASE {rule("verdict")} WHEN 'allow' THEN 1 WHEN 'block' THEN 0 END AS label,
+         CASE WHEN path = '' THEN []::VARCHAR[]
+              ELSE string_split(substr(path, 2), '/')[:{ut.MAX_DEPTH}] END AS segs, '' AS node
+  FROM p),{",".join(levels)},
+t AS (
+  SELECT *, (coalesce(sum(label) OVER w, 0) + {ut.PRIOR_WEIGHT} * coalesce(
+               (sum(label) OVER ())::DOUBLE / nullif(count(label) OVER (), 0), 1))
+            / (count(label) OVER w + {ut.PRIOR_WEIGHT}) AS purity
+  FROM r{ut.MAX_DEPTH} WINDOW w AS (PARTITION BY host, node))
+SELECT page_id, host, path, rule, node AS template,
+       CASE WHEN label = 1 THEN 'allow' WHEN label = 0 THEN 'block'
+            WHEN purity < {ut.REJECT_BELOW} THEN 'block' ELSE 'allow' END AS verdict
+FROM t
+"""
+
+
 OP4 = """
 WITH p AS (
   SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS h FROM pages),
@@ -80,6 +148,7 @@ FROM r
 """
 
 SQL: dict[str, str] = {
+    "op2_url_filters": _op2(),
     "op4_warc_archive": OP4,
     "op9_quality_rules": OP9,
 }

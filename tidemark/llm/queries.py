@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language, line_rules, packing, quality, simhash, warc
+from tidemark.llm import (bpe, language, line_rules, packing, quality, simhash,
+                          url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
 
 
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1",
+             "allow com/fr/", "block com/de/"]
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = documents(spark, sf_dir)
@@ -20,6 +25,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages"),
+                               url_templates.parse_rules(URL_RULES))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     vocabulary = broadcast_vocabulary(spark)
@@ -70,6 +80,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_url_filters": op2_url_filters,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_warc_archive": op4_warc_archive,
     "op8_packing": op8_packing,
