@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_rules, packing, quality, simhash
+from tidemark.llm import chunks, line_rules, packing, quality, simhash
 from tidemark.llm.common import documents, prepare, staged
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
@@ -38,6 +38,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one_per_group(docs)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds are taken out of the texts."""
+    prepare(spark)
+    return chunks.without_repeats(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, as pieces of token windows."""
     prepare(spark)
@@ -48,6 +54,7 @@ STAGES = [
     ("quality_rules", quality_rules),
     ("quality_classifier", quality_classifier),
     ("simhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
     ("packing", pack),
 ]
 

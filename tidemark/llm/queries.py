@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe, language, line_rules, packing, quality, simhash,
-                          url_templates, warc)
+from tidemark.llm import (bpe, chunks, language, line_rules, packing, quality,
+                          simhash, url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
@@ -56,6 +56,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    done = chunks.deduplicate(documents(spark, sf_dir))
+    return done.select("doc.doc_id", "text", "spans", "owners")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     rows = simhash.near_duplicates(documents(spark, sf_dir))
@@ -86,5 +92,6 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op5_language_id": op5_language_id,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
