@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe, chunks, language, line_rules, packing, quality,
-                          simhash, url_templates, warc)
+from tidemark.llm import (ann, bpe, chunks, language, line_rules, packing,
+                          quality, simhash, url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
@@ -84,6 +84,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lost_chars", "base_failed", "kept")])
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -91,6 +96,7 @@ QUERIES = {
     "op4_warc_archive": op4_warc_archive,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
     "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
