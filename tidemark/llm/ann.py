@@ -5,8 +5,12 @@ that gives every vector the same length.  A bounded sample fits the centroids
 by balanced splits; every vector is posted to its nearest centroid's list and,
 near a boundary, to further ones.  A query walks a neighbour graph of the
 centroids held in memory and keeps the lists whose distance is within a ratio
-of the best.  Queries and lists then meet in groups of bounded size, where
-exact inner products decide.
+of the best; the ratio is the one at which a bounded sample of queries, searched
+exactly, finds ``RECALL`` of its neighbours.  Queries and lists then meet in
+groups of bounded size, where exact inner products decide.
+
+The walk visits a share of the lists that depends on the data: few where
+vectors cluster, more than half where they point in all directions evenly.
 
 Equal vectors are searched once: a result can name no more than the smallest
 few ids of a vector, so a hot vector costs no more than any other.
@@ -26,15 +30,17 @@ from tidemark.llm.common import staged, unaligned
 
 NEAREST = 20
 SAMPLE_ROWS = 20_000        # vectors that fit the centroids, at most about
-LIST_SIZE = 256             # vectors a list is meant to hold
+SAMPLE_QUERIES = 256        # queries that fit the ratio, at most
+RECALL = 0.98               # that the ratio gives them
+LIST_SIZE = 512             # vectors a list is meant to hold
 MAX_LISTS = 4096
+ROUNDS = 6                  # of centroid refinement
 REPLICAS = 4                # lists a vector is posted to, at most
-REPLICA_RATIO = 1.08        # of its distance to the nearest centroid
-PROBE_RATIO = 1.35          # of the best list's distance from a query
-MIN_PROBES = 8
-MAX_PROBES = 48             # lists the walk keeps; the recall this gives is measured
+REPLICA_RATIO = 1.02        # of its distance to the nearest centroid
+MIN_PROBES = 4
 DEGREE = 16
-GROUP_VECTORS, GROUP_QUERIES = 4096, 2048
+WALK_SLACK = 1.03           # the walk looks a little beyond the ratio
+GROUP_VECTORS, GROUP_QUERIES = 8192, 2048
 SEED = 5
 
 
@@ -60,9 +66,10 @@ def _combined(column) -> pa.Array:
 @dataclass
 class Index:
     centroids: np.ndarray       # of the lengthened vectors
-    graph: np.ndarray           # neighbours of each centroid
+    graph: list[np.ndarray]     # neighbours of each centroid
     entries: np.ndarray         # where a walk may begin
     top: float                  # the largest squared length of a vector
+    ratio: float = 1.0          # lists up to this many times the best distance are searched
 
     def lengthen(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(0, self.top - np.einsum("ij,ij->i", x, x)))
@@ -80,44 +87,52 @@ class Index:
         row, slot = np.nonzero(keep)
         return row, near[row, slot]
 
-    def probes(self, q: np.ndarray) -> list[int]:
-        """Lists to search for one query: best-first walk of the graph, then pruning
-        by the ratio to the best distance."""
-        size = float(np.sqrt(q @ q))
-        q = np.append(q / size * np.sqrt(self.top), 0.0)
+    def _far(self, q: np.ndarray):
+        """The distance of centroids from a query."""
+        q = np.append(q / np.sqrt(q @ q) * np.sqrt(self.top), 0.0)
 
         def far(nodes):
             gap = self.centroids[nodes] - q
             return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
+        return far
+
+    def needed_ratio(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The ratio at which the list of each row of ``x`` is searched for ``q``."""
+        d = self._far(q)(np.arange(len(self.centroids)))
+        row, to = self.posts(x)
+        out = np.full(len(x), np.inf)
+        np.minimum.at(out, row, d[to])
+        return out / max(d.min(), 1e-300)
+
+    def probes(self, q: np.ndarray) -> list[int]:
+        """Lists to search for one query: best-first walk of the graph, then pruning
+        by the ratio to the best distance."""
+        far = self._far(q)
         start = far(self.entries)
         order = np.argsort(start, kind="stable")[:4]
-        seen = set(self.entries[order].tolist())
-        todo = [(float(start[i]), int(self.entries[i])) for i in order]
+        found = {int(self.entries[i]): float(start[i]) for i in order}
+        todo = [(d, n) for n, d in found.items()]
         heapq.heapify(todo)
-        best = [(-d, n) for d, n in todo]
-        heapq.heapify(best)
+        best, popped = todo[0][0], 0
         while todo:
             d, node = heapq.heappop(todo)
-            if len(best) >= MAX_PROBES and d > -best[0][0]:
+            popped += 1
+            if d > best * self.ratio * WALK_SLACK and popped > 4 * MIN_PROBES:
                 break
-            new = [n for n in self.graph[node].tolist() if n not in seen]
-            seen.update(new)
+            new = [n for n in self.graph[node].tolist() if n not in found]
             for dn, n in zip(far(new).tolist() if new else (), new):
-                if len(best) < MAX_PROBES or dn < -best[0][0]:
-                    heapq.heappush(todo, (dn, n))
-                    heapq.heappush(best, (-dn, n))
-                    if len(best) > MAX_PROBES:
-                        heapq.heappop(best)
-        found = sorted((-d, n) for d, n in best)
-        limit = found[0][0] * PROBE_RATIO
-        return [n for i, (d, n) in enumerate(found) if d <= limit or i < MIN_PROBES]
+                found[n] = dn
+                heapq.heappush(todo, (dn, n))
+                best = min(best, dn)
+        near = sorted((d, n) for n, d in found.items())
+        return [n for i, (d, n) in enumerate(near) if d <= best * self.ratio or i < MIN_PROBES]
 
 
 def build_index(sample: np.ndarray, lists: int, top: float) -> Index:
     """Centroids by repeated even splits of the sample, and their neighbour graph."""
     draw = np.random.default_rng(SEED)
-    index = Index(np.empty(0), np.empty(0), np.empty(0), top)
+    index = Index(np.empty(0), [], np.empty(0), top)
     x = index.lengthen(sample)
     parts = [np.arange(len(x))]
     while len(parts) < lists and max(map(len, parts)) > 1:
@@ -133,20 +148,82 @@ def build_index(sample: np.ndarray, lists: int, top: float) -> Index:
         half = len(rows) // 2
         parts += [rows[order[:half]], rows[order[half:]]]
     c = np.array([x[p].mean(0) for p in parts])
+    for _ in range(ROUNDS):
+        to = np.argmin((c * c).sum(1) - 2 * x @ c.T, axis=1)
+        held = np.bincount(to, minlength=len(c))
+        for j in range(x.shape[1]):
+            c[:, j] = np.where(held > 0, np.bincount(to, x[:, j], len(c)) / np.maximum(held, 1),
+                               c[:, j])
     d = (c * c).sum(1)[:, None] + (c * c).sum(1) - 2 * c @ c.T
     np.fill_diagonal(d, np.inf)
     k = min(DEGREE, len(c) - 1)
     near = np.argsort(d, axis=1, kind="stable")[:, :k] if k else np.zeros((len(c), 0), int)
-    # Every node also links to the next in order, so that a walk reaches all.
-    ring = (np.arange(len(c)) + 1) % len(c)
-    index.centroids, index.graph = c, np.hstack([near, ring[:, None]])
-    index.entries = np.arange(0, len(c), max(1, int(np.sqrt(len(c)))))
+    # Links go both ways, or a centroid that lies apart would be nobody's neighbour;
+    # a walk begins at centroids that are as far apart as possible.
+    links = [set(row) for row in near.tolist()]
+    for node, row in enumerate(near.tolist()):
+        for other in row:
+            links[other].add(node)
+    apart, entries = np.full(len(c), np.inf), [0]
+    while len(entries) < min(len(c), 2 * int(np.sqrt(len(c))) + 2):
+        apart = np.minimum(apart, ((c - c[entries[-1]]) ** 2).sum(1))
+        entries.append(int(np.argmax(apart)))
+    index.centroids, index.graph = c, [np.array(sorted(row), int) for row in links]
+    index.entries = np.array(sorted(set(entries)))
     return index
 
 
-def _groups(rows: DataFrame, size: int) -> DataFrame:
-    """How many groups of about ``size`` rows each list is dealt into."""
-    return rows.groupBy("list").agg(F.ceil(F.count("*") / size).cast("int").alias("n"))
+def _calibrate(unique: DataFrame, index: Index, width: int, k: int) -> float:
+    """The ratio at which sampled queries find ``RECALL`` of their exact neighbours."""
+    spark = unique.sparkSession
+    asked = _matrix(_combined(unique.orderBy(F.xxhash64("uid", F.lit(SEED + 1)), "uid")
+                              .limit(SAMPLE_QUERIES).select("v").toArrow().column("v")), width)
+    shared = spark.sparkContext.broadcast((index, asked))
+
+    def scan(batches):
+        built, q = shared.value
+        best = [(np.empty(0), np.empty((0, width)))] * len(q)
+        for b in batches:
+            v = _matrix(b.column(0), width)
+            scores = q @ v.T
+            for i, own in enumerate(scores):
+                some = np.argsort(-own, kind="stable")[:k + 1]
+                s = np.concatenate([best[i][0], own[some]])
+                x = np.vstack([best[i][1], v[some]])
+                order = np.argsort(-s, kind="stable")[:k + 1]
+                best[i] = s[order], x[order]
+        rows = [(i, s, r) for i, (score, x) in enumerate(best) if len(x)
+                for s, r in zip(score.tolist(), built.needed_ratio(q[i], x).tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [[]] * 3,
+                                            (pa.int32(), pa.float64(), pa.float64()))],
+            ["at", "score", "ratio"])
+
+    nth = F.row_number().over(Window.partitionBy("at").orderBy(F.desc("score"), "ratio"))
+    needed = unique.select("v").mapInArrow(scan, "at int, score double, ratio double") \
+        .withColumn("nth", nth).where(F.col("nth").between(2, k + 1)).select("ratio").collect()
+    # The first of each is the sampled vector itself.
+    return float(np.quantile([r.ratio for r in needed] or [1.0], RECALL)) * (1 + 1e-9)
+
+
+def _deal(posted: dict[int, int], probing: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """``(list, group, v_n, q_n)``: a large list takes ``v_n`` groups from ``group``
+    on, small lists share one; the queries of a group are dealt into ``q_n`` parts."""
+    spans, group, room = {}, -1, 0
+    for name in sorted(posted):
+        n = posted[name]
+        if n > GROUP_VECTORS:
+            parts = -(-n // GROUP_VECTORS)
+            spans[name], group, room = (group + 1, parts), group + parts, 0
+        else:
+            if n > room:
+                group, room = group + 1, GROUP_VECTORS
+            spans[name], room = (group, 1), room - n
+    load: dict[int, int] = {}
+    for name, (g, _) in spans.items():
+        load[g] = load.get(g, 0) + probing.get(name, 0)
+    return [(name, g, parts, max(1, -(-load[g] // GROUP_QUERIES)))
+            for name, (g, parts) in spans.items()]
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
@@ -189,6 +266,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
         sample = unique.orderBy("uid").limit(1).select("v").toArrow()
     index = build_index(_matrix(_combined(sample.column("v")), width),
                         lists or max(1, min(MAX_LISTS, n // LIST_SIZE)), top)
+    index.ratio = _calibrate(unique, index, width, k)
     shared = spark.sparkContext.broadcast(index)    # at most MAX_LISTS centroids
 
     def post(batches):
@@ -211,42 +289,53 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
         post, schema), "ann-lists")
     probing = staged(queries.select("uid", F.col("v").cast("array<float>")).mapInArrow(
         probe, schema), "ann-probes")
-    # A list and its queries are dealt into groups of bounded size; both counts
-    # have one row per list, so they may be broadcast.
-    v_groups = F.broadcast(_groups(posted, GROUP_VECTORS).withColumnRenamed("n", "v_n"))
-    q_groups = F.broadcast(_groups(probing, GROUP_QUERIES).withColumnRenamed("n", "q_n"))
-
-    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        return side.join(v_groups, "list").join(q_groups, "list").select(
-            "list", "uid", "v",
-            F.pmod(F.xxhash64("uid", F.lit(SEED)), F.col(f"{own}_n")).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)).alias(other))
+    # Lists and their queries are dealt into groups of bounded size.  The plan
+    # has one row per list, MAX_LISTS at most, so it may be broadcast.
+    sizes = [dict(side.groupBy("list").count().collect()) for side in (posted, probing)]
+    plan = F.broadcast(spark.createDataFrame(_deal(*sizes), "list int, g int, v_n int, q_n int"))
+    part = {n: F.pmod(F.xxhash64("uid", F.lit(SEED)), F.col(n)).cast("int")
+            for n in ("v_n", "q_n")}
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = posted.join(plan, "list").select(
+        (F.col("g") + part["v_n"]).alias("g"), every("q_n").alias("q_part"), "list", "uid", "v")
+    right = probing.join(plan, "list").select(
+        F.explode(F.sequence("g", F.col("g") + F.col("v_n") - 1)).alias("g"),
+        part["q_n"].alias("q_part"), "list", "uid", "v")
+    hit_schema = pa.schema([("quid", pa.int64()), ("uid", pa.int64()), ("score", pa.float64())])
 
     def search(vs: pa.Table, qs: pa.Table) -> pa.Table:
         if not vs.num_rows or not qs.num_rows:
-            return pa.table({"quid": pa.array([], pa.int64()), "uid": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.float64())})
-        uid = vs.column("uid").to_numpy()
-        order = np.argsort(uid, kind="stable")
-        uid, v = uid[order], _matrix(_combined(vs.column("v")), width)[order]
-        q, quid = _matrix(_combined(qs.column("v")), width), qs.column("uid").to_numpy()
-        keep = min(k + 1, len(uid))
-        out: list[tuple] = []
-        for at in range(0, len(q), 256):
-            block = q[at:at + 256]
-            scores = block @ v.T
-            edge = np.partition(scores, len(uid) - keep, axis=1)[:, len(uid) - keep]
-            for i, own in enumerate(scores):
-                some = np.flatnonzero(own >= edge[i])
-                exact = (v[some] * block[i]).sum(1)
-                best = np.lexsort((uid[some], -exact))[:keep]
-                out.append((np.full(keep, quid[at + i]), uid[some[best]], exact[best]))
-        return pa.table({name: np.concatenate(c) for name, c in
-                         zip(("quid", "uid", "score"), zip(*out))})
-
-    keys = ["list", "v_g", "q_g"]
-    left = dealt(posted, "v", "q").toDF("list", "uid", "v", "v_g", "q_g")
-    right = dealt(probing, "q", "v").toDF("list", "uid", "v", "q_g", "v_g")
+            return hit_schema.empty_table()
+        v, q = (_matrix(_combined(t.column("v")), width) for t in (vs, qs))
+        (v_list, uid), (q_list, quid) = ([t.column(c).to_numpy() for c in ("list", "uid")]
+                                         for t in (vs, qs))
+        out = []
+        for name in np.unique(q_list):
+            own, ask = np.flatnonzero(v_list == name), np.flatnonzero(q_list == name)
+            keep = min(k + 1, len(own))
+            for at in range(0, len(ask) if keep else 0, 256):
+                some = ask[at:at + 256]
+                scores = q[some] @ v[own].T
+                edge = np.partition(scores, len(own) - keep, axis=1)[:, len(own) - keep]
+                r, c = np.nonzero(scores >= edge[:, None] - 1e-9 * np.abs(edge[:, None]))
+                exact = (v[own[c]] * q[some[r]]).sum(1)
+                out.append((quid[some[r]], uid[own[c]], exact))
+        if not out:
+            return hit_schema.empty_table()
+        who, what, score = (np.concatenate(c) for c in zip(*out))
+        order = np.lexsort((what, -score, who))
+        who, what, score = who[order], what[order], score[order]
+        new = np.append(True, (who[1:] != who[:-1]) | (what[1:] != what[:-1]))
+        who, what, score = who[new], what[new], score[new]
+        first = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+        nth = np.arange(len(who)) - np.repeat(first, np.diff(np.append(first, len(who))))
+        top_few = nth <= k
+        return pa.table([who[top_few], what[top_few], score[top_few]], schema=hit_schema)
+
+    keys = ["g", "q_part"]
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
         search, "quid long, uid long, score double")
     by_score = [F.desc("score"), F.asc("uid")]
