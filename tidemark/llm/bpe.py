@@ -22,8 +22,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from tidemark.llm.vocabulary import PATTERN, Vocabulary, load
 
-CACHE_PIECES = 300_000      # per generation and Python worker
-CACHE_PIECE_CHARS = 64      # longer pieces are not kept
+CACHE_PIECES = 600_000      # per Python worker
+CACHE_PIECE_CHARS = 32      # longer pieces are not kept
 
 
 def merge(ids: list[int], vocabulary: Vocabulary) -> list[int]:
@@ -81,24 +81,26 @@ def merge(ids: list[int], vocabulary: Vocabulary) -> list[int]:
 
 
 class _Pieces(dict):
-    """Packed ids by piece, in two generations: when the young one is full it
-    becomes the old one, whose pieces move back as they are met again."""
+    """Packed ids by piece.  A full cache admits no more, as common pieces are
+    met early; after as many misses as it has entries it starts anew, so it
+    follows a change of language."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary, self.old = vocabulary, {}
+        self.vocabulary, self.misses = vocabulary, 0
 
     def __missing__(self, piece: str) -> bytes:
-        packed = self.old.pop(piece, None)
-        if packed is None:
-            base = self.vocabulary.base
-            packed = np.array(merge([base[b] for b in piece.encode()], self.vocabulary),
-                              np.int32).tobytes()
+        base = self.vocabulary.base
+        packed = np.array(merge([base[b] for b in piece.encode()], self.vocabulary),
+                          np.int32).tobytes()
         if len(piece) <= CACHE_PIECE_CHARS:
-            if len(self) >= CACHE_PIECES:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = packed
+            if len(self) < CACHE_PIECES:
+                self[piece] = packed
+            else:
+                self.misses += 1
+                if self.misses >= CACHE_PIECES:
+                    self.clear()
+                    self.misses = 0
         return packed
 
 
@@ -173,10 +175,10 @@ def decode(ids: Column | str, vocabulary: Broadcast) -> Column:
     @F.arrow_udf(StringType())
     def run(rows: pa.Array) -> pa.Array:
         codec = _codec(vocabulary.value)
-        flat, ends = rows.flatten().to_pylist(), np.cumsum(
-            rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        flat = rows.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        return pa.array([codec.decode(flat[a:b]) if ok else None for a, b, ok in zip(
+        return pa.array([codec.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(
             starts, ends, rows.is_valid().to_pylist())], pa.string())
 
     return run.asNondeterministic()(ids)
