@@ -35,8 +35,9 @@ def merge(ids: list[int], vocabulary: Vocabulary) -> list[int]:
     none = len(made) * n
     size = 1 << (n - 2).bit_length()
     tree = [none] * (2 * size)
+    find = rank.get
     for i in range(n - 1):
-        r = rank.get(ids[i] << 32 | ids[i + 1])
+        r = find(ids[i] << 32 | ids[i + 1])
         if r is not None:
             tree[size + i] = r * n + i
     for i in range(size - 1, 0, -1):
@@ -65,13 +66,13 @@ def merge(ids: list[int], vocabulary: Vocabulary) -> list[int]:
             put(j, none)
         if k < n:
             before[k] = i
-            r = rank.get(ids[i] << 32 | ids[k])
+            r = find(ids[i] << 32 | ids[k])
             put(i, none if r is None else r * n + i)
         else:
             put(i, none)
         h = before[i]
         if h >= 0:
-            r = rank.get(ids[h] << 32 | ids[i])
+            r = find(ids[h] << 32 | ids[i])
             put(h, none if r is None else r * n + h)
     out, i = [], 0
     while i < n:
@@ -116,18 +117,39 @@ def _newer_letters() -> re.Pattern:
     return re.compile(f"[{ranges}]") if codes else re.compile(r"(?!)")
 
 
+def _latin_pattern() -> re.Pattern:
+    """``PATTERN`` with its classes written out for texts of Latin-1 characters,
+    for which the standard library's engine is faster."""
+    def members(kind):
+        found = regex.compile(kind)
+        return "".join(re.escape(chr(c)) for c in range(256) if found.match(chr(c)))
+
+    letters, digits, space = members(r"\p{L}"), members(r"\p{N}"), members(r"\s")
+    return re.compile(
+        PATTERN.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{letters}{digits}]")
+        .replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{digits}]")
+        .replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]"))
+
+
 class Codec:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.pieces = _Pieces(vocabulary)
         self.special = vocabulary.split_special
-        self.split = regex.compile(PATTERN).findall
-        self.odd = _newer_letters()
+        self.split, self.split_latin = regex.compile(PATTERN).findall, _latin_pattern().findall
+        self.beyond_latin = re.compile("[\u0100-\U0010ffff]")
         self.high = re.compile("[\u0500-\U0010ffff]")     # no newer letter lies below
+        self.odd = _newer_letters()
         self.library = vocabulary.tokenizer().pre_tokenizer
+        known = [vocabulary.bytes_of.get(i, b"") for i in range(max(vocabulary.bytes_of) + 1)]
+        self.length = np.array(list(map(len, known)), np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.bytes = np.frombuffer(b"".join(known), np.uint8)
 
     def _ordinary(self, text: str) -> bytes:
-        if self.high.search(text) and self.odd.search(text):
+        if not self.beyond_latin.search(text):
+            parts = self.split_latin(text)
+        elif self.high.search(text) and self.odd.search(text):
             # Split by the vocabulary's own library, whose tables decide.
             parts = [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
         else:
@@ -142,9 +164,16 @@ class Codec:
             np.array([special[part]], np.int32).tobytes() if k % 2 else self._ordinary(part)
             for k, part in enumerate(self.special.split(text))), np.int32)
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode(
-            "utf-8", errors="replace")
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of ids: their bytes gathered from one table of all tokens."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or (length := self.length[ids]).min() < 1):
+            raise ValueError("an id that the vocabulary does not have")
+        if not len(ids):
+            return ""
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1]) + np.repeat(self.start[ids] - (ends - length), length)
+        return self.bytes[at].tobytes().decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=2)
@@ -178,7 +207,7 @@ def decode(ids: Column | str, vocabulary: Broadcast) -> Column:
         flat = rows.flatten().to_numpy(zero_copy_only=False)
         ends = np.cumsum(rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-        return pa.array([codec.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(
+        return pa.array([codec.decode(flat[a:b]) if ok else None for a, b, ok in zip(
             starts, ends, rows.is_valid().to_pylist())], pa.string())
 
     return run.asNondeterministic()(ids)
