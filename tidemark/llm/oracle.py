@@ -121,8 +121,9 @@ r0 AS (
               ELSE string_split(substr(path, 2), '/')[:{ut.MAX_DEPTH}] END AS segs, '' AS node
   FROM p),{",".join(levels)},
 t AS (
-  SELECT *, (coalesce(sum(label) OVER w, 0) + {ut.PRIOR_WEIGHT} * coalesce(
-               (sum(label) OVER ())::DOUBLE / nullif(count(label) OVER (), 0), 1))
+  SELECT *, (coalesce(sum(label) OVER w, 0) + {ut.PRIOR_WEIGHT} * coalesce(greatest(
+               {ut.LEAST_PRIOR}, (sum(label) OVER ())::DOUBLE / nullif(count(label) OVER (), 0)),
+               1))
             / (count(label) OVER w + {ut.PRIOR_WEIGHT}) AS purity
   FROM r{ut.MAX_DEPTH} WINDOW w AS (PARTITION BY host, node))
 SELECT page_id, host, path, rule, node AS template,

@@ -4,8 +4,10 @@ For the pages no rule decides, each host's paths form a tree.  Level by level,
 segments that vary are generalised into a wildcard (its file extension stays),
 and literal branches that statistics cannot tell from their siblings, by their
 labels or by how many paths end in them, are merged.  A template is rejected
-when its labelled purity, smoothed towards that of all labelled pages, is low.
-The labels are the verdicts of the rules.
+when its labelled purity is low, smoothed towards that of all labelled pages
+(but not below one half: rules list the bad more often than the good, and a
+template without labels is no evidence).  The labels are the verdicts of the
+rules.
 
 All steps are aggregates and joins on (host, node, segment); no host is ever
 gathered in one task.
@@ -25,6 +27,7 @@ MIN_KINDS = 8               # children a varying position has at least
 RARE_SHARE = 20             # a varying child has at most one in so many of its parent's pages
 CHI_SQUARE = 3.84           # siblings within this of the pooled share are alike (5 %)
 PRIOR_WEIGHT = 4.0          # labelled pages that the prior counts for
+LEAST_PRIOR = 0.5
 REJECT_BELOW = 0.5
 MAX_RULES = 1000            # the rules are part of the plan; more belong in a table
 ANY, ALIKE = "*", "~"
@@ -126,10 +129,9 @@ def _grow(rows: DataFrame, depth: int) -> DataFrame:
 def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """``(page_id, host, path, rule, template, verdict)``, a row per page.
 
-    Null urls and urls without ``://`` have an empty host and path; they and
-    pages of templates without labels get the prior's verdict.  Null and
-    repeated ids are judged row by row; without any labelled page nothing is
-    rejected; an empty table gives no rows; further columns are ignored."""
+    Null urls and urls without ``://`` have an empty host and path.  Pages of
+    templates without labels are allowed.  Null and repeated ids are judged row
+    by row; an empty table gives no rows; further columns are ignored."""
     parts = with_parts(pages)
     by_rule = matching_rule(rules, "verdict")
     rows = staged(parts.select(
@@ -140,7 +142,7 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
             F.slice(F.split(F.expr("substring(path, 2)"), "/", -1), 1, MAX_DEPTH)).alias("segs"),
         F.lit("").alias("node")), "url-rows")
     first = rows.agg(F.max(F.size("segs")), F.sum(F.col("label")), F.count("label")).first()
-    prior = first[1] / first[2] if first[2] else 1.0
+    prior = max(LEAST_PRIOR, first[1] / first[2]) if first[2] else 1.0
     for depth in range(first[0] or 0):
         rows = staged(_grow(rows, depth), "url-rows")
     good, labelled = F.sum(F.col("label")), F.count("label")
