@@ -23,8 +23,9 @@ def test_dimension_rows_and_upsert(spark):
     snap = {(r.sink_table, r.pk): (r.seq, dict(r.data)) for r in dims.upsert(None, rows).collect()}
     assert snap == {("dim_x", "1"): (2, {"ID": "1", "NAME": "b", "CITY": "c"}),
                     ("dim_x", "2"): (1, {"ID": "2", "NAME": ""})}
-    newer = spark.createDataFrame([("dim_x", "2", 5, {"ID": "2", "NAME": "z"})],
-                                  "sink_table string, pk string, seq long, data map<string,string>")
+    newer = spark.createDataFrame([("dim_x", "2", 5, 0, {"ID": "2", "NAME": "z"})],
+                                  "sink_table string, pk string, seq long, pos long, "
+                                  "data map<string,string>")
     snap2 = {r.pk: dict(r.data)["NAME"] for r in dims.upsert(dims.upsert(None, rows), newer).collect()}
     assert snap2 == {"1": "b", "2": "z"}
 
@@ -139,3 +140,40 @@ def test_order_wide_enrich_first_same_rows(spark):
     assert b.columns == a.columns
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_equal_times_are_decided_by_position(spark):
+    rows = spark.createDataFrame(
+        [("d", "1", 5, p, {"ID": "1", "NAME": n}) for p, n in ((3, "c"), (9, "z"), (1, "a"))],
+        "sink_table string, pk string, seq long, pos long, data map<string,string>")
+    assert [r.data["NAME"] for r in dims.upsert(None, rows).collect()] == ["z"]
+
+
+def test_rules_without_their_key_are_refused(spark):
+    import pytest
+    with pytest.raises(ValueError, match="key column"):
+        dims.table_schema("name,tm", "id")
+    with pytest.raises(ValueError, match="different keys"):
+        dims.union_rules([("d", "id,a", "id"), ("d", "id,a", "a")])
+    assert dims.union_rules([("d", "id,a", None), ("d", "id,b", "id")]) == {"d": ("id,a,b", "id")}
+    routed = spark.createDataFrame([({"name": "x"}, "d", "name", None, 1)],
+                                   "data map<string,string>, sink_table string, "
+                                   "sink_columns string, sink_pk string, ts long")
+    with pytest.raises(Exception, match="rule without its key column"):
+        dims.dimension_rows(routed).collect()
+
+
+def test_age_of_blank_and_bad_birthdays(spark):
+    df = spark.createDataFrame([("",), (None,), ("1990-02-31x",), ("1990-01-01",)], "b string")
+    ages = [r.a for r in df.select(fn.age_years("b", "2024-01-01 00:00:00").alias("a")).collect()]
+    assert ages == [None, None, None, 34]
+
+
+def test_broadcast_refuses_what_is_no_configuration(spark):
+    import pytest
+    from tidemark.operators.joins import SideTooLarge, checked_broadcast
+    with pytest.raises(SideTooLarge):
+        checked_broadcast(spark.range(11), max_rows=10)
+    with pytest.raises(SideTooLarge):
+        checked_broadcast(spark.range(5), max_bytes=10)
+    assert checked_broadcast(spark.range(5)).count() == 5

@@ -78,28 +78,99 @@ def test_db_detail_job(spark, env):
     assert got_rows == exp_rows
 
 
+ROWS = "sink_table string, pk string, seq long, pos long, data map<string,string>"
+
+
 def test_dimension_store_deltas_and_compaction(spark, env):
     base, _ = env
-    store = DimensionStore(spark, os.path.join(base, "dims2"), compact_every=3)
-    schema = "sink_table string, pk string, seq long, data map<string,string>"
-    tables = {"dim_x": ("id,name", "id")}
-    b0 = spark.createDataFrame([("dim_x", "1", 1, {"ID": "1", "NAME": "a"}),
-                                ("dim_x", "2", 1, {"ID": "2", "NAME": "b"}),
-                                ("dim_x", "2", 0, {"ID": "2", "NAME": "old"})], schema)
-    store.upsert(b0, 0, tables)
-    b1 = spark.createDataFrame([("dim_x", "1", 9, {"ID": "1", "NAME": "z"})], schema)
+    store = DimensionStore(spark, os.path.join(base, "dims2"), compact_ratio=100.0, max_deltas=2)
+    tables = {"dim_x": ("id,name", "id"), "dim_idle": ("id", "id")}
+
+    def rows(*r):
+        return spark.createDataFrame([("dim_x", k, s, i, {"ID": k, "NAME": n})
+                                      for i, (k, s, n) in enumerate(r)], ROWS)
+
+    store.upsert(rows(("1", 1, "a"), ("2", 1, "b"), ("2", 0, "old"), ("4", 7, "x"), ("4", 7, "y")),
+                 0, tables)
+    b1 = rows(("1", 9, "z"), ("4", 7, "later batch"))
     store.upsert(b1, 1, tables)
-    store.upsert(b1, 1, tables)                     # replay: same delta folder
+    store.upsert(b1, 1, tables)                     # replay: skipped
     assert store.versions("dim_x") == [0] and store.deltas("dim_x") == [0, 1]
-    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == [("1", "z"), ("2", "b")]
-    b2 = spark.createDataFrame([("dim_x", "3", 4, {"ID": "3", "NAME": "c"})], schema)
-    store.upsert(b2, 2, tables)                     # third batch: compaction into v=3
+    assert store.versions("dim_idle") == [0] and store.deltas("dim_idle") == []
+    want = [("1", "z"), ("2", "b"), ("4", "later batch")]
+    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == want
+    store.upsert(rows(("3", 4, "c")), 2, tables)    # third delta: folded into v=3
     store.compact("dim_x", 2)                       # replayed compaction is harmless
     assert store.versions("dim_x") == [0, 3]
-    snap = spark.read.parquet(os.path.join(base, "dims2", "DIM_X", "base", "v=3"))
-    assert sorted((r.ID, r.NAME) for r in snap.collect()) == [("1", "z"), ("2", "b"), ("3", "c")]
-    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == \
-        [("1", "z"), ("2", "b"), ("3", "c")]
+    want.insert(2, ("3", "c"))
+    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == want
+    for b in range(3, 10):
+        store.upsert(rows(("9", b, str(b))), b, tables)
+    store.upsert(rows(("9", 99, "replayed")), 1, tables)        # long since folded
+    assert len(store.versions("dim_x")) == 2 and min(store.deltas("dim_x")) >= 3
+    assert sorted(tuple(r) for r in store.read("dim_x").collect()) == want + [("9", "9")]
+
+
+def test_dimension_store_follows_rule_changes(spark, env):
+    """A rule that gains a column between two batches, and two rules with
+    different columns on one table."""
+    base, _ = env
+    store = DimensionStore(spark, os.path.join(base, "dims3"))
+
+    def up(batch, columns, *r):
+        frame = spark.createDataFrame([("d", k, s, i, data) for i, (k, s, data) in enumerate(r)], ROWS)
+        store.upsert(frame, batch, {"d": (columns, "id")})
+
+    up(0, "id,name", ("1", 1, {"ID": "1", "NAME": "a"}), ("2", 1, {"ID": "2", "NAME": "b"}))
+    up(1, "id,name,city", ("1", 2, {"ID": "1", "NAME": "a2", "CITY": "c"}))
+    up(2, "id,name,city", ("1", 3, {"ID": "1", "NAME": "a3"}))     # an update without the city
+    want = [("1", "a3", "c"), ("2", "b", "")]
+    assert sorted((r.ID, r.NAME, r.CITY) for r in store.read("d").collect()) == want
+    store.compact("d", 2)
+    assert sorted((r.ID, r.NAME, r.CITY) for r in store.read("d").collect()) == want
+
+
+def test_a_replayed_batch_reaches_the_next_layer_once(spark, env):
+    from tidemark.sinks.topics import write_addressed
+    base, cfg = env
+    rows = spark.range(5).selectExpr("cast(id as string) as value")
+
+    def downstream():
+        q = (read_topic(spark, cfg, "layer").writeStream.format("parquet")
+             .option("path", os.path.join(base, "next")).option(
+                 "checkpointLocation", os.path.join(base, "next_ckpt"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        return spark.read.parquet(os.path.join(base, "next")).count()
+
+    write_topic(rows, cfg, "layer", 0)
+    assert downstream() == 5
+    write_topic(rows, cfg, "layer", 0)              # replay
+    assert downstream() == 5
+    named = rows.selectExpr("'layer' as topic_name", "map('k', value) as data")
+    write_addressed(named, cfg, "topic_name", 1)
+    write_addressed(named, cfg, "topic_name", 1)
+    assert downstream() == 10
+
+
+def test_jobs_need_a_shared_folder_and_the_state_store(spark, env):
+    from tidemark.session import STATE_PROVIDER
+
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(_key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        jobs.checkpoint_for(Unset, "job", "out")
+    old = spark.conf.get(STATE_PROVIDER)
+    spark.conf.unset(STATE_PROVIDER)
+    try:
+        with pytest.raises(ValueError, match="stateStore"):
+            jobs.run_job(spark, "j", {}, lambda s: {}, {})
+    finally:
+        spark.conf.set(STATE_PROVIDER, old)
 
 
 def test_log_detail_job_split(spark, env):
@@ -204,16 +275,15 @@ def test_dimension_store_equals_last_write(spark, batches):
     import tempfile as _t
     from tidemark.session import ensure_checkpoint_dir
     store = DimensionStore(spark, _t.mkdtemp(prefix="dimprop-", dir=ensure_checkpoint_dir(spark)),
-                           compact_every=2)
-    schema = "sink_table string, pk string, seq long, data map<string,string>"
+                           max_deltas=2)
     seq, last = 0, {}
     for b, rows in enumerate(batches):
         recs = []
         for pk, name in rows:
             seq += 1
-            recs.append(("dim_p", str(pk), seq, {"ID": str(pk), "NAME": name}))
+            recs.append(("dim_p", str(pk), seq, seq, {"ID": str(pk), "NAME": name}))
             last[str(pk)] = name
-        store.upsert(spark.createDataFrame(recs, schema), b, {"dim_p": ("id,name", "id")})
+        store.upsert(spark.createDataFrame(recs, ROWS), b, {"dim_p": ("id,name", "id")})
     got = {r.ID: r.NAME for r in store.read("dim_p").collect()}
     assert got == last
 
@@ -244,8 +314,8 @@ def test_layers_chain_through_topics(spark, env):
     _finish(jobs.unique_visitor_job(spark, cfg_all, window_ms=6 * HOUR, trigger=ONCE,
                                     state_root=state))
     got = (read_topic(spark, cfg, S.TOPIC_DWM_UV, streaming=False)
-           .select(F.from_json("value", "mid string, event_id long").alias("r"))
-           .select("r.*").filter("mid <> 'zz'"))
+           .select(F.from_json("value", S.APP_LOG).alias("r"))
+           .select(F.col("r.common.mid").alias("mid"), "r.event_id").filter("mid <> 'zz'"))
     pages = logs.split_logs(logs.flag_new_visitors(log))["page"]
     want = logs.daily_unique_visitors(pages).select("mid", "event_id")
     assert sorted(got.collect()) == sorted(want.collect())

@@ -176,3 +176,43 @@ def test_bounce_with_sql_pattern_predicates(spark):
 def test_unparsable_lines(spark):
     got = sorted(r.value for r in logs.unparsable(_log_text(spark, RAW + ["{}"]), S.APP_LOG).collect())
     assert got == ["this is not json", "{}"]
+
+
+OPEN = {"common": {"mid": "m1", "is_new": "1", "uid": 7, "ar": {"code": "x"}},
+        "page": {"page_id": "home", "item": "i9"}, "err": {"no": 3}, "ts": 10,
+        "displays": [{"item": "a", "pos": 1, "order": 2.5, "mid": "elem", "display_type": "p"}]}
+
+
+def test_open_records_keep_undeclared_fields(spark):
+    from tidemark.sinks.topics import as_value
+    log = logs.flag_new_visitors(logs.parse_app_log(_log_text(spark, [OPEN])))
+    back = json.loads(as_value(log).first().value)
+    assert back == OPEN                                 # first ever: is_new stays 1
+    two = logs.flag_new_visitors(logs.parse_app_log(_log_text(spark, [OPEN, {**OPEN, "ts": 99}])))
+    later = [json.loads(r.value) for r in as_value(two).collect() if json.loads(r.value)["ts"] == 99]
+    assert later == [{**OPEN, "ts": 99, "common": {**OPEN["common"], "is_new": "0"}}]
+    shown = json.loads(logs.display_records(log).first().value)
+    assert shown == {"item": "a", "pos": 1, "order": 2.5, "display_type": "p", "ts": 10,
+                     "page_id": "home", **OPEN["common"]}
+    odd = [{"ts": 1, "displays": [{"a": 1}, 5]}, {"common": None, "ts": 2}, {"page": "text", "ts": 3}]
+    parsed = logs.flag_new_visitors(logs.parse_app_log(_log_text(spark, odd)))
+    assert [json.loads(r.value) for r in as_value(parsed.orderBy("ts")).collect()] == odd
+
+
+def test_first_visit_without_ids_or_with_shared_ids(spark):
+    def flags(records):
+        f = logs.flag_new_visitors(logs.parse_app_log(_log_text(spark, records)))
+        return sorted((r.common.mid or "", r.ts, r.common.is_new) for r in f.collect())
+
+    def rec(mid, ts, **more):
+        return {"common": {"mid": mid, "is_new": "0"}, "page": {"page_id": "p"}, "ts": ts, **more}
+
+    assert flags([rec("a", 5), rec("a", 9), rec("b", 5)]) == [
+        ("a", 5, "1"), ("a", 9, "0"), ("b", 5, "1")]
+    # A record that came twice: one of the two is the first.
+    assert flags([rec("a", 5), rec("a", 5), rec("a", 9)]) == [
+        ("a", 5, "0"), ("a", 5, "1"), ("a", 9, "0")]
+    # Ids unique per visitor only.
+    assert flags([rec("a", 5, event_id=1), rec("a", 9, event_id=2), rec("b", 3, event_id=2)]) == [
+        ("a", 5, "1"), ("a", 9, "0"), ("b", 3, "1")]
+    assert flags([rec(None, 5), rec(None, 6)]) == [("", 5, "0"), ("", 6, "0")]

@@ -44,9 +44,14 @@ def test_bounce_two_hash_exchanges(at_scale):
 
 def test_first_visit_hash_aggregates(at_scale):
     text = _plan(at_scale, "new_visitor_flag")
-    assert "SortAggregate" not in text and "partial_min_by" in text
+    assert "SortAggregate" not in text and "partial_min(" in text
     keys = " ".join(_hash_exchanges(text))
-    assert "event_id" in keys                   # join back on the unique record id
+    assert "_at" in keys                        # join back on (visitor, packed time and tie)
+
+
+def test_newest_and_first_rows_use_hash_aggregates(at_scale):
+    for name in ("daily_unique_visitor", "dim_upsert_latest", "dim_upsert_versions"):
+        assert "SortAggregate" not in _plan(at_scale, name), name
 
 
 def test_change_records_never_shuffled_on_rule_key(at_scale):

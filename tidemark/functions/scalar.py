@@ -16,17 +16,7 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# F2 --------------------------------------------------------------------------
-def parse_datetime(c: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text -> TIMESTAMP (session zone); bad text -> null."""
-    return F.try_to_timestamp(_c(c), F.lit(DATETIME_FMT))
-
-
-def parse_date(c: Column | str) -> Column:
-    return F.to_date(_c(c), DATE_FMT)
-
-
-# P3 / F4 ---------------------------------------------------------------------
+# F2 / P3 / F4 ---------------------------------------------------------------------
 def create_date(create_time: Column | str) -> Column:
     """Characters 0..10 of the date-time text (1-based substring 1, len 10)."""
     return F.substring(_c(create_time), 1, 10)
@@ -59,14 +49,15 @@ def ms_to_timestamp(ts_ms: Column | str) -> Column:
 
 # F1 ----------------------------------------------------------------------------
 def age_years(birthday_col: str, as_of: str) -> Column:
-    """Whole 365-day years between a ``yyyy-MM-dd`` birthday column and ``as_of``.
+    """Whole 365-day years between a ``yyyy-MM-dd`` birthday column and ``as_of``;
+    null where the birthday is blank or no date.
 
     ``as_of`` is a parameter (the reference used the wall clock) so results
     repeat.  ``div`` truncates toward zero like the reference's long arithmetic.
     """
     return F.expr(
         f"CAST((unix_millis(TIMESTAMP '{as_of}') - "
-        f"unix_millis(to_timestamp(`{birthday_col}`, '{DATE_FMT}'))) div {MS_PER_YEAR} AS INT)")
+        f"unix_millis(try_to_timestamp(`{birthday_col}`, '{DATE_FMT}'))) div {MS_PER_YEAR} AS INT)")
 
 
 # S9 ----------------------------------------------------------------------------
@@ -106,12 +97,6 @@ def is_non_entry_page(page: Column | str = "page") -> Column:
     return p.getField("page_id").isNotNull() & (F.length(p.getField("last_page_id")) > 0)
 
 
-# P11 ---------------------------------------------------------------------------
-def record_to_json(*cols: str) -> Column:
-    """Whole record (or chosen columns) as JSON text; null fields omitted."""
-    return F.to_json(F.struct(*(cols or ["*"])))
-
-
 # P12 ---------------------------------------------------------------------------
 def upper_keys(m: Column | str) -> Column:
     return F.transform_keys(_c(m), lambda k, _v: F.upper(k))

@@ -81,13 +81,15 @@ def rule_intervals(history: DataFrame) -> DataFrame:
 
 
 # J9 --------------------------------------------------------------------------------------
-def attach_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
-    """Inner join of change records with the rule of their (table, op); a
-    record without a rule is dropped.  Rules are broadcast after a size check."""
+def attach_rules(changes: DataFrame, rules: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Join of change records with the rule of their (table, op); a record
+    without a rule is dropped, or with ``keep_all`` stays with an empty rule
+    (``with_branch`` calls it ``no_rule``).  Rules are broadcast after a size
+    check."""
     r = checked_broadcast(rules.select(*S.RULE_COLUMNS))
     c = with_op(changes)
     cond = (c["table"] == r["source_table"]) & (c["op"] == r["operate_type"])
-    return c.join(r, cond, "inner")
+    return c.join(r, cond, "left" if keep_all else "inner")
 
 
 # J10 -------------------------------------------------------------------------------------
@@ -114,7 +116,7 @@ def project_columns(routed: DataFrame) -> DataFrame:
     kept = F.when(F.col("sink_columns").isNull(), F.col("data")).otherwise(
         F.map_filter("data", lambda k, _v: F.array_contains(cols, k)))
     return routed.select(kept.alias("data"), *S.RULE_COLUMNS, *[
-        c for c in ("ts", "version") if c in routed.columns])
+        c for c in ("ts", "version", "xoffset") if c in routed.columns])
 
 
 # R3 ------------------------------------------------------------------------------------------
@@ -124,10 +126,11 @@ KNOWN_SINKS = (S.SINK_TYPE_KAFKA, S.SINK_TYPE_HBASE)
 def with_branch(projected: DataFrame) -> DataFrame:
     """Label every record with its output: the sink type when it is a known
     one (``kafka`` main output, ``hbase`` dimension output), else
-    ``dropped``.  One pass; writers split on the label."""
+    ``dropped``; ``no_rule`` where no rule was found.  One pass; writers split
+    on the label."""
     st = F.col("sink_type")
     return projected.withColumn(
-        "branch", F.when(st.isin(*KNOWN_SINKS), st).otherwise(F.lit("dropped")))
+        "branch", F.when(F.col("source_table").isNull(), F.lit("no_rule")).when(st.isin(*KNOWN_SINKS), st).otherwise(F.lit("dropped")))
 
 
 def route(projected: DataFrame) -> dict[str, DataFrame]:
@@ -136,8 +139,3 @@ def route(projected: DataFrame) -> dict[str, DataFrame]:
     labelled = with_branch(projected)
     return {b: labelled.filter(F.col("branch") == b).drop("branch")
             for b in (*KNOWN_SINKS, "dropped")}
-
-
-def data_as_json(data_col: str = "data") -> Column:
-    """P11 for a routed record: its projected ``data`` as JSON text."""
-    return F.to_json(F.col(data_col))

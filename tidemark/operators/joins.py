@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a configuration table may hold and still be broadcast.
+# What a configuration table may hold and still be broadcast.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 class SideTooLarge(ValueError):
@@ -21,16 +22,15 @@ class SideTooLarge(ValueError):
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      strict: bool = False) -> DataFrame:
-    """``broadcast(df)`` after checking its row count; beyond ``max_rows`` the
-    frame is returned unhinted (AQE decides) or, with ``strict``, refused.
-
-    Meant for configuration-sized inputs (routing rules, their history):
-    counting them is cheap and done once per job.
-    """
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    if strict:
-        raise SideTooLarge(f"{n} rows > {max_rows}")
-    return df
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` after checking its rows and its size as text; a larger
+    side is refused.
+
+    Meant for configuration (routing rules, their history): joined on a handful
+    of keys, it has no other good plan, since shuffling the data on those keys
+    would put it into a few tasks.  Measuring it is cheap and done once per job."""
+    n, size = df.agg(F.count("*"), F.coalesce(
+        F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    if n > max_rows or size > max_bytes:
+        raise SideTooLarge(f"{n} rows of {size} characters; at most {max_rows} and {max_bytes}")
+    return F.broadcast(df)

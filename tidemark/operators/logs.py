@@ -5,11 +5,12 @@ on batch tables and (where noted) inside ``foreachBatch`` of a stream.
 
 Scale notes
 -----------
-* The first-visit flag is computed as a per-visitor arg-min (hash aggregate
-  with map-side partial aggregation, so a visitor holding a third of all rows
-  is collapsed before the shuffle) followed by an equi-join on the unique
-  record id.  No window is partitioned by visitor, so no task ever sorts all
-  rows of one hot visitor.
+* The first visit is a per-visitor minimum of a packed (ts, tie) key (hash
+  aggregate with map-side partial aggregation, so a visitor holding a third of
+  all rows is collapsed before the shuffle), joined back on (visitor, key).
+  No task ever sorts all rows of one hot visitor.
+* Records are open: a ``record`` column carries the raw text through every
+  operator, so fields that no schema declares reach the outputs.
 * The split is three filters over one input (no shuffle).
 """
 
@@ -81,38 +82,110 @@ def unparsable(text: DataFrame, schema: T.StructType, value_col: str = "value")
             .select("value"))
 
 
+RECORD = "record"       # the raw text of a record, carried along with its parsed fields
+
+
 def parse_app_log(text: DataFrame, value_col: str = "value") -> DataFrame:
-    """Raw ``ods_log`` text -> app-log records; malformed text dropped
-    (use ``parse_json`` + ``split_corrupt`` to keep it)."""
-    return parse_json(text, S.APP_LOG, value_col, keep_corrupt=False)
+    """Raw ``ods_log`` text -> app-log records, each with its raw text as
+    ``record``; malformed text dropped (``unparsable`` keeps it)."""
+    rec = F.struct(F.col(value_col).alias(RECORD), F.from_json(value_col, S.APP_LOG).alias("r"))
+    keep = lambda x: _any_field(x["r"], S.APP_LOG.fieldNames())
+    return (text.select(F.inline(F.filter(F.array(rec), keep)))
+            .select("r.*", RECORD))
+
+
+# Open records (P1, P13, R2, F11) ---------------------------------------------------
+_OBJECT = "map<string,variant>"
+
+
+def _merge(left: Column, right: Column) -> Column:
+    return fn.merge_maps_right_wins(left, right)
+
+
+def _part(v: Column, path: str) -> Column:
+    """An object inside a record as a map; an empty one where it is absent."""
+    return F.coalesce(F.try_variant_get(v, path, "variant").try_cast(_OBJECT),
+                      F.expr(f"CAST(map() AS {_OBJECT})"))
+
+
+def _text(m: Column) -> Column:
+    return F.to_json(F.to_variant_object(m))
+
+
+def _quoted(c: Column) -> Column:
+    return F.parse_json(F.concat(F.lit('"'), c, F.lit('"')))
+
+
+def whole_record(record: Column | str, is_new: Column | None = None) -> Column:
+    """The record's JSON text with every field it came with; with ``is_new``
+    (``0`` / ``1`` text) its ``common.is_new`` is replaced."""
+    r = F.col(record) if isinstance(record, str) else record
+    if is_new is None:
+        return r
+    v = F.try_parse_json(r)
+    common = _merge(_part(v, "$.common"), F.create_map(F.lit("is_new"), _quoted(is_new)))
+    return F.when(is_new.isNotNull(), _text(_merge(v.try_cast(_OBJECT), F.create_map(
+        F.lit("common"), F.to_variant_object(common))))).otherwise(r)
+
+
+def display_records(log: DataFrame) -> DataFrame:
+    """R2 on open records: one JSON text per display element, with all fields of
+    the element, ``ts``, ``page_id`` and all fields of ``common`` (the rewritten
+    ``is_new`` included); later ones win on a name clash."""
+    v = F.try_parse_json(RECORD)
+    fixed = F.map_filter(
+        F.create_map(F.lit("ts"), F.try_variant_get(v, "$.ts", "variant"),
+                     F.lit("page_id"), F.try_variant_get(v, "$.page.page_id", "variant")),
+        lambda _k, x: x.isNotNull())
+    common = _merge(_part(v, "$.common"), F.create_map(
+        F.lit("is_new"), _quoted(F.coalesce("common.is_new", F.lit("0")))))
+    elements = F.try_variant_get(v, "$.displays", "variant").try_cast("array<variant>")
+    return (log.select(F.explode(elements).alias("_d"), fixed.alias("_f"), common.alias("_c"))
+            .select(_text(_merge(_merge(F.coalesce(F.col("_d").try_cast(_OBJECT), F.expr(
+                f"CAST(map() AS {_OBJECT})")), F.col("_f")), F.col("_c"))).alias("value")))
 
 
 # A1 / A2 / A3 / P13 --------------------------------------------------------------
-def first_per_key(df: DataFrame, key: Column | str, ts_col: str,
-                  id_col: str) -> DataFrame:
-    """Id of the earliest record of every key: smallest ``ts``, ties broken by
-    the smaller record id.  A hash aggregate (``min_by`` over a packed
-    fixed-size ordering key) with map-side partial aggregation."""
-    k = F.col(key) if isinstance(key, str) else key
-    return (df.groupBy(k.alias("_key"))
-            .agg(F.min_by(F.col(id_col), fn.order_key(ts_col, id_col)).alias("_first_id"))
-            .select("_first_id"))
+def tie_of(df: DataFrame, id_col: str = "event_id") -> Column:
+    """What decides between records of the same instant: the record id or,
+    without one, a hash of the record."""
+    rest = [RECORD] if RECORD in df.columns else df.columns
+    by_content = F.xxhash64(*rest)
+    return F.coalesce(F.col(id_col), by_content) if id_col in df.columns else by_content
+
+
+def mark_earliest(df: DataFrame, keys: dict[str, Column], id_col: str = "event_id",
+                  ts_col: str = "ts") -> DataFrame:
+    """``df`` with ``_first``: true on exactly one row per combination of the
+    (non-null) keys, the earliest, ties decided by ``tie_of``, then content.
+
+    A minimum of a packed fixed-size key per combination, joined back on
+    (keys, packed key); equal rows are numbered where the join already put
+    them together."""
+    from pyspark.sql import Window
+
+    own = df.withColumns({**keys, "_at": fn.order_key(F.col(ts_col), tie_of(df, id_col))})
+    names = list(keys)
+    low = own.groupBy(*names).agg(F.min("_at").alias("_at")).withColumn("_low", F.lit(True))
+    joined = own.join(low, [*names, "_at"], "left")
+    same = Window.partitionBy(*names, "_at").orderBy(
+        F.xxhash64(*[F.col(c) for c in df.columns]))
+    first = F.col("_low").isNotNull() & (F.row_number().over(same) == 1)
+    return joined.withColumn("_first", first).select(*df.columns, *names, "_first")
 
 
 def flag_new_visitors(log: DataFrame, mid: Column | None = None,
                       id_col: str = "event_id", ts_col: str = "ts") -> DataFrame:
     """Rewrite ``common.is_new``: ``1`` on the first record ever seen of a
-    visitor (earliest ``ts``, tie broken by record id), ``0`` on all others.
-
-    Every record is kept (the reference's literal code lost later windows of
-    a known visitor; its stated rule keeps them).
+    visitor (earliest ``ts``, see ``tie_of``), ``0`` on all others; of a record
+    that came twice only one is the first.  Records without a visitor are never
+    new.  Every record is kept (the reference's literal code lost later windows
+    of a known visitor; its stated rule keeps them).
     """
     mid = mid if mid is not None else F.col("common.mid")
-    firsts = first_per_key(log, mid, ts_col, id_col)
-    joined = log.join(firsts, F.col(id_col) == F.col("_first_id"), "left")
-    flag = F.when(F.col("_first_id").isNotNull(), F.lit("1")).otherwise(F.lit("0"))
-    return (joined.withColumn("common", fn.with_is_new("common", flag))
-            .drop("_first_id"))
+    marked = mark_earliest(log, {"_mid": mid}, id_col, ts_col)
+    flag = F.when(F.col("_first"), F.lit("1")).otherwise(F.lit("0"))
+    return marked.withColumn("common", fn.with_is_new("common", flag)).select(*log.columns)
 
 
 # R1 / R2 -------------------------------------------------------------------------
@@ -155,18 +228,11 @@ def explode_displays(log: DataFrame) -> DataFrame:
 def daily_unique_visitors(page_log: DataFrame, id_col: str = "event_id",
                           ts_col: str = "ts") -> DataFrame:
     """The earliest page record of every visitor per calendar day (UTC) of the
-    record itself, as (mid, visit_date, earliest record...).
-
-    An arg-min hash aggregate: partial aggregation on the map side bounds the
-    shuffle by (visitors x days x map tasks) whatever the skew.
-    """
-    rec_cols = [c for c in page_log.columns if c not in (ts_col, id_col)]
-    first = F.min(F.struct(F.col(ts_col), F.col(id_col), *[F.col(c) for c in rec_cols]))
-    return (page_log
-            .groupBy(F.col("common.mid").alias("mid"),
-                     fn.ms_to_date_text(ts_col).alias("visit_date"))
-            .agg(first.alias("_r"))
-            .select("mid", "visit_date", "_r.*"))
+    record itself, as (mid, visit_date, the record's columns).  Records without
+    a visitor count for none."""
+    marked = mark_earliest(page_log, {"mid": F.col("common.mid"),
+                                      "visit_date": fn.ms_to_date_text(ts_col)}, id_col, ts_col)
+    return marked.where("_first").select("mid", "visit_date", *page_log.columns)
 
 
 # W4 / W5 / U1 (batch form) ----------------------------------------------------------
@@ -212,7 +278,8 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
     it is the first row of the following bucket (an arg-min aggregate joined
     on (visitor, bucket - 1)).  A next event further away is beyond the band
     and needs no look-up, so the result is exact and no window ever holds more
-    than one band of one visitor's events.
+    than one band of one visitor's events (all of a robot's events inside one
+    band are one window task).
     """
     if emit not in ("both", "timeout"):
         raise ValueError("emit in {both, timeout}")
@@ -220,18 +287,19 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
 
     start, follows = pattern_predicates(next_rule, start_when, next_when)
     base = (page_log
+            .withColumn("_tie", tie_of(page_log, id_col))
             .withColumn("_mid", F.col("common.mid"))
             .withColumn("_b", F.floor(F.col(ts_col) / F.lit(within_ms)).cast("long"))
             .withColumn("_entry", start)
             .withColumn("_ok", follows))
     nxt = F.struct(F.col(ts_col).alias("ts"), F.col("_ok").alias("ok"))
-    w = Window.partitionBy("_mid", "_b").orderBy(ts_col, id_col)
+    w = Window.partitionBy("_mid", "_b").orderBy(ts_col, "_tie")
     starts = (base.withColumn("_next", F.lead(nxt).over(w))
               .filter(F.col("_entry")))
     # first row of every bucket, keyed by the bucket *before* it: grouping by
     # (mid, b - 1) leaves the aggregate hash-partitioned exactly like the
     # window output, so the join below moves neither side again
-    key = fn.order_key(ts_col, id_col)
+    key = fn.order_key(ts_col, "_tie")
     firsts = (base.groupBy("_mid", (F.col("_b") - 1).alias("_b"))
               .agg(F.min_by(F.col(ts_col), key).alias("_fts"),
                    F.min_by(F.col("_ok"), key).alias("_fok"))

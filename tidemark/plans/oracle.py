@@ -289,3 +289,85 @@ FROM user_dim
 """,
 }
 SQL["order_wide_enrich_first"] = SQL["order_wide"]
+
+# ---- rare cases ---------------------------------------------------------------------
+OPEN_LOG = """
+ol AS (
+  SELECT event_id, CAST(user_id AS VARCHAR) AS mid, epoch_us(ts) // 1000 AS ts, event_type, n_disp
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS n_disp FROM events),
+       unnest(range(CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS again(i))"""
+
+SQL |= {
+    "new_visitor_no_id": f"""
+WITH {OPEN_LOG}
+SELECT mid, ts, count(*) AS n_records,
+       CASE WHEN ts = min(ts) OVER (PARTITION BY mid) THEN 1 ELSE 0 END::BIGINT AS n_new
+FROM ol GROUP BY mid, ts
+""",
+    "log_whole_records": f"""
+WITH {OPEN_LOG}
+SELECT mid, CAST(event_id * 3 AS VARCHAR) AS uid, 'area_' || mid AS area,
+       CASE WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS page_item,
+       CAST(event_id % 7 AS VARCHAR) AS err_no, CAST(ts AS VARCHAR) AS ts,
+       5 AS n_fields, true AS flagged
+FROM ol
+""",
+    "display_whole_records": f"""
+WITH {OPEN_LOG}
+SELECT CAST(event_id * 10 + i + 1 AS VARCHAR) AS item, CAST(i + 1 AS VARCHAR) AS pos,
+       'promotion' AS display_type, CAST((i + 1) * 2 AS VARCHAR) AS "order",
+       CAST(ts AS VARCHAR) AS ts, event_type AS page_id, mid,
+       CAST(event_id * 3 AS VARCHAR) AS uid, 'area_' || mid AS area
+FROM ol, unnest(range(n_disp)) AS r(i)
+WHERE event_type <> 'signup'
+""",
+    "cdc_clean_flawed": """
+SELECT 'customer' AS source_table, 'insert' AS type, c_custkey AS ts, 2 AS n_fields
+FROM customer WHERE c_custkey % 7 IN (5, 6)
+""",
+    "rule_outcomes": f"""
+WITH {LATEST_RULES},
+c AS (
+  SELECT 'customer' AS tbl, {_type_expr('c_custkey')} AS type FROM customer
+  UNION ALL SELECT 'part', {_type_expr('p_partkey')} FROM part
+  UNION ALL SELECT 'supplier', {_type_expr('s_suppkey')} FROM supplier),
+o AS (SELECT tbl, replace(type, 'bootstrap-', '') AS op FROM c)
+SELECT tbl AS "table", o.op AS op,
+       CASE WHEN r.source_table IS NULL THEN 'no_rule'
+            WHEN r.sink_type IN ('kafka', 'hbase') THEN r.sink_type ELSE 'dropped' END AS branch,
+       count(*) AS n_records
+FROM o LEFT JOIN rules r ON r.source_table = tbl AND r.operate_type = o.op
+GROUP BY ALL
+""",
+    "dim_upsert_versions": """
+WITH v AS (
+  SELECT o_custkey, o_orderkey, o_orderkey % 3 * 1000 AS seq, o_orderstatus
+  FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey
+                             ORDER BY o_orderkey % 3 DESC, o_orderkey DESC) = 1)
+SELECT 'dim_user_info' AS sink_table, CAST(o_custkey AS VARCHAR) AS pk, seq, o_orderkey AS pos,
+       t.col_name, t.col_value
+FROM v, LATERAL (VALUES
+    ('C_CUSTKEY', CAST(o_custkey AS VARCHAR)),
+    ('C_NAME', 'order_' || CAST(o_orderkey AS VARCHAR)),
+    ('C_NATIONKEY', CASE WHEN o_orderkey % 5 <> 0 THEN '7' ELSE '' END),
+    ('C_MKTSEGMENT', o_orderstatus)) AS t(col_name, col_value)
+""",
+    "order_wide_misses": f"""
+WITH {ORDERS}, {DIMS}
+SELECT w.detail_id, w.order_id, w.sku_id, w.order_price, w.sku_num,
+       coalesce(s.SKU_NAME, 'own_' || CAST(w.sku_id AS VARCHAR)) AS sku_name,
+       w.user_id,
+       CASE WHEN w.user_id % 4 <> 0
+            THEN {AGE_EXPR.replace('BIRTHDAY', 'u.BIRTHDAY')} END AS user_age,
+       u.GENDER AS user_gender, sp.SPU_NAME AS spu_name, t.TM_NAME AS tm_name,
+       ct.NAME AS category3_name, p.NAME AS province_name
+FROM wide w
+LEFT JOIN user_dim u ON CAST(u.ID AS BIGINT) = w.user_id AND w.user_id % 3 <> 0
+LEFT JOIN prov p ON CAST(p.ID AS BIGINT) = w.province_id
+LEFT JOIN sku s ON CAST(s.ID AS BIGINT) = w.sku_id AND w.sku_id % 5 <> 0
+LEFT JOIN spu sp ON sp.ID = s.SPU_ID
+LEFT JOIN tm t ON t.ID = s.TM_ID AND t.ID <> '11'
+LEFT JOIN cat ct ON ct.ID = s.CATEGORY3_ID
+""",
+}

@@ -1,6 +1,6 @@
 """Registered queries: each reads the driver tables of one scale-factor folder,
 runs one warehouse operator over all rows, and returns flat columns whose
-names match the DuckDB oracle in ``tidemark.plans.oracle``."""
+names match the DuckDB SQL in ``tidemark.plans.oracle``."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas as S
 from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
+from tidemark.sinks.topics import as_value
 from tidemark.sources import projections as P
 from tidemark.sources.tables import table
 
@@ -20,11 +21,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---- log path ------------------------------------------------------------------
 def _page_log(spark, sf):
-    return P.page_log(table(spark, sf, "events", spread=True))
+    return P.page_log(table(spark, sf, "events"))
 
 
 def _flagged_log(spark, sf):
-    text = P.app_log_text(table(spark, sf, "events", spread=True))
+    text = P.app_log_text(table(spark, sf, "events"))
     return logs.flag_new_visitors(logs.parse_app_log(text))
 
 
@@ -78,8 +79,8 @@ def bounce_timeout_only(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- change-record path -------------------------------------------------------------
 def _clean(spark, sf):
-    text = P.change_log_text(table(spark, sf, "customer", spread=True),
-                             table(spark, sf, "part", spread=True))
+    text = P.change_log_text(table(spark, sf, "customer"),
+                             table(spark, sf, "part"))
     return cdc.clean_changes(text)
 
 
@@ -123,7 +124,7 @@ def dim_upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 # ---- order path --------------------------------------------------------------------
 def _orders(spark, sf):
     info = orders.with_time_fields(P.order_info(table(spark, sf, "orders")))
-    detail = orders.with_time_fields(P.order_detail(table(spark, sf, "lineitem", spread=True)),
+    detail = orders.with_time_fields(P.order_detail(table(spark, sf, "lineitem")),
                                      derive_date_hour=False)
     return info, detail
 
@@ -161,7 +162,7 @@ def dim_sku_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_log_by_day(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.functions import scalar as fn
-    text = P.app_log_text(table(spark, sf, "events", spread=True))
+    text = P.app_log_text(table(spark, sf, "events"))
     return (text.groupBy(fn.landing_day("value").alias("dt"))
             .agg(F.count(F.lit(1)).alias("n_records")))
 
@@ -182,6 +183,83 @@ def user_age(spark: SparkSession, sf: str) -> DataFrame:
                     fn.age_years("BIRTHDAY", C.AS_OF).alias("user_age"))
 
 
+# ---- the same operators on records that hit their rare cases ----------------------------
+def new_visitor_no_id(spark: SparkSession, sf: str) -> DataFrame:
+    """First visits of records without an id, some of which came twice: records
+    and new-visitor flags per visitor and time."""
+    log = logs.flag_new_visitors(logs.parse_app_log(P.open_log_text(table(spark, sf, "events"))))
+    return log.groupBy(F.col("common.mid").alias("mid"), "ts").agg(
+        F.count("*").alias("n_records"),
+        F.sum((F.col("common.is_new") == "1").cast("long")).alias("n_new"))
+
+
+def log_whole_records(spark: SparkSession, sf: str) -> DataFrame:
+    """What the detail layer writes: whole records, undeclared fields included."""
+    log = logs.flag_new_visitors(logs.parse_app_log(P.open_log_text(table(spark, sf, "events"))))
+    text = as_value(log)
+    at = {"mid": "$.common.mid", "uid": "$.common.uid", "area": "$.common.ar.code",
+          "page_item": "$.page.item", "err_no": "$.err.no", "ts": "$.ts"}
+    return text.select(
+        *[F.get_json_object("value", path).alias(c) for c, path in at.items()],
+        F.size(F.json_object_keys("value")).alias("n_fields"),
+        F.get_json_object("value", "$.common.is_new").isin("0", "1").alias("flagged"))
+
+
+def display_whole_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Display records with all fields of the element and of ``common``."""
+    log = logs.parse_app_log(P.open_log_text(table(spark, sf, "events")))
+    text = logs.display_records(log.where("start is null and displays is not null"))
+    names = ("item", "pos", "display_type", "order", "ts", "page_id", "mid", "uid")
+    return text.select(*[F.get_json_object("value", f"$.{c}").alias(c) for c in names],
+                       F.get_json_object("value", "$.ar.code").alias("area"))
+
+
+def cdc_clean_flawed(spark: SparkSession, sf: str) -> DataFrame:
+    clean = cdc.clean_changes(P.flawed_change_text(table(spark, sf, "customer")))
+    return clean.select(F.col("table").alias("source_table"), "type", "ts",
+                        F.size("data").alias("n_fields"))
+
+
+def rule_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Where every cleaned change goes: a sink, ``dropped`` (a sink that is not
+    known) or ``no_rule``."""
+    text = P.change_log_text(*(table(spark, sf, t) for t in ("customer", "part"))).unionByName(
+        P.supplier_changes(table(spark, sf, "supplier")).select(
+            F.to_json(F.struct("*")).alias("value")))
+    clean = cdc.clean_changes(text, ("insert", "update"))
+    rules = cdc.rules_in_force(C.rule_history(spark))
+    routed = cdc.with_branch(cdc.attach_rules(clean, rules, keep_all=True))
+    return routed.groupBy("table", "op", "branch").agg(F.count("*").alias("n_records"))
+
+
+def dim_upsert_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest row per key where keys have many versions, many of one instant."""
+    text = P.order_driven_changes(table(spark, sf, "orders")).select(
+        F.to_json(F.struct("*")).alias("value"))
+    rules = cdc.rules_in_force(C.rule_history(spark))
+    routed = cdc.project_columns(cdc.attach_rules(cdc.clean_changes(text), rules))
+    rows = dims.dimension_rows(cdc.route(routed)[S.SINK_TYPE_HBASE], pos_col="xoffset")
+    return dims.upsert(None, rows).select(
+        "sink_table", "pk", "seq", "pos", F.explode("data").alias("col_name", "col_value"))
+
+
+def order_wide_misses(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide record where dimension rows are missing, birthdays are blank and
+    details carry a sku name of their own."""
+    info, detail = _orders(spark, sf)
+    detail = detail.withColumn("sku_name", F.concat(F.lit("own_"), F.col("sku_id")))
+    d = _dims(spark, sf)
+    user = d[S.DIM_USER_INFO]
+    d[S.DIM_USER_INFO] = user.where("ID % 3 <> 0").withColumn(
+        "BIRTHDAY", F.when(F.expr("ID % 4 = 0"), "").otherwise(F.col("BIRTHDAY")))
+    d[S.DIM_SKU_INFO] = d[S.DIM_SKU_INFO].where("ID % 5 <> 0")
+    d[S.DIM_BASE_TRADEMARK] = d[S.DIM_BASE_TRADEMARK].where("ID <> '11'")
+    wide = orders.order_wide(info, detail, d, C.AS_OF, C.ORDER_BAND_MS, C.ORDER_BAND_MS)
+    return wide.select("detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
+                       "user_id", "user_age", "user_gender", "spu_name", "tm_name",
+                       "category3_name", "province_name")
+
+
 QUERIES: dict[str, Query] = {
     "daily_unique_visitor": daily_unique_visitor,
     "new_visitor_flag": new_visitor_flag,
@@ -197,8 +275,15 @@ QUERIES: dict[str, Query] = {
     "dim_upsert_latest": dim_upsert_latest,
     "order_interval_join": order_interval_join,
     "order_wide": order_wide,
-    "user_age": user_age,
     "order_wide_enrich_first": order_wide_enrich_first,
+    "user_age": user_age,
     "dim_sku_flat": dim_sku_flat,
     "raw_log_by_day": raw_log_by_day,
+    "new_visitor_no_id": new_visitor_no_id,
+    "log_whole_records": log_whole_records,
+    "display_whole_records": display_whole_records,
+    "cdc_clean_flawed": cdc_clean_flawed,
+    "rule_outcomes": rule_outcomes,
+    "dim_upsert_versions": dim_upsert_versions,
+    "order_wide_misses": order_wide_misses,
 }

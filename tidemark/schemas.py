@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---- raw app log (ods_log) -------------------------------------------------
+# The fields that the operators use.  A record may hold any others: its raw text
+# travels along (``logs.RECORD``) and is what the outputs are made of.
 COMMON = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("is_new", T.StringType()),
@@ -42,6 +44,7 @@ CHANGE = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("type", T.StringType()),
     T.StructField("ts", T.LongType()),
+    T.StructField("xoffset", T.LongType()),     # position in the change log, where it has one
     T.StructField("data", T.MapType(T.StringType(), T.StringType())),
 ])
 

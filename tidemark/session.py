@@ -84,6 +84,27 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, *parts])
 
 
+def configured_path(spark: SparkSession, *parts: str) -> str:
+    """A path below the folder that ``spark.checkpoint.dir`` names.  Jobs keep
+    their progress there; without the setting a restarted job would begin anew
+    in another folder, so it is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a shared folder, or give the job a "
+                         "state_root: its progress must survive a restart")
+    return "/".join([base.rstrip("/"), *parts])
+
+
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def require_state_provider(spark: SparkSession) -> None:
+    """The keyed processors need the RocksDB state store, which only takes
+    effect where the session has it."""
+    if "RocksDB" not in (spark.conf.get(STATE_PROVIDER, None) or ""):
+        raise ValueError(f"set {STATE_PROVIDER}={BASE_CONF[STATE_PROVIDER]}")
+
+
 def default_local_session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     return get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))

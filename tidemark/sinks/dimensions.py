@@ -4,14 +4,19 @@ Layout per table (upper-case name), parquet, all-text columns, key first:
 
 * ``<base>/<TABLE>/base/v=<n>/`` — complete snapshots; ``v=0`` is the empty
   table created from the rule (S6).
-* ``<base>/<TABLE>/delta/b=<batch>/`` — the newest row per key of one
-  micro-batch.  Written by ``upsert``: the cost of a batch is the batch, not
-  the table, and a replayed batch overwrites its own folder (idempotent).
-
-Every ``compact_every`` batches the deltas are folded into a new snapshot
-``v=<batch + 1>``.  ``read`` returns the newest snapshot merged with the
-deltas written after it, newest ``seq`` per key (A5, last write wins).
-A folder only counts once its ``_SUCCESS`` marker exists.
+* ``<base>/<TABLE>/delta/b=<batch>/`` — one row per key of one micro-batch.
+  The cost of a batch is the batch, not the table; a batch without rows of a
+  table writes nothing, and a replayed batch is skipped.
+
+When the deltas have grown to ``compact_ratio`` of the snapshot, or are more
+than ``max_deltas``, they are folded into a new snapshot ``v=<batch + 1>``;
+snapshots before the last two, and the deltas these cover, are deleted (a
+reader may still be on the snapshot before the newest).
+
+``read`` gives, per key and column, the newest value (last write wins): a
+change that does not carry a column leaves it as it was, and a column that a
+rule added later is ``''`` in older rows.  Among changes of one instant the
+later batch wins.  A folder only counts once its ``_SUCCESS`` marker exists.
 """
 
 from __future__ import annotations
@@ -26,13 +31,16 @@ from tidemark.sinks import fs
 
 _V = re.compile(r"^v=(\d+)$")
 _B = re.compile(r"^b=(\d+)$")
+_ORDER = ("_seq", "_batch")
 
 
 class DimensionStore:
-    def __init__(self, spark: SparkSession, base_path: str, compact_every: int = 10):
+    def __init__(self, spark: SparkSession, base_path: str, compact_ratio: float = 0.5,
+                 max_deltas: int = 20):
         self.spark = spark
         self.base = base_path.rstrip("/")
-        self.compact_every = max(1, int(compact_every))
+        self.compact_ratio = float(compact_ratio)
+        self.max_deltas = max(1, int(max_deltas))
 
     # layout --------------------------------------------------------------------
     def _dir(self, table: str, kind: str) -> str:
@@ -55,14 +63,17 @@ class DimensionStore:
         if self.versions(table):
             return
         schema = dims.table_schema(sink_columns, sink_pk)
-        (self.spark.createDataFrame([], schema).withColumn("_seq", F.lit(None).cast("long"))
+        (self.spark.createDataFrame([], schema)
+         .withColumns({c: F.lit(None).cast("long") for c in _ORDER})
          .write.mode("overwrite").parquet(f"{self._dir(table, 'base')}/v=0"))
 
     # reads ----------------------------------------------------------------------
     def read(self, table: str) -> DataFrame | None:
-        """Current content of a table (without the sequence column)."""
+        """Current content of a table (without the order columns)."""
         raw = self._current(table)
-        return None if raw is None else raw.drop("_seq")
+        if raw is None:
+            return None
+        return raw.drop(*_ORDER).na.fill("")
 
     def _current(self, table: str, upto: int | None = None) -> DataFrame | None:
         vs = self.versions(table)
@@ -75,30 +86,61 @@ class DimensionStore:
         newer = [b for b in self.deltas(table) if b + 1 > v and (upto is None or b <= upto)]
         if not newer:
             return base
-        key = base.columns[0]
-        delta = self.spark.read.parquet(*[f"{self._dir(table, 'delta')}/b={b}" for b in newer])
+        # Rules change: deltas may have columns that others and the snapshot lack.
+        delta = self.spark.read.option("mergeSchema", "true").parquet(
+            *[f"{self._dir(table, 'delta')}/b={b}" for b in newer])
         both = base.unionByName(delta, allowMissingColumns=True)
-        return dims.latest_per_key(both, [key], ["_seq"])
+        return dims.latest_per_column(both, base.columns[0], *_ORDER).select(*[
+            c for c in both.columns if c not in _ORDER], *_ORDER)
 
     # S5 -------------------------------------------------------------------------
     def upsert(self, rows: DataFrame, batch_id: int,
                tables: dict[str, tuple[str, str | None]]) -> None:
-        """``rows``: ``(sink_table, pk, seq, data)`` from ``dims.dimension_rows``;
-        ``tables``: sink table -> (sink_columns, sink_pk) of the rules in force."""
+        """``rows``: ``(sink_table, pk, seq, pos, data)`` from ``dims.dimension_rows``;
+        ``tables``: sink table -> (columns, key) of the rules in force
+        (``dims.union_rules``)."""
         batch_id = int(batch_id)
+        if "pos" not in rows.columns:
+            rows = rows.withColumn("pos", F.monotonically_increasing_id())
         for t, (columns, pk) in tables.items():
             self.create_if_absent(t, columns, pk)
+        # One small row per sink table of the rules.
+        touched = {r.sink_table for r in rows.select("sink_table").distinct().collect()}
+        for t, (columns, pk) in tables.items():
+            if t not in touched or batch_id in self.deltas(t) or self.versions(t)[-1] > batch_id:
+                continue
             names = [f.name for f in dims.table_schema(columns, pk).fields]
-            new = dims.latest_per_key(
-                rows.filter(F.col("sink_table") == t).select("pk", "seq", "data"), ["pk"], ["seq"])
-            (new.select(*[F.coalesce(F.col("data")[c], F.lit("")).alias(c) for c in names],
-                        F.col("seq").alias("_seq"))
+            carried = rows.filter((F.col("sink_table") == t) & F.col("pk").isNotNull()).select(
+                *[F.col("data")[c].alias(c) for c in names], "seq", "pos")
+            (dims.latest_per_column(carried, names[0], "seq", "pos")
+             .select(*names, F.col("seq").alias("_seq"),
+                     F.lit(batch_id).cast("long").alias("_batch"))
              .write.mode("overwrite").parquet(f"{self._dir(t, 'delta')}/b={batch_id}"))
-            if (batch_id + 1) % self.compact_every == 0:
+            if self._due(t):
                 self.compact(t, batch_id)
 
+    def _due(self, table: str) -> bool:
+        v = self.versions(table)[-1]
+        newer = [b for b in self.deltas(table) if b + 1 > v]
+        grown = sum(fs.size(self.spark, f"{self._dir(table, 'delta')}/b={b}") for b in newer)
+        base = fs.size(self.spark, f"{self._dir(table, 'base')}/v={v}")
+        return len(newer) > self.max_deltas or (
+            len(newer) > 1 and grown >= self.compact_ratio * base)
+
     def compact(self, table: str, batch_id: int) -> None:
         """Fold the deltas up to ``batch_id`` into snapshot ``v=batch_id + 1``."""
         cur = self._current(table, upto=batch_id)
-        if cur is not None:
+        if cur is not None and batch_id + 1 not in self.versions(table):
             cur.write.mode("overwrite").parquet(f"{self._dir(table, 'base')}/v={batch_id + 1}")
+            self.vacuum(table)
+
+    def vacuum(self, table: str) -> None:
+        """Delete what the last two snapshots no longer need."""
+        vs = self.versions(table)
+        if len(vs) < 2:
+            return
+        for v in vs[:-2]:
+            fs.remove(self.spark, f"{self._dir(table, 'base')}/v={v}")
+        for b in self.deltas(table):
+            if b + 1 <= vs[-2]:
+                fs.remove(self.spark, f"{self._dir(table, 'delta')}/b={b}")

@@ -22,3 +22,27 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; false (and nothing done) where the target exists."""
+    fs, src = _fs(spark, source)
+    dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(dst):
+        return False
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot rename {source} to {target}")
+    return True
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder; 0 where it does not exist."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

@@ -1,25 +1,32 @@
 """Topic sinks: records as JSON text, to Kafka or to one folder per topic.
 
 File layout (also read by ``tidemark.sources.topics``):
-``<base>/topic=<name>/batch=<id>/`` — a replayed micro-batch overwrites its
-own folder, so file output is exactly once.
+``<base>/topic=<name>/batch=<id>/``.  A micro-batch is written to a hidden
+folder first and then renamed into place; a batch that is already in place is
+left as it is.  A replay therefore adds no files, and the next layer's file
+stream, which knows its input by file name, sees every record once.  Kafka
+output is at least once.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import logs
+from tidemark.sinks import fs
 from tidemark.sources.topics import TopicConfig
 
 
 def as_value(df: DataFrame) -> DataFrame:
-    """The whole record as JSON text (a frame that already is ``value``
-    text is kept)."""
+    """The whole record as JSON text.  A frame that already is ``value``
+    text is kept; one that carries the raw ``record`` gives that text, with the
+    ``is_new`` of its ``common`` column."""
     if df.columns == ["value"] and df.schema["value"].dataType.simpleString() == "string":
         return df
+    if logs.RECORD in df.columns:
+        is_new = F.col("common.is_new") if "common" in df.columns else None
+        return df.select(logs.whole_record(logs.RECORD, is_new).alias("value"))
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
@@ -33,10 +40,15 @@ def write_topic(df: DataFrame, cfg: TopicConfig, topic: str, batch_id: int | Non
          .option("topic", topic).save())
         return
     path = cfg.path(topic)
-    if batch_id is not None:
-        out.write.mode("overwrite").text(os.path.join(path, f"batch={batch_id}"))
-    else:
+    if batch_id is None:
         out.write.mode("append").text(path)
+        return
+    spark, final = df.sparkSession, f"{path}/batch={int(batch_id)}"
+    if fs.exists(spark, final):
+        return
+    hidden = f"{path}/_staging/batch={int(batch_id)}"
+    out.write.mode("overwrite").text(hidden)
+    fs.move(spark, hidden, final)
 
 
 def topic_stream_writer(df: DataFrame, cfg: TopicConfig, topic: str, checkpoint: str):
@@ -67,6 +79,10 @@ def write_addressed(df: DataFrame, cfg: TopicConfig, topic_col: str,
     if batch_id is None:
         out.write.mode("append").partitionBy("topic").text(cfg.base_path)
         return
-    (out.withColumn("batch", F.lit(int(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("topic", "batch").text(cfg.base_path))
+    spark, batch = df.sparkSession, f"batch={int(batch_id)}"
+    hidden = f"{cfg.base_path}/_staging/addressed-{batch}"
+    out.write.mode("overwrite").partitionBy("topic").text(hidden)
+    for name in fs.list_names(spark, hidden):
+        if name.startswith("topic="):
+            fs.move(spark, f"{hidden}/{name}", f"{cfg.base_path}/{name}/{batch}")
+    fs.remove(spark, hidden)

@@ -71,6 +71,30 @@ def app_log_text(events: DataFrame) -> DataFrame:
     return app_log(events).select(F.to_json(F.struct("*")).alias("value"))
 
 
+def open_log_text(events: DataFrame) -> DataFrame:
+    """Raw log text as clients send it: no record id, fields that no schema
+    declares at every level, and each record whose event id is a multiple of 50
+    twice."""
+    e = app_log(events)
+    displays = F.transform("displays", lambda d: F.struct(
+        d["item"].alias("item"), d["pos"].alias("pos"), F.lit("promotion").alias("display_type"),
+        (d["pos"] * 2).alias("order")))
+    open_record = e.select("event_id", F.struct(
+        F.struct(F.col("common.mid").alias("mid"), F.lit("9").alias("is_new"),
+                 (F.col("event_id") * 3).alias("uid"),
+                 F.struct(F.concat(F.lit("area_"), F.col("common.mid")).alias("code")).alias("ar"))
+        .alias("common"),
+        "start",
+        F.when(F.col("page").isNotNull(), F.struct(
+            "page.page_id", "page.last_page_id", F.col("event_id").cast("string").alias("item")))
+        .alias("page"),
+        displays.alias("displays"), F.struct((F.col("event_id") % 7).alias("no")).alias("err"),
+        "ts").alias("r"))
+    times = F.when(F.col("event_id") % 50 == 0, 2).otherwise(1)
+    return open_record.select(F.to_json("r").alias("value"),
+                              F.explode(F.array_repeat(F.lit(0), times))).select("value")
+
+
 def page_log(events: DataFrame) -> DataFrame:
     """``dwd_page`` shape over all events: mid = user, page = event type,
     entry page (no last page) for view and signup."""
@@ -144,6 +168,45 @@ def change_log_text(customer: DataFrame, part: DataFrame) -> DataFrame:
     return change_log(customer, part).select(F.to_json(F.struct("*")).alias("value"))
 
 
+def order_driven_changes(orders: DataFrame) -> DataFrame:
+    """Several changes per customer, one per order, many at the same time: only
+    the log position (``xoffset``) tells which is newer."""
+    return orders.select(
+        F.lit(CHANGE_DATABASE).alias("database"), F.lit("customer").alias("table"),
+        F.lit("insert").alias("type"), (F.pmod("o_orderkey", F.lit(3)) * 1000).alias("ts"),
+        F.col("o_orderkey").alias("xoffset"),
+        F.create_map(
+            F.lit("c_custkey"), F.col("o_custkey").cast("string"),
+            F.lit("c_name"), F.concat(F.lit("order_"), F.col("o_orderkey").cast("string")),
+            F.lit("c_nationkey"), F.when(F.col("o_orderkey") % 5 != 0, F.lit("7")),
+            F.lit("c_mktsegment"), F.col("o_orderstatus")).alias("data"))
+
+
+def supplier_changes(supplier: DataFrame) -> DataFrame:
+    """Changes of a table that no rule names."""
+    return supplier.select(
+        F.lit(CHANGE_DATABASE).alias("database"), F.lit("supplier").alias("table"),
+        _change_type("s_suppkey").alias("type"), (F.col("s_suppkey") * 1000).alias("ts"),
+        F.create_map(F.lit("s_suppkey"), F.col("s_suppkey").cast("string"),
+                     F.lit("s_name"), F.col("s_name")).alias("data"))
+
+
+def flawed_change_text(customer: DataFrame) -> DataFrame:
+    """Change records with every flaw the cleaning looks for, by key: no data,
+    no table, data too short, another type, no JSON; the others are sound."""
+    k = F.pmod("c_custkey", F.lit(7))
+    rec = customer.select(k.alias("k"), F.struct(
+        F.lit(CHANGE_DATABASE).alias("database"),
+        F.when(k != 1, F.lit("customer")).alias("table"),
+        F.when(k == 3, F.lit("delete")).otherwise(F.lit("insert")).alias("type"),
+        F.col("c_custkey").alias("ts"),
+        F.when(k == 2, F.create_map(F.lit("a"), F.lit("b"))).when(
+            k != 0, F.create_map(F.lit("c_custkey"), F.col("c_custkey").cast("string"),
+                                 F.lit("c_name"), F.col("c_name"))).alias("data")).alias("r"))
+    return rec.select(F.when(F.col("k") == 4, F.lit("no json")).otherwise(F.to_json("r"))
+                      .alias("value"))
+
+
 # ---- orders ----------------------------------------------------------------
 
 def _null_money() -> Column:

@@ -9,26 +9,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a scale-factor folder.  Parquet: column pruning and
-    predicate pushdown reach the scan through Catalyst.  ``spread`` for fact
-    and change sources: see ``spread``."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_partitions(df) if spread else df
-
-
-def spread_partitions(df: DataFrame) -> DataFrame:
-    """Give an input at least one partition per core.
-
-    A large input read from many files already has thousands of partitions
-    and is returned unchanged.  A file written as a single row group is one
-    task however many cores there are; it is redistributed round-robin so the
-    per-row work after the scan (JSON, joins) runs in parallel.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:      # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(cores)
+    predicate pushdown reach the scan through Catalyst; the scan decides the
+    partitions."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -30,9 +30,10 @@ class TopicConfig:
         return os.path.join(self.base_path, f"topic={topic}")
 
 
-def _kafka_options(cfg: TopicConfig, topic: str, group: str | None) -> dict:
+def _kafka_options(cfg: TopicConfig, topic: str, group: str | None, streaming: bool) -> dict:
+    # A batch read covers the topic: Spark refuses "latest" as its start.
     opts = {"kafka.bootstrap.servers": cfg.kafka_servers, "subscribe": topic,
-            "startingOffsets": "latest", "kafka.isolation.level": "read_committed",
+            "startingOffsets": "latest" if streaming else "earliest", "kafka.isolation.level": "read_committed",
             "failOnDataLoss": "true"}
     if group:
         opts["kafka.group.id"] = group
@@ -45,7 +46,7 @@ def read_topic(spark: SparkSession, cfg: TopicConfig, topic: str,
     """One topic as ``value STRING`` records."""
     if cfg.kafka_servers:
         reader = spark.readStream if streaming else spark.read
-        return (reader.format("kafka").options(**_kafka_options(cfg, topic, group)).load()
+        return (reader.format("kafka").options(**_kafka_options(cfg, topic, group, streaming)).load()
                 .select(F.col("value").cast("string").alias("value")))
     if streaming:
         reader = spark.readStream.format("text")

@@ -5,8 +5,9 @@ W8: ``run_job`` is the job template: sources -> ``transform`` (X1, the job's
 hook) -> one ``foreachBatch`` per output writing every branch of it.  Each
 query keeps its progress under ``spark.checkpoint.dir`` (shared storage on a
 cluster), so a restarted or re-scheduled job resumes where it stopped.
-W7: file outputs are written per micro-batch id and overwrite their own
-folder on replay: exactly once.  Kafka output is at least once.
+W7: a file output of a micro-batch is put into place once and left alone on
+replay, so the next layer reads every record once.  Kafka output is at least
+once.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from tidemark import schemas as S
 from tidemark.functions import scalar as fn
 from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
-from tidemark.session import shared_path
+from tidemark.operators.joins import checked_broadcast
+from tidemark.session import configured_path, require_state_provider
 from tidemark.sinks.dimensions import DimensionStore
 from tidemark.sinks.topics import write_addressed, write_topic
 from tidemark.sources.topics import TopicConfig, read_topic, read_topics
@@ -31,7 +33,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 
 def checkpoint_for(spark: SparkSession, job: str, output: str) -> str:
-    return shared_path(spark, "jobs", job, output)
+    return configured_path(spark, "jobs", job, output)
 
 
 def run_job(spark: SparkSession, name: str, sources: dict[str, DataFrame],
@@ -40,7 +42,9 @@ def run_job(spark: SparkSession, name: str, sources: dict[str, DataFrame],
             state_root: str | None = None) -> list[StreamingQuery]:
     """Start one query per output of ``transform(sources)``; output ``k`` is
     written by ``writers[k](batch_df, batch_id)``.  Progress is kept in
-    ``state_root`` (default: ``jobs/`` under ``spark.checkpoint.dir``)."""
+    ``state_root`` (default: ``jobs/`` under ``spark.checkpoint.dir``; one of the
+    two must be set)."""
+    require_state_provider(spark)
     outs = transform(sources)
     if isinstance(outs, DataFrame):
         outs = {"out": outs}
@@ -94,7 +98,7 @@ def log_detail_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WIN
                   state_root: str | None = None):
     """ods_log -> first-visit flag -> dwd_start / dwd_page / dwd_displays;
     malformed text -> ods_log_quarantine."""
-    src = {S.TOPIC_ODS_LOG: read_topic(spark, cfg, S.TOPIC_ODS_LOG)}
+    src = {S.TOPIC_ODS_LOG: read_topic(spark, cfg, S.TOPIC_ODS_LOG, "log_detail")}
 
     def transform(s):
         # two queries over the same topic, both with the cheap parse: the
@@ -108,7 +112,8 @@ def log_detail_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WIN
     split = {
         S.TOPIC_DWD_START: lambda b: logs.split_logs(b)["start"],
         S.TOPIC_DWD_PAGE: lambda b: logs.split_logs(b)["page"],
-        S.TOPIC_DWD_DISPLAYS: lambda b: logs.split_logs(b)["displays"],
+        S.TOPIC_DWD_DISPLAYS: lambda b: logs.display_records(
+            b.where("start is null and displays is not null")),
     }
     writers = {
         "detail": fan_out(split, {t: to_topic(cfg, t) for t in split}),
@@ -121,7 +126,7 @@ def unique_visitor_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C
                        allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
                   state_root: str | None = None):
     """dwd_page -> first page record per visitor and day -> dwm_uv."""
-    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE)}
+    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE, "unique_visitor")}
     transform = (lambda s: SP.daily_unique_visitors_stream(
         logs.parse_app_log(s[S.TOPIC_DWD_PAGE]), window_ms, allowance_ms))
     return run_job(spark, "unique_visitor", src, transform,
@@ -133,7 +138,8 @@ def bounce_job(spark: SparkSession, cfg: TopicConfig, within_ms: int = C.PATTERN
                allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
                   state_root: str | None = None):
     """dwd_page -> bounced entry pages -> dwm_user_jump_detail."""
-    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE)}
+    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE,
+                                        f"bounce_{next_rule}_{emit}")}
     transform = (lambda s: SP.bounce_stream(logs.parse_app_log(s[S.TOPIC_DWD_PAGE]),
                                             within_ms, next_rule, emit, allowance_ms))
     return run_job(spark, f"bounce_{next_rule}_{emit}", src, transform,
@@ -148,7 +154,7 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
     into the dimension store, per-branch counts (incl. ``dropped``) to the
     ``db_detail_metrics`` topic.  The rules changelog (parquet) is re-read
     every micro-batch, so a rule change applies from the next batch on."""
-    src = {S.TOPIC_ODS_DB: read_topic(spark, cfg, S.TOPIC_ODS_DB)}
+    src = {S.TOPIC_ODS_DB: read_topic(spark, cfg, S.TOPIC_ODS_DB, "db_detail")}
     store = DimensionStore(spark, dims_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -160,9 +166,11 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
             write_addressed(kafka.select(F.col("sink_table"), F.col("data")),
                             cfg, "sink_table", batch_id)
             hb = projected.filter(F.col("branch") == S.SINK_TYPE_HBASE).drop("branch")
-            tables = {r.sink_table: (r.sink_columns, r.sink_pk)
-                      for r in rules.filter(F.col("sink_type") == S.SINK_TYPE_HBASE).collect()}
-            store.upsert(dims.dimension_rows(hb), batch_id, tables)
+            checked_broadcast(rules)        # refuses what is no configuration any more
+            tables = dims.union_rules([
+                (r.sink_table, r.sink_columns, r.sink_pk)
+                for r in rules.filter(F.col("sink_type") == S.SINK_TYPE_HBASE).collect()])
+            store.upsert(dims.dimension_rows(hb, pos_col="xoffset"), batch_id, tables)
             # Records of unknown sink types are not written, only counted
             counts = (projected.groupBy("branch").count()
                       .select(F.lit(int(batch_id)).alias("batch_id"), "branch", "count"))
@@ -177,7 +185,7 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
 
 def order_wide_job(spark: SparkSession, cfg: TopicConfig,
                    dim_tables: dict[str, DataFrame] | Callable[[], dict[str, DataFrame]],
-                   as_of: str, lower_ms: int = C.JOIN_BAND_MS, upper_ms: int = C.JOIN_BAND_MS,
+                   as_of: str | Callable[[], str], lower_ms: int = C.JOIN_BAND_MS, upper_ms: int = C.JOIN_BAND_MS,
                    allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
                    state_root: str | None = None):
     """dwd_order_info + dwd_order_detail -> stream-stream band join ->
@@ -186,8 +194,10 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
     Enrichment runs per micro-batch: ``dim_tables`` may be a callable that
     returns the dimension frames (e.g. from a ``DimensionStore``), called
     for every batch so upserted dimension rows are seen by later orders, as
-    the reference's per-record look-ups did."""
-    src = read_topics(spark, cfg, S.TOPIC_DWD_ORDER_INFO, S.TOPIC_DWD_ORDER_DETAIL)
+    the reference's per-record look-ups did; ``as_of`` may be one too, so that
+    ages of a long-running job follow the calendar."""
+    src = read_topics(spark, cfg, S.TOPIC_DWD_ORDER_INFO, S.TOPIC_DWD_ORDER_DETAIL,
+                      group="order_wide")
 
     def transform(s):
         info, detail = SP.parse_order_streams(s[S.TOPIC_DWD_ORDER_INFO],
@@ -196,7 +206,8 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         tables = dim_tables() if callable(dim_tables) else dim_tables
-        wide = orders.enrich(batch, orders.order_wide_specs(tables, as_of))
+        now = as_of() if callable(as_of) else as_of
+        wide = orders.enrich(batch, orders.order_wide_specs(tables, now))
         wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
         write_topic(wide.select(*S.ORDER_WIDE_COLUMNS), cfg, S.TOPIC_DWM_ORDER_WIDE, batch_id)
 
@@ -226,9 +237,14 @@ def raw_log_landing_job(spark: SparkSession, cfg: TopicConfig, incoming_path: st
     src = {"raw": spark.readStream.format("text").load(incoming_path)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("dt", fn.landing_day("value")).withColumn("batch", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt", "batch").text(landing_path))
-        write_topic(batch.select("value"), cfg, S.TOPIC_ODS_LOG, batch_id)
+        batch.persist()                     # read once, written twice
+        try:
+            (batch.withColumn("dt", fn.landing_day("value"))
+             .withColumn("batch", F.lit(int(batch_id)))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("dt", "batch").text(landing_path))
+            write_topic(batch.select("value"), cfg, S.TOPIC_ODS_LOG, batch_id)
+        finally:
+            batch.unpersist()
 
     return run_job(spark, "raw_log_landing", src, lambda s: s["raw"], {"out": write}, trigger, state_root)

@@ -34,45 +34,66 @@ def with_event_time(df: DataFrame, ts_col: str = "ts",
 
 
 # W1 + W2 / W3 ---------------------------------------------------------------------
-def _keyed_records(log: DataFrame, allowance_ms: int, value: F.Column) -> DataFrame:
+def with_window_time(df: DataFrame, window_ms: int, ts_col: str = "ts",
+                     allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
+    """Event time is the end of the record's tumbling window, so a record is
+    late only once its whole window is.  The watermark is held back by one window:
+    it lies below the one of single records by less than a window, and nothing is
+    dropped that would be kept there."""
+    end = F.floor(F.col(ts_col) / F.lit(int(window_ms))) * int(window_ms) + int(window_ms)
+    return (df.withColumn(EVENT_TIME, fn.ms_to_timestamp(end.cast("long")))
+            .withWatermark(EVENT_TIME, ms(allowance_ms + window_ms)))
+
+
+def _record(log: DataFrame) -> F.Column:
+    """The text a record travels as: its raw text, else its columns as JSON."""
+    return F.col(logs.RECORD) if logs.RECORD in log.columns else F.to_json(F.struct(*log.columns))
+
+
+def _typed(log: DataFrame, value: str = "value") -> list[F.Column]:
+    """The columns of ``log`` back from that text."""
+    schema = log.drop(logs.RECORD).schema
+    r = F.from_json(value, schema)
+    return [F.col(value).alias(logs.RECORD) if c == logs.RECORD else r[c].alias(c)
+            for c in log.columns]
+
+
+def _keyed_records(log: DataFrame, window_ms: int, allowance_ms: int) -> DataFrame:
     day_start = F.date_trunc("day", fn.ms_to_timestamp("ts"))
-    return (with_event_time(log, "ts", allowance_ms)
-            .select(F.col("common.mid").alias("mid"), "ts", "event_id",
+    return (with_window_time(log, window_ms, "ts", allowance_ms)
+            .select(F.col("common.mid").alias("mid"), "ts", logs.tie_of(log).alias("event_id"),
                     fn.ms_to_date_text("ts").alias("day"),
                     F.unix_millis(day_start + F.expr("INTERVAL 1 DAY")).alias("day_end"),
-                    value.alias("value"), EVENT_TIME))
+                    _record(log).alias("value"), EVENT_TIME))
 
 
 def flag_new_visitors_stream(log: DataFrame, window_ms: int = C.WINDOW_MS,
                              allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
     """App-log records with ``common.is_new`` rewritten, ``1`` on the first
     record ever of a visitor.  All records are emitted (T1).  The first
-    record is decided when its ``window_ms`` tumbling window closes (W1)."""
-    recs = _keyed_records(log, allowance_ms, F.to_json(F.struct(*log.columns)))
+    record is decided when its ``window_ms`` tumbling window closes (W1).
+    Records without a visitor are never new and touch no state."""
+    recs = _keyed_records(log.where("common.mid is not null"), window_ms, allowance_ms)
     flagged = (recs.groupBy("mid")
                .transformWithState(NewVisitorProcessor(window_ms), FIRST_EVENT_OUT,
                                    "append", "EventTime"))
-    rec = F.from_json("value", log.schema)
-    return (flagged.select(rec.alias("r"), "is_new")
-            .select("r.*", "is_new")
+    known = flagged.select(*_typed(log), "is_new")
+    nobody = log.where("common.mid is null").withColumn("is_new", F.lit("0"))
+    return (known.unionByName(nobody)
             .withColumn("common", fn.with_is_new("common", F.col("is_new")))
-            .drop("is_new"))
+            .select(*log.columns))
 
 
 def daily_unique_visitors_stream(page_log: DataFrame, window_ms: int = C.WINDOW_MS,
                                  allowance_ms: int = C.OUT_OF_ORDER_MS) -> DataFrame:
-    """The first page record of each visitor per day, as ``(mid,
-    visit_date, ts, event_id, page_id, last_page_id)``, emitted when its
-    ``window_ms`` window closes."""
-    value = F.to_json(F.struct(F.col("page.page_id").alias("page_id"),
-                               F.col("page.last_page_id").alias("last_page_id")))
-    recs = _keyed_records(page_log, allowance_ms, value)
+    """The first page record of each visitor per day, whole, as ``(mid,
+    visit_date, the record's columns)``, emitted when its ``window_ms`` window
+    closes."""
+    recs = _keyed_records(page_log.where("common.mid is not null"), window_ms, allowance_ms)
     firsts = (recs.groupBy("mid")
               .transformWithState(DailyFirstProcessor(window_ms), FIRST_EVENT_OUT,
                                   "append", "EventTime"))
-    page = F.from_json("value", "page_id string, last_page_id string")
-    return firsts.select("mid", fn.ms_to_date_text("ts").alias("visit_date"), "ts", "event_id",
-                         page.page_id.alias("page_id"), page.last_page_id.alias("last_page_id"))
+    return firsts.select("mid", fn.ms_to_date_text("ts").alias("visit_date"), *_typed(page_log))
 
 
 # W4 / W5 / U1 ----------------------------------------------------------------------
@@ -80,17 +101,18 @@ def bounce_stream(page_log: DataFrame, within_ms: int = C.PATTERN_WITHIN_MS,
                   next_rule: str = "entry", emit: str = "both",
                   allowance_ms: int = C.OUT_OF_ORDER_MS,
                   start_when=None, next_when=None) -> DataFrame:
-    """Bounce detail on a stream (see ``logs.bounce_visits`` for the rule and
-    the X3 step predicates).  Records later than the watermark are dropped,
-    by record, as in the reference's pattern operator."""
+    """Bounce detail on a stream: the bounced entry records, whole (see
+    ``logs.bounce_visits`` for the rule and the X3 step predicates).  Records
+    later than the watermark are dropped, by record, as in the reference's
+    pattern operator; so are records without a visitor."""
     start, follows = logs.pattern_predicates(next_rule, start_when, next_when)
-    x = (with_event_time(page_log, "ts", allowance_ms)
-         .select(F.col("common.mid").alias("mid"), "ts", "event_id",
-                 start.alias("entry"), follows.alias("ok"),
-                 F.col("page.page_id").alias("page_id"), EVENT_TIME))
+    x = (with_event_time(page_log.where("common.mid is not null"), "ts", allowance_ms)
+         .select(F.col("common.mid").alias("mid"), "ts",
+                 logs.tie_of(page_log).alias("event_id"), start.alias("entry"),
+                 follows.alias("ok"), F.when(start, _record(page_log)).alias("value"), EVENT_TIME))
     return (x.groupBy("mid")
             .transformWithState(BounceProcessor(within_ms, emit), BOUNCE_OUT, "append",
-                                "EventTime"))
+                                "EventTime").select(*_typed(page_log)))
 
 
 # J1 ---------------------------------------------------------------------------------
@@ -109,10 +131,5 @@ def order_interval_join_stream(info: DataFrame, detail: DataFrame,
     return orders.merge_wide(i.join(d, cond, "inner"))
 
 
-# parse helpers for topic text -----------------------------------------------------------
-def parse_app_log_stream(text: DataFrame) -> DataFrame:
-    return logs.parse_app_log(text)
-
-
 def parse_order_streams(info_text: DataFrame, detail_text: DataFrame):
     return orders.parse_order_info(info_text), orders.parse_order_detail(detail_text)

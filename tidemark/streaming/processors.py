@@ -32,14 +32,10 @@ BOUNCE_OUT = T.StructType([
     T.StructField("mid", T.StringType()),
     T.StructField("ts", T.LongType()),
     T.StructField("event_id", T.LongType()),
-    T.StructField("page_id", T.StringType()),
+    T.StructField("value", T.StringType()),
 ])
 
 
-def _get(r, name):
-    return r[name]
-
-
 def _window_end(ts: int, window_ms: int) -> int:
     return (ts // window_ms) * window_ms + window_ms
 
@@ -100,9 +96,11 @@ class NewVisitorProcessor(StatefulProcessor):
             return                      # an older timer; the current candidate's fires later
         mid = key[0]
         if self.buf.exists():
+            found = False               # of a record that came twice, one is the first
             for ts, eid, value in self.buf.get():
-                yield Row(mid=mid, event_id=eid, ts=ts,
-                          is_new="1" if (ts, eid) == first else "0", value=value)
+                new = not found and (ts, eid) == first
+                found = found or new
+                yield Row(mid=mid, event_id=eid, ts=ts, is_new="1" if new else "0", value=value)
         self.buf.clear()
         self.cand.clear()
         self.decided.update(first)
@@ -183,9 +181,10 @@ class DailyFirstProcessor(StatefulProcessor):
 
 
 class BounceProcessor(StatefulProcessor):
-    """Input rows: ``(mid, ts, event_id, entry, ok, page_id)`` where ``entry``
-    marks a start record and ``ok`` whether the record satisfies the
-    next-step rule; event-time mode.
+    """Input rows: ``(mid, ts, event_id, entry, ok, value)`` where ``entry``
+    marks a start record, ``ok`` whether the record satisfies the next-step
+    rule, and ``value`` is the whole record (start records only); event-time
+    mode.
 
     ``emit="both"``: a match (strictly next record inside the band with
     ``ok``) and a timeout (no record inside the band) emit the start record.
@@ -193,10 +192,12 @@ class BounceProcessor(StatefulProcessor):
     timeout.
 
     State per visitor: the records of the undecided band as one value (a
-    couple of state calls per visitor and batch) and one timer at the
-    earliest undecided start's ``ts + within``.  A start is decided once the
-    watermark passes that point: every record before it has arrived.
-    Records that can no longer be anyone's next record are pruned.
+    couple of state calls per visitor and batch) and one timer: at the
+    earliest undecided start's ``ts + within``, or, without such a start, just
+    after the earliest record.  A start is decided once the watermark passes
+    that point: every record before it has arrived.  Then records that can no
+    longer be anyone's next record are pruned, so a visitor whose last record
+    the watermark has passed by the band holds no state.
     """
 
     def __init__(self, within_ms: int, emit: str = "both"):
@@ -220,15 +221,15 @@ class BounceProcessor(StatefulProcessor):
             return
         self.buf.update((json.dumps(items, separators=(",", ":")),))
         pending = [x[0] for x in items if x[2] and not x[5]]
-        if pending:
-            self.handle.registerTimer(min(pending) + self.within)
+        self.handle.registerTimer(min(pending) + self.within if pending
+                                  else min(x[0] for x in items) + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         items = self._load()
         n = len(items)
         for r in rows:
             items.append([r["ts"], r["event_id"], bool(r["entry"]), bool(r["ok"]),
-                          r["page_id"], False])
+                          r["value"], False])
         if len(items) != n:
             self._save(items)
         return iter([])
@@ -240,13 +241,13 @@ class BounceProcessor(StatefulProcessor):
             return iter([])
         out, changed = [], False
         for i, x in enumerate(items):
-            ts, eid, entry, _, page_id, decided = x
+            ts, eid, entry, _, value, decided = x
             if entry and not decided and ts + self.within <= wm:
                 nxt = items[i + 1] if i + 1 < len(items) else None
                 timeout = nxt is None or nxt[0] - ts >= self.within
                 if timeout or (self.emit == "both" and nxt[3]):
-                    out.append(Row(mid=key[0], ts=ts, event_id=eid, page_id=page_id))
-                x[5] = changed = True
+                    out.append(Row(mid=key[0], ts=ts, event_id=eid, value=value))
+                x[4], x[5], changed = None, True, True
         # rows before the earliest undecided start (and before the watermark)
         # can no longer be anyone's next record
         undecided = [x[0] for x in items if x[2] and not x[5]]
