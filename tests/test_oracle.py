@@ -9,10 +9,11 @@ from tests.conftest import SF01
 
 import __spark_entry__ as E
 from tidemark.plans.queries import QUERIES
+from tidemark.plans.stream_queries import STREAM_QUERIES
 
 
 def test_every_warehouse_query_has_sql():
-    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
+    assert {*QUERIES, *STREAM_QUERIES} <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))

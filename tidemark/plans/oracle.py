@@ -371,3 +371,42 @@ LEFT JOIN tm t ON t.ID = s.TM_ID AND t.ID <> '11'
 LEFT JOIN cat ct ON ct.ID = s.CATEGORY3_ID
 """,
 }
+
+# ---- streaming jobs, read back ----------------------------------------------------------
+SQL |= {
+    "stream_log_detail": f"""
+WITH {OPEN_LOG},
+f AS (SELECT *, min(ts) OVER (PARTITION BY mid) AS first_ts FROM ol)
+SELECT mid, ts, CAST(event_id * 3 AS VARCHAR) AS uid, 'area_' || mid AS area,
+       CAST(event_id AS VARCHAR) AS page_item, CAST(event_id % 7 AS VARCHAR) AS err_no,
+       count(*) AS n_records, max(CASE WHEN ts = first_ts THEN 1 ELSE 0 END)::BIGINT AS n_new
+FROM f WHERE event_type <> 'signup' GROUP BY mid, ts, event_id
+""",
+    "stream_log_outputs": f"""
+WITH {OPEN_LOG}
+SELECT 'dwd_start' AS topic, count(*) AS n_records FROM ol WHERE event_type = 'signup'
+UNION ALL SELECT 'dwd_page', count(*) FROM ol WHERE event_type <> 'signup'
+UNION ALL SELECT 'dwd_displays', CAST(sum(n_disp) AS BIGINT) FROM ol WHERE event_type <> 'signup'
+UNION ALL SELECT 'ods_log_quarantine', 1
+""",
+    "stream_unique_visitor": SQL["daily_unique_visitor"],
+    "stream_bounce": SQL["bounce_detail"],
+    "stream_bounce_timeout": SQL["bounce_timeout_only"],
+    "stream_db_topics": f"""
+SELECT sink_table, ts, col_name, col_value
+FROM ({SQL["project_columns"]}) WHERE sink_table = 'dwd_part'
+""",
+    "stream_raw_landing": SQL["raw_log_by_day"],
+    "stream_order_wide": f"""
+SELECT detail_id, order_id, sku_id, sku_num, sku_name, user_id, user_age, user_gender,
+       province_name, spu_name, tm_name, category3_name, create_date
+FROM ({SQL["order_wide"]})
+""",
+}
+SQL["stream_dimension_store"] = f"""
+SELECT max(CASE WHEN col_name = 'C_CUSTKEY' THEN col_value END) AS "C_CUSTKEY",
+       max(CASE WHEN col_name = 'C_NAME' THEN col_value END) AS "C_NAME",
+       max(CASE WHEN col_name = 'C_NATIONKEY' THEN col_value END) AS "C_NATIONKEY",
+       max(CASE WHEN col_name = 'C_MKTSEGMENT' THEN col_value END) AS "C_MKTSEGMENT"
+FROM ({SQL["dim_upsert_versions"]}) GROUP BY pk
+"""
