@@ -34,7 +34,7 @@ class Cuts:
     bits: int = 2           # a boundary after about one in 2**bits words ...
     least: int = 16         # ... but no chunk shorter than this many bytes,
     longest: int = 1024     # and none longer, though white space be missing
-    min_words: int = 15
+    min_words: int = 20
 
 
 DEFAULT = Cuts()
