@@ -110,8 +110,7 @@ def bench_streams(spark, sf_dir: str) -> dict:
                                            state_root=state), n_events),
         "order_wide": (lambda: jobs.order_wide_job(spark, cfg, Q._dims(spark, sf_dir), C.AS_OF,
                                                    C.ORDER_BAND_MS, C.ORDER_BAND_MS,
-                                                   allowance_ms=10 ** 12, trigger=once,
-                                                   state_root=state), n_orders),
+                                                   trigger=once, state_root=state), n_orders),
     }
     out = {}
     for name, (start, rows) in runs.items():

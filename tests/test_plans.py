@@ -70,3 +70,9 @@ def test_scans_are_pruned(at_scale):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     lineitem = [s for s in schemas if "l_orderkey" in s][0]
     assert "l_returnflag" not in lineitem and "l_tax" not in lineitem
+
+
+def test_order_wide_has_no_single_task_and_few_shuffles(at_scale):
+    text = _plan(at_scale, "order_wide")
+    assert "SinglePartition" not in text
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 10, text

@@ -60,12 +60,9 @@ def rule_additions(history: DataFrame) -> DataFrame:
 
 def rules_in_force(history: DataFrame) -> DataFrame:
     """Newest added version of every rule key (``put`` overwrites)."""
-    rule = F.struct(*[F.col(c) for c in S.RULE_COLUMNS], F.col("version"))
-    return (rule_additions(history)
-            .groupBy(*RULE_KEY)
-            .agg(F.max_by(rule, F.col("version")).alias("_r"))
-            .select(*[F.col(f"_r.{c}").alias(c) for c in S.RULE_COLUMNS],
-                    F.col("_r.version").alias("version")))
+    added = rule_additions(history)
+    newest = added.groupBy(*RULE_KEY).agg(F.max("version").alias("version"))
+    return added.join(newest, [*RULE_KEY, "version"]).select(*S.RULE_COLUMNS, "version")
 
 
 def rule_intervals(history: DataFrame) -> DataFrame:

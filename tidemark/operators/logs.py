@@ -132,7 +132,7 @@ def display_records(log: DataFrame) -> DataFrame:
     """R2 on open records: one JSON text per display element, with all fields of
     the element, ``ts``, ``page_id`` and all fields of ``common`` (the rewritten
     ``is_new`` included); later ones win on a name clash."""
-    v = F.try_parse_json(RECORD)
+    v, none = F.col("_v"), F.expr(f"CAST(map() AS {_OBJECT})")
     fixed = F.map_filter(
         F.create_map(F.lit("ts"), F.try_variant_get(v, "$.ts", "variant"),
                      F.lit("page_id"), F.try_variant_get(v, "$.page.page_id", "variant")),
@@ -140,9 +140,12 @@ def display_records(log: DataFrame) -> DataFrame:
     common = _merge(_part(v, "$.common"), F.create_map(
         F.lit("is_new"), _quoted(F.coalesce("common.is_new", F.lit("0")))))
     elements = F.try_variant_get(v, "$.displays", "variant").try_cast("array<variant>")
-    return (log.select(F.explode(elements).alias("_d"), fixed.alias("_f"), common.alias("_c"))
-            .select(_text(_merge(_merge(F.coalesce(F.col("_d").try_cast(_OBJECT), F.expr(
-                f"CAST(map() AS {_OBJECT})")), F.col("_f")), F.col("_c"))).alias("value")))
+    # What every element of a record gets is merged once per record.
+    each = (log.withColumn("_v", F.try_parse_json(RECORD))
+            .select(elements.alias("_e"), _merge(fixed, common).alias("_m"))
+            .select(F.explode("_e").alias("_d"), "_m"))
+    return each.select(_text(_merge(F.coalesce(F.col("_d").try_cast(_OBJECT), none),
+                                    F.col("_m"))).alias("value"))
 
 
 # A1 / A2 / A3 / P13 --------------------------------------------------------------

@@ -9,9 +9,10 @@ Scale notes
 * Dimensions are joined *after* the band join, which is selective.
 * The sku snowflake (sku -> spu, trademark, category3) is flattened on the
   dimension side first, so the fact rows meet one sku join instead of four.
-* No dimension is hinted: user and sku dimensions grow with the data (sort-
-  merge join, or broadcast when AQE measures them small); province, spu,
-  trademark and category3 are small and become broadcast joins by size.
+* User and sku dimensions grow with the data: sort-merge joins (batch queries
+  may find them small at run time; AQE is off in stateful streams).  Province,
+  spu, trademark and category3 are broadcast after a check of their size, and
+  shuffled where they are too large for it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions import scalar as fn
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.logs import parse_json
 
 
@@ -47,12 +49,10 @@ def parse_order_detail(text: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 # J1 / J11 -----------------------------------------------------------------------------
-INFO_FIELDS = ["order_status", "create_time", "create_date", "create_hour",
-               "activity_reduce_amount", "coupon_reduce_amount",
-               "original_total_amount", "feight_fee", "total_amount",
-               "province_id", "user_id"]
-DETAIL_FIELDS = ["sku_id", "sku_name", "order_price", "sku_num",
-                 "split_activity_amount", "split_coupon_amount", "split_total_amount"]
+INFO_FIELDS = [f.name for f in S.ORDER_INFO
+               if f.name not in ("id", "expire_time", "operate_time")] + ["create_date", "create_hour"]
+DETAIL_FIELDS = [f.name for f in S.ORDER_DETAIL
+                 if f.name not in ("id", "order_id", "create_time")]
 NEVER_FILLED = {"expire_time": "string", "operate_time": "string",
                 "split_feight_fee": "decimal(16,2)"}
 
@@ -97,6 +97,7 @@ class DimSpec:
     outputs: dict
     dim_key: str = "ID"
     children: list["DimSpec"] = field(default_factory=list)
+    small: bool = False         # does not grow with the data; its size is checked all the same
 
 
 def _dim_side(spec: DimSpec) -> DataFrame:
@@ -105,7 +106,7 @@ def _dim_side(spec: DimSpec) -> DataFrame:
         cols.append((F.col(src) if isinstance(src, str) else src).alias(out))
     side = spec.table.select(*cols)
     for child in spec.children:  # snowflake: flatten on the dimension side
-        side = side.join(_dim_side(child), child.fact_key, "left")
+        side = side.join(broadcast_if_small(_dim_side(child)), child.fact_key, "left")
     return side
 
 
@@ -120,7 +121,7 @@ def enrich(facts: DataFrame, specs: list[DimSpec]) -> DataFrame:
     missing dimension row leaves nulls."""
     out = facts
     for spec in specs:
-        side = _dim_side(spec)
+        side = broadcast_if_small(_dim_side(spec)) if spec.small else _dim_side(spec)
         clash = [c for c in side.columns if c != spec.fact_key and c in out.columns]
         out = out.drop(*clash).join(side, spec.fact_key, "left")
     return out
@@ -136,7 +137,7 @@ def order_wide_specs(dims: dict[str, DataFrame], as_of: str) -> list[DimSpec]:
             "user_age": fn.age_years("BIRTHDAY", as_of)}),
         DimSpec(dims[S.DIM_BASE_PROVINCE], "province_id", {
             "province_name": "NAME", "province_area_code": "AREA_CODE",
-            "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2"}),
+            "province_iso_code": "ISO_CODE", "province_3166_2_code": "ISO_3166_2"}, small=True),
         DimSpec(dims[S.DIM_SKU_INFO], "sku_id", {
             "dim_sku_name": "SKU_NAME",
             "spu_id": fn.to_long("SPU_ID"), "tm_id": fn.to_long("TM_ID"),

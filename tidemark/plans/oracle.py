@@ -147,7 +147,7 @@ prov AS (
          'NK' || CAST(n_nationkey AS VARCHAR) AS ISO_CODE, 'NK-' || CAST(n_nationkey AS VARCHAR) AS ISO_3166_2
   FROM nation),
 c3 AS (
-  SELECT p_type, CAST(dense_rank() OVER (ORDER BY p_type) AS VARCHAR) AS CATEGORY3_ID
+  SELECT p_type, CAST(CAST('0x' || substr(md5(p_type), 1, 8) AS BIGINT) AS VARCHAR) AS CATEGORY3_ID
   FROM (SELECT DISTINCT p_type FROM part)),
 sku AS (
   SELECT CAST(p_partkey AS VARCHAR) AS ID, p_name AS SKU_NAME,

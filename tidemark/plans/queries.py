@@ -197,21 +197,24 @@ def log_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """What the detail layer writes: whole records, undeclared fields included."""
     log = logs.flag_new_visitors(logs.parse_app_log(P.open_log_text(table(spark, sf, "events"))))
     text = as_value(log)
-    at = {"mid": "$.common.mid", "uid": "$.common.uid", "area": "$.common.ar.code",
-          "page_item": "$.page.item", "err_no": "$.err.no", "ts": "$.ts"}
-    return text.select(
-        *[F.get_json_object("value", path).alias(c) for c, path in at.items()],
-        F.size(F.json_object_keys("value")).alias("n_fields"),
-        F.get_json_object("value", "$.common.is_new").isin("0", "1").alias("flagged"))
+    r = F.from_json("value", "common struct<mid string, uid string, is_new string, "
+                    "ar struct<code string>>, page struct<item string>, err struct<no string>, "
+                    "ts string")
+    return text.select(F.size(F.json_object_keys("value")).alias("n_fields"), r.alias("r")).select(
+        "n_fields", "r.common.mid", "r.common.uid", F.col("r.common.ar.code").alias("area"),
+        F.col("r.page.item").alias("page_item"), F.col("r.err.no").alias("err_no"), "r.ts",
+        F.col("r.common.is_new").isin("0", "1").alias("flagged"))
 
 
 def display_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """Display records with all fields of the element and of ``common``."""
     log = logs.parse_app_log(P.open_log_text(table(spark, sf, "events")))
     text = logs.display_records(log.where("start is null and displays is not null"))
-    names = ("item", "pos", "display_type", "order", "ts", "page_id", "mid", "uid")
-    return text.select(*[F.get_json_object("value", f"$.{c}").alias(c) for c in names],
-                       F.get_json_object("value", "$.ar.code").alias("area"))
+    r = F.from_json("value", "item string, pos string, display_type string, `order` string, "
+                    "ts string, page_id string, mid string, uid string, ar struct<code string>")
+    return text.select(r.alias("r")).select(
+        "r.item", "r.pos", "r.display_type", "r.order", "r.ts", "r.page_id", "r.mid", "r.uid",
+        F.col("r.ar.code").alias("area"))
 
 
 def cdc_clean_flawed(spark: SparkSession, sf: str) -> DataFrame:

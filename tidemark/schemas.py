@@ -59,7 +59,7 @@ RULE_CHANGE = T.StructType(list(RULE.fields) + [
     T.StructField("rule_ts", T.LongType()),
 ])
 
-# ---- typed order records ---------------------------------------------------
+# ---- typed order records: fixed record shapes --------------------------------
 MONEY = T.DecimalType(16, 2)
 ORDER_INFO = T.StructType([
     T.StructField("id", T.LongType()),
@@ -88,7 +88,7 @@ ORDER_DETAIL = T.StructType([
     T.StructField("split_coupon_amount", MONEY),
 ])
 
-# Output column order of the wide order record.
+# Fixed record shape: the columns of the wide order record, in order.
 ORDER_WIDE_COLUMNS = [
     "detail_id", "order_id", "sku_id", "order_price", "sku_num", "sku_name",
     "province_id", "order_status", "user_id", "total_amount",
