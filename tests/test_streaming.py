@@ -174,14 +174,14 @@ def test_records_are_late_by_window(spark, page_src):
         src = spark.readStream.schema(page.schema).json(src_dir)
         return _run(SP.flag_new_visitors_stream(src, window_ms=5000), base, "window")
 
-    run_once(0, (1, "a", 9_000))
+    run_once(0, (1, "a", 9_000), (6, None, 9_000))
     run_once(1, (2, "b", 5_500), (3, "c", 20_000))
     q = run_once(2, (4, "d", 1_000))
     assert rows_dropped_by_watermark(q, recent=True) == 1
     run_once(3, (5, "zz", CLOSING_TS))
     got = {r.event_id: r.common.is_new for r in spark.read.parquet(os.path.join(base, "window"))
-           .filter("event_id < 5").collect()}
-    assert got == {1: "1", 2: "1", 3: "1"}
+           .filter("event_id <> 5").collect()}
+    assert got == {1: "1", 2: "1", 3: "1", 6: "0"}
 
 
 class _Handle:

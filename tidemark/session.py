@@ -105,6 +105,19 @@ def require_state_provider(spark: SparkSession) -> None:
         raise ValueError(f"set {STATE_PROVIDER}={BASE_CONF[STATE_PROVIDER]}")
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's folders import the package
+    wherever the job was started from.  On a cluster the package is installed, or
+    sent along with ``--py-files``."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+
+
 def default_local_session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
     return get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus))

@@ -23,7 +23,7 @@ from tidemark.functions import scalar as fn
 from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
 from tidemark.operators.joins import checked_broadcast
-from tidemark.session import configured_path, require_state_provider
+from tidemark.session import configured_path, let_workers_import, require_state_provider
 from tidemark.sinks.dimensions import DimensionStore
 from tidemark.sinks.topics import write_addressed, write_topic
 from tidemark.sources.topics import TopicConfig, read_topic, read_topics
@@ -45,6 +45,7 @@ def run_job(spark: SparkSession, name: str, sources: dict[str, DataFrame],
     ``state_root`` (default: ``jobs/`` under ``spark.checkpoint.dir``; one of the
     two must be set)."""
     require_state_provider(spark)
+    let_workers_import(spark)
     outs = transform(sources)
     if isinstance(outs, DataFrame):
         outs = {"out": outs}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalar as fn
 from tidemark.operators import logs, orders
 from tidemark.plans import config as C
-from tidemark.streaming.processors import (BOUNCE_OUT, FIRST_EVENT_OUT, BounceProcessor,
+from tidemark.streaming.processors import (BOUNCE_OUT, FIRST_EVENT_OUT, NOBODY, BounceProcessor,
                                            DailyFirstProcessor, NewVisitorProcessor)
 
 EVENT_TIME = "event_time"
@@ -73,13 +73,13 @@ def flag_new_visitors_stream(log: DataFrame, window_ms: int = C.WINDOW_MS,
     record ever of a visitor.  All records are emitted (T1).  The first
     record is decided when its ``window_ms`` tumbling window closes (W1).
     Records without a visitor are never new and touch no state."""
-    recs = _keyed_records(log.where("common.mid is not null"), window_ms, allowance_ms)
-    flagged = (recs.groupBy("mid")
+    recs = _keyed_records(log, window_ms, allowance_ms)
+    # Without a visitor: keys that are spread out and that the processor lets through.
+    nobody = F.concat(F.lit(NOBODY), F.pmod("event_id", F.lit(1024)).cast("string"))
+    flagged = (recs.withColumn("mid", F.coalesce("mid", nobody)).groupBy("mid")
                .transformWithState(NewVisitorProcessor(window_ms), FIRST_EVENT_OUT,
                                    "append", "EventTime"))
-    known = flagged.select(*_typed(log), "is_new")
-    nobody = log.where("common.mid is null").withColumn("is_new", F.lit("0"))
-    return (known.unionByName(nobody)
+    return (flagged.select(*_typed(log), "is_new")
             .withColumn("common", fn.with_is_new("common", F.col("is_new")))
             .select(*log.columns))
 

@@ -36,6 +36,9 @@ BOUNCE_OUT = T.StructType([
 ])
 
 
+NOBODY = "\0nobody-"     # begins the keys of records without a visitor
+
+
 def _window_end(ts: int, window_ms: int) -> int:
     return (ts // window_ms) * window_ms + window_ms
 
@@ -68,7 +71,7 @@ class NewVisitorProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mid = key[0]
-        if self.decided.exists():
+        if mid.startswith(NOBODY) or self.decided.exists():
             for r in rows:
                 yield Row(mid=mid, event_id=r["event_id"], ts=r["ts"], is_new="0", value=r["value"])
             return
