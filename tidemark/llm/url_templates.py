@@ -119,7 +119,8 @@ def _grow(rows: DataFrame, depth: int) -> DataFrame:
     extension = F.regexp_extract("seg", r"\.[A-Za-z0-9]{1,5}$", 0)
     label = F.when(varies, F.concat(F.lit(ANY), extension)).when(
         (c("kinds") > 1) & alike, F.lit(ALIKE)).otherwise(c("seg"))
-    named = kids.join(pool, ["host", "node"]).select("host", "node", "seg", label.alias("to"))
+    named = kids.join(pool, ["host", "node"]).select("host", "node", _opaque("seg"),
+                                                     label.alias("to"))
     return live.join(named, ["host", "node", "seg"], "left").select(
         "page_id", "host", "path", "label", "rule", "segs",
         F.when(c("to").isNull(), c("node")).otherwise(
