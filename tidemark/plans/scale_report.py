@@ -28,9 +28,8 @@ def main() -> None:
     print("Static plans with the broadcast threshold at 10 KB on sf0.01: tables of a")
     print("fixed tiny size (nation) broadcast, tables that grow with the data do not (the")
     print("worst case: at run time adaptive execution still broadcasts sides it measures")
-    print("small, such as the derived spu / trademark / category3 dimensions).  `RoundRobinPartitioning`")
-    print("is the local spreading of single-row-group inputs; it is skipped for inputs")
-    print("that already have a partition per core.\n")
+    print("small).  Sides hinted after a size check (rules, province, spu, trademark,")
+    print("category3) broadcast here as they do at scale.\n")
     print("| query | exchanges (partitioning) | joins | aggregates / windows |")
     print("| --- | --- | --- | --- |")
     for name, q in QUERIES.items():
