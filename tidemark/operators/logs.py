@@ -85,13 +85,21 @@ def unparsable(text: DataFrame, schema: T.StructType, value_col: str = "value")
 RECORD = "record"       # the raw text of a record, carried along with its parsed fields
 
 
+def _with_record(text: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
+    rec = F.struct(F.col(value_col).alias(RECORD), F.from_json(value_col, schema).alias("r"))
+    keep = lambda x: _any_field(x["r"], schema.fieldNames())
+    return text.select(F.inline(F.filter(F.array(rec), keep))).select("r.*", RECORD)
+
+
 def parse_app_log(text: DataFrame, value_col: str = "value") -> DataFrame:
     """Raw ``ods_log`` text -> app-log records, each with its raw text as
     ``record``; malformed text dropped (``unparsable`` keeps it)."""
-    rec = F.struct(F.col(value_col).alias(RECORD), F.from_json(value_col, S.APP_LOG).alias("r"))
-    keep = lambda x: _any_field(x["r"], S.APP_LOG.fieldNames())
-    return (text.select(F.inline(F.filter(F.array(rec), keep)))
-            .select("r.*", RECORD))
+    return _with_record(text, S.APP_LOG, value_col)
+
+
+def parse_visits(text: DataFrame, value_col: str = "value") -> DataFrame:
+    """The same records with only the fields a first visit is decided by."""
+    return _with_record(text, S.VISIT, value_col)
 
 
 # Open records (P1, P13, R2, F11) ---------------------------------------------------
@@ -158,18 +166,23 @@ def tie_of(df: DataFrame, id_col: str = "event_id") -> Column:
 
 
 def mark_earliest(df: DataFrame, keys: dict[str, Column], id_col: str = "event_id",
-                  ts_col: str = "ts") -> DataFrame:
+                  ts_col: str = "ts", narrow: DataFrame | None = None) -> DataFrame:
     """``df`` with ``_first``: true on exactly one row per combination of the
     (non-null) keys, the earliest, ties decided by ``tie_of``, then content.
 
     A minimum of a packed fixed-size key per combination, joined back on
     (keys, packed key); equal rows are numbered where the join already put
-    them together."""
+    them together.  The minimum may be taken over ``narrow``: the same records
+    with fewer fields, cheaper to parse."""
     from pyspark.sql import Window
 
-    own = df.withColumns({**keys, "_at": fn.order_key(F.col(ts_col), tie_of(df, id_col))})
+    def keyed(frame: DataFrame) -> DataFrame:
+        return frame.withColumns({**keys, "_at": fn.order_key(
+            F.col(ts_col), tie_of(frame, id_col))})
+
+    own = keyed(df)
     names = list(keys)
-    low = own.groupBy(*names).agg(F.min("_at").alias("_at")).withColumn("_low", F.lit(True))
+    low = keyed(df if narrow is None else narrow).groupBy(*names).agg(F.min("_at").alias("_at")).withColumn("_low", F.lit(True))
     joined = own.join(low, [*names, "_at"], "left")
     same = Window.partitionBy(*names, "_at").orderBy(
         F.xxhash64(*[F.col(c) for c in df.columns]))
@@ -178,15 +191,17 @@ def mark_earliest(df: DataFrame, keys: dict[str, Column], id_col: str = "event_i
 
 
 def flag_new_visitors(log: DataFrame, mid: Column | None = None,
-                      id_col: str = "event_id", ts_col: str = "ts") -> DataFrame:
+                      id_col: str = "event_id", ts_col: str = "ts",
+                      narrow: DataFrame | None = None) -> DataFrame:
     """Rewrite ``common.is_new``: ``1`` on the first record ever seen of a
     visitor (earliest ``ts``, see ``tie_of``), ``0`` on all others; of a record
     that came twice only one is the first.  Records without a visitor are never
     new.  Every record is kept (the reference's literal code lost later windows
-    of a known visitor; its stated rule keeps them).
+    of a known visitor; its stated rule keeps them).  ``narrow``: the same
+    records from ``parse_visits``, for records with their text.
     """
     mid = mid if mid is not None else F.col("common.mid")
-    marked = mark_earliest(log, {"_mid": mid}, id_col, ts_col)
+    marked = mark_earliest(log, {"_mid": mid}, id_col, ts_col, narrow)
     flag = F.when(F.col("_first"), F.lit("1")).otherwise(F.lit("0"))
     return marked.withColumn("common", fn.with_is_new("common", flag)).select(*log.columns)
 

@@ -24,9 +24,12 @@ def _page_log(spark, sf):
     return P.page_log(table(spark, sf, "events"))
 
 
+def _flagged(text: DataFrame) -> DataFrame:
+    return logs.flag_new_visitors(logs.parse_app_log(text), narrow=logs.parse_visits(text))
+
+
 def _flagged_log(spark, sf):
-    text = P.app_log_text(table(spark, sf, "events"))
-    return logs.flag_new_visitors(logs.parse_app_log(text))
+    return _flagged(P.app_log_text(table(spark, sf, "events")))
 
 
 def daily_unique_visitor(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +190,7 @@ def user_age(spark: SparkSession, sf: str) -> DataFrame:
 def new_visitor_no_id(spark: SparkSession, sf: str) -> DataFrame:
     """First visits of records without an id, some of which came twice: records
     and new-visitor flags per visitor and time."""
-    log = logs.flag_new_visitors(logs.parse_app_log(P.open_log_text(table(spark, sf, "events"))))
+    log = _flagged(P.open_log_text(table(spark, sf, "events")))
     return log.groupBy(F.col("common.mid").alias("mid"), "ts").agg(
         F.count("*").alias("n_records"),
         F.sum((F.col("common.is_new") == "1").cast("long")).alias("n_new"))
@@ -195,7 +198,7 @@ def new_visitor_no_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """What the detail layer writes: whole records, undeclared fields included."""
-    log = logs.flag_new_visitors(logs.parse_app_log(P.open_log_text(table(spark, sf, "events"))))
+    log = _flagged(P.open_log_text(table(spark, sf, "events")))
     text = as_value(log)
     r = F.from_json("value", "common struct<mid string, uid string, is_new string, "
                     "ar struct<code string>>, page struct<item string>, err struct<no string>, "

@@ -38,6 +38,13 @@ APP_LOG = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# What a first visit is decided by.
+VISIT = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("common", T.StructType([T.StructField("mid", T.StringType())])),
+    T.StructField("ts", T.LongType()),
+])
+
 # ---- database change record (ods_db) ---------------------------------------
 CHANGE = T.StructType([
     T.StructField("database", T.StringType()),
