@@ -61,24 +61,27 @@ def profile(text: str) -> np.ndarray:
     return np.sqrt(out)
 
 
-def train_svm(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
+def train_svm(x: np.ndarray, rows: np.ndarray, positive: np.ndarray) -> np.ndarray:
     """Weights (the last one is the constant) by averaged sub-gradient steps on
-    the hinge loss; both sides weigh the same."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    the hinge loss over ``rows`` of ``x``; both sides weigh the same.  ``x`` is
+    never copied as a whole."""
     y = np.where(positive, 1.0, -1.0)
     share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
     share = share * len(y)
-    w, mean, done = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
+    w, mean, done = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1), 0
     draw = np.random.default_rng(SEED)
     for epoch in range(EPOCHS):
         rate = 4.0 / (1 + epoch)
         order = draw.permutation(len(y))
         for at in range(0, len(order), STEP):
             some = order[at:at + STEP]
-            wrong = some[y[some] * (x[some] @ w) < 1]
+            part = x[rows[some]]
+            wrong = y[some] * (part @ w[:-1] + w[-1]) < 1
             w *= 1 - rate * SHRINK
-            if len(wrong):
-                w += rate / len(some) * ((y[wrong] * share[wrong]) @ x[wrong])
+            if wrong.any():
+                pull = (y[some] * share[some])[wrong] * (rate / len(some))
+                w[:-1] += pull @ part[wrong]
+                w[-1] += pull.sum()
             if epoch >= EPOCHS // 2:
                 mean += w
                 done += 1
@@ -145,19 +148,25 @@ def fit(docs: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Model | None:
                   "language-train").where("x is not null").toArrow()
     if not seen.num_rows:
         return None
-    x = seen.column("x").combine_chunks().flatten().to_numpy().reshape(-1, BINS)
     lang = np.array(seen.column("lang").to_pylist())
+    x = np.empty((len(lang), BINS), np.float32)
+    at = 0
+    for chunk in seen.column("x").chunks:
+        x[at:at + len(chunk)] = chunk.flatten().to_numpy().reshape(-1, BINS)
+        at += len(chunk)
+    del seen
     langs = sorted(set(lang.tolist()))
     family = np.array([_FAMILY.get(v, v) for v in lang])
     families = sorted(set(family.tolist()))
     of_family = {f: [v for v in langs if _FAMILY.get(v, v) == f] for f in families}
     model = Model(families, of_family, np.zeros((len(families), BINS + 1)))
     if len(families) > 1:
-        model.family_weights = np.array([train_svm(x, family == f) for f in families])
+        model.family_weights = np.array([train_svm(x, np.arange(len(x)), family == f)
+                                         for f in families])
     for f in families:
         for a, b in combinations(of_family[f], 2):
-            some = (lang == a) | (lang == b)
-            model.pairs[a, b] = train_svm(x[some], lang[some] == a)
+            some = np.flatnonzero((lang == a) | (lang == b))
+            model.pairs[a, b] = train_svm(x, some, lang[some] == a)
     return model
 
 
