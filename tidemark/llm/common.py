@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import shared_path
+from tidemark.session import let_workers_import, shared_path
 from tidemark.sources.tables import table
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 HELD_OUT_REMAINDER = 2      # crc32(doc_id as text) mod 4 of the rows no model learns from
 
 
@@ -55,7 +53,4 @@ def prepare(spark: SparkSession) -> None:
     folders import the package wherever the job was started from."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
+    let_workers_import(spark)
