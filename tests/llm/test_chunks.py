@@ -97,3 +97,45 @@ def test_against_brute_force(spark, odd_docs, no_docs):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == odd_docs.columns and 2 not in ids and 4 in ids and ids.count(1) == 2
     assert chunks.deduplicate(no_docs).count() == 0 == chunks.without_repeats(no_docs).count()
+
+
+def uncut(a: str, b: str, passage: str) -> int:
+    """How many code points of ``passage`` stay in ``b``, the later document."""
+    raw, other = b.encode(), a.encode()
+    spans = chunks.repeats(raw, set(chunks.digests(other, chunks.boundaries(other))))
+    at = raw.index(passage.encode())
+    end = at + len(passage.encode())
+    gone = [raw[max(x, at):min(y, end)] for x, y in spans if x < end and y > at]
+    assert sum(len((raw[x:y]).decode()) for x, y in spans) <= len(passage) + 4
+    return len(passage) - sum(len(g.decode()) for g in gone)
+
+
+def test_repeats_without_white_space(spark):
+    r = random.Random(4)
+    scripts = {"han": [chr(c) for c in range(0x4E00, 0x5E00)],
+               "kana": [chr(c) for c in range(0x3041, 0x3097)],
+               "thai": [chr(c) for c in range(0x0E01, 0x0E2F)],
+               "base64": list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")}
+    for name, letters in scripts.items():
+        def text(n):
+            return "".join(r.choices(letters, k=n))
+        unit = len(letters[0].encode())
+        for _ in range(150):
+            p = text(-(-300 // unit))                     # worth 50 words
+            left = uncut(text(r.randint(0, 400)) + p + text(r.randint(0, 400)),
+                         text(r.randint(0, 400)) + p + text(r.randint(0, 400)), p)
+            assert left * unit <= 300 - 120, name
+        assert uncut(text(500), text(500), "") == 0
+        p = text(3000)
+        assert uncut(p, p, p) == 0
+        # Lines, and a long run between words.
+        lines = "\n".join(text(40) for _ in range(12))
+        assert uncut("some words " + lines, text(90) + "\n" + lines, lines) * unit <= 160
+        assert uncut("one two " + p + " three", "four " + p + " five", p) * unit <= 160
+    page = "".join(r.choices(scripts["han"], k=3000))
+    docs = spark.createDataFrame([doc(1, page), doc(2, page), doc(3, "前" + page[900:1100] + "后")],
+                                 DOC_SCHEMA)
+    got = {d.doc_id: d for d in chunks.deduplicate(docs).select(
+        "doc.doc_id", "text", "owners").collect()}
+    assert got[1].text == page and got[2].text == "" and len(got[3].text) < 70
+    assert got[2].owners == got[3].owners == [1]

@@ -3,15 +3,18 @@
 A gear rolling hash over the bytes of a text cuts it where the hash of the
 last bytes has a given pattern, so boundaries move with the content and an
 insertion changes only the chunks it touches.  Boundaries fall after white
-space, so chunks are whole words.  Chunks are deduplicated by digest: the
-document with the smallest key keeps a chunk, within a document its first
-place.  A repeat is taken out only where consecutive repeated chunks hold at
-least ``min_words`` words; shorter coincidences stay.
+space, so chunks are whole words.  Long runs without white space (Chinese,
+Japanese, Thai, encoded data, minified code) are cut between code points, and
+``WORD_BYTES`` of their bytes count as a word.  Chunks are deduplicated by
+digest: the document with the smallest key keeps a chunk, within a document its
+first place.  A repeat is taken out only where consecutive repeated chunks hold
+at least ``min_words`` words; shorter coincidences stay.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +27,10 @@ from tidemark.llm.common import staged
 
 WINDOW = 16             # bytes the rolling hash looks back over
 SEED = 20
+WORD_BYTES = 6          # bytes of a long run that count as a word: two Han characters
+LONG_RUN = 24           # more code points without white space are a long run, as are ...
+UNSPACED = 4            # ... so many code points of scripts that put no spaces
+_LOW = np.uint64(0xFFFFFFFF)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -35,6 +42,7 @@ class Cuts:
     least: int = 16         # ... but no chunk shorter than this many bytes,
     longest: int = 1024     # and none longer, though white space be missing
     min_words: int = 20
+    span: int = 66          # a boundary in every so many bytes of a long run
 
 
 DEFAULT = Cuts()
@@ -48,30 +56,108 @@ def _gear() -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 1 << 32, 256, np.uint32)
 
 
+def _gear_hash(data: np.ndarray) -> np.ndarray:
+    """Per byte, a hash of it and the ``WINDOW - 1`` bytes before it."""
+    # The gear hash shifts once per byte: h = 2 h + gear[byte].  Sums over
+    # WINDOW bytes are enough; they are made by doubling, over 2, 4, 8, 16 bytes.
+    h, width = _gear()[data], 1
+    while width < WINDOW:
+        nxt = h.copy()
+        nxt[width:] += h[:-width] << np.uint32(width)
+        h, width = nxt, width * 2
+    return h
+
+
+def _between(marks: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many bytes of each ``[start, end)`` are marked."""
+    seen = np.append(0, np.cumsum(marks))
+    return seen[ends] - seen[starts]
+
+
+def _long_runs(data: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without white space that are no single words."""
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    points = ends - starts
+    if len(data) and data.max() >= 0x80:
+        points = _between((data & 0xC0) != 0x80, starts, ends)
+    long = points > LONG_RUN
+    if len(data) and data.max() >= 0xE0:
+        # Kana and Han (U+3000 to U+9FFF, U+20000 on), Thai and Lao, Burmese, Khmer.
+        after = np.append(data[1:], 0)
+        unspaced = ((data >= 0xE3) & (data <= 0xE9)) \
+            | ((data == 0xF0) & (after >= 0xA0)) \
+            | ((data == 0xE0) & (after >= 0xB8) & (after <= 0xBB)) \
+            | ((data == 0xE1) & np.isin(after, (0x80, 0x81, 0x82, 0x9E, 0x9F)))
+        long |= _between(unspaced, starts, ends) >= UNSPACED
+    return starts[long], ends[long]
+
+
+def _winnow(h: np.ndarray, group: np.ndarray, width: int) -> np.ndarray:
+    """The places that have the smallest hash of some ``width`` consecutive
+    places of one group, the last of equals; in a row of equals they are as far
+    apart as ``width`` allows."""
+    n = len(h)
+    if n < width:
+        return np.empty(0, np.int64)
+    m = (h.astype(np.uint64) << np.uint64(32)) | (_LOW - np.arange(n, dtype=np.uint64))
+    w = 1
+    while 2 * w <= width:
+        m, w = np.minimum(m[:-w], m[w:]), 2 * w
+    if w < width:
+        m = np.minimum(m[:w - width], m[width - w:])
+    m = m[group[:n - width + 1] == group[width - 1:]]
+    at = (_LOW - (m & _LOW)).astype(np.int64)
+    at = at[np.append(True, at[1:] != at[:-1])] if len(at) else at
+    tied = (h[at[1:]] == h[at[:-1]]) & (group[at[1:]] == group[at[:-1]])
+    if not tied.any():
+        return at
+    kept, places = [], at.tolist()
+    for i, (p, before, after) in enumerate(zip(places, [False, *tied.tolist()],
+                                               [*tied.tolist(), False])):
+        if not (before and after and places[i + 1] - kept[-1] <= width):
+            kept.append(p)
+    return np.array(kept, np.int64)
+
+
+def _in_runs(data, h, starts, ends, cuts) -> np.ndarray:
+    """The boundaries of long runs: both edges, and code point starts inside."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts], edge[ends] = 1, -1
+    places = np.flatnonzero(np.cumsum(edge[:-1], dtype=np.int8))
+    before = np.where((data[places] & 0xC0) != 0x80, h[places - 1], np.uint32(0xFFFFFFFF))
+    lengths = ends - starts
+    before[np.cumsum(lengths) - lengths] = 0xFFFFFFFF
+    inner = places[_winnow(before, np.repeat(np.arange(len(starts)), lengths), cuts.span)]
+    inner = inner[(data[inner] & 0xC0) != 0x80]
+    space = np.append(_SPACE[data], False)
+    left = np.flatnonzero(~space)
+    return np.union1d(np.union1d(inner, starts), left[np.searchsorted(left, ends)])
+
+
 def boundaries(raw: bytes, cuts: Cuts = DEFAULT) -> list[int]:
     """End positions of the chunks of ``raw`` (UTF-8), the last is its length."""
     n = len(raw)
     if n == 0:
         return []
     data = np.frombuffer(raw, np.uint8)
-    gear = _gear()[data]
-    # The gear hash shifts once per byte: h = 2 h + gear[byte].  Its bit
-    # WINDOW - 1 has seen the last WINDOW bytes and no other, so sums over that
-    # many bytes are enough; they are made by doubling, over 2, 4, 8, 16 bytes.
-    h, width = gear, 1
-    while width < WINDOW:
-        nxt = h.copy()
-        nxt[width:] += h[:-width] << np.uint32(width)
-        h, width = nxt, width * 2
+    h = _gear_hash(data)
+    # Bit WINDOW - 1 has seen the last WINDOW bytes and no other.
     picked = (h >> np.uint32(WINDOW - 1)) & np.uint32((1 << cuts.bits) - 1) == 0
     space = _SPACE[data]
     last_space = space & ~np.append(space[1:], False)
     ends = np.flatnonzero(picked & last_space) + 1
+    starts, stops = _long_runs(data, space)
+    fixed: set[int] = {n}
+    if len(starts):
+        runs = _in_runs(data, h, starts, stops, cuts)
+        fixed.update(runs.tolist())
+        ends = np.union1d(ends, runs)
     out, at = [], 0
     for e in [*ends.tolist(), n]:
         if e - at > cuts.longest:
             at = _forced(data, last_space, h, at, e, cuts, out)
-        if e - at >= cuts.least or e == n:
+        if e - at >= cuts.least or e in fixed:
             if e > at:
                 out.append(e)
                 at = e
@@ -93,32 +179,50 @@ def _forced(data, last_space, h, at, end, cuts, out) -> int:
 
 def digests(raw: bytes, ends: list[int]) -> list[int]:
     """A 64-bit digest per chunk (signed).  The white space around a chunk is
-    not part of it."""
+    not part of it; a chunk shorter than the hash's window is taken together
+    with the bytes before it that the window holds."""
     made, at = [], 0
     for e in ends:
-        d = hashlib.blake2b(raw[at:e].strip(), digest_size=8).digest()
+        d = hashlib.blake2b(raw[min(at, max(0, e - WINDOW)):e].strip(), digest_size=8).digest()
         made.append(int.from_bytes(d, "little", signed=True))
         at = e
     return made
 
 
+def _sizer(raw: bytes):
+    """A function for the size of a chunk ``[at, end)``, in bytes of a long run:
+    those it has, or ``WORD_BYTES`` for each word."""
+    data = np.frombuffer(raw, np.uint8)
+    starts, stops = (x.tolist() for x in _long_runs(data, _SPACE[data]))
+
+    def size(at: int, end: int) -> int:
+        i = bisect_right(starts, at) - 1
+        if i >= 0 and at < stops[i]:
+            return min(end, stops[i]) - at
+        return len(raw[at:end].split()) * WORD_BYTES
+
+    return size
+
+
 def repeats(raw: bytes, foreign: set[int], cuts: Cuts = DEFAULT) -> list[tuple[int, int]]:
     """Byte spans of ``raw`` to take out: runs of chunks that are ``foreign`` or
     stood earlier in the text, with enough words in all."""
     ends = boundaries(raw, cuts)
     made = digests(raw, ends)
+    size = None
     seen: set[int] = set()
-    spans, run, words, at = [], None, 0, 0
+    spans, run, held, at = [], None, 0, 0
 
     def close(end):
-        if run is not None and words >= cuts.min_words:
+        if run is not None and held >= cuts.min_words * WORD_BYTES:
             spans.append((run, end))
 
     for e, d in zip(ends, made):
         if d in foreign or d in seen:
+            size = size or _sizer(raw)
             if run is None:
-                run, words = at, 0
-            words += len(raw[at:e].split())
+                run, held = at, 0
+            held += size(at, e)
         else:
             close(at)
             run = None
