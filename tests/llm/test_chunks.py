@@ -139,3 +139,30 @@ def test_repeats_without_white_space(spark):
         "doc.doc_id", "text", "owners").collect()}
     assert got[1].text == page and got[2].text == "" and len(got[3].text) < 70
     assert got[2].owners == got[3].owners == [1]
+
+
+def test_no_passage_of_50_words_is_missed():
+    r = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    few = ["ab", "very", "c", "well"]
+
+    def words(n, least, most):
+        return [r.choice(few) if most == 0 else "".join(r.choices(letters, k=r.randint(least, most)))
+                for _ in range(n)]
+
+    for least, most in ((2, 8), (1, 5), (1, 1), (5, 24), (0, 0)):
+        for trial in range(600):
+            p = words(50, least, most)
+            if trial % 10 == 0:                               # repeats itself
+                p = (p[:trial % 7 + 1] * 50)[:50]
+            a, b = (words(30, 2, 8) + p + words(30, 2, 8) for _ in range(2))
+            if trial % 2:
+                a[10] = b[90] = "https://example.org/a/long/run/without/spaces"
+            raw, other = " ".join(b).encode(), " ".join(a).encode()
+            foreign = set(chunks.digests(other, chunks.boundaries(other)))
+            spans = chunks.repeats(raw, foreign)
+            assert sum(len(raw[x:y].split()) for x, y in spans) >= 20, (least, most, trial)
+    # Every window of words has a boundary, and digests cover no less than the hash.
+    raw = " ".join(words(4000, 1, 8)).encode()
+    ends = chunks.boundaries(raw)
+    assert max(len(raw[s:e].split()) for s, e in zip([0, *ends], ends)) <= chunks.DEFAULT.window
