@@ -61,3 +61,27 @@ def test_alike_branches_merge_and_odd_tables(spark):
     assert {r.template for r in rows if urlsplit("http://h.com" + r.path).path.count("/") == 2} \
         == {"/~/*"}
     assert ut.judge(pages(spark, urls).where("false"), rules).count() == 0
+
+
+def test_deep_branches_are_told_apart(spark):
+    top = "h.com/a/b/c/d/e/f/g/h"
+    deep = f"http://{top}"
+    rules = ut.parse_rules([f"block {top}/bad/a", f"allow {top}/good/a"])
+    urls = [f"{deep}/{b}/{l}{i}" for b in ("bad", "good") for l in "az" for i in range(30)] \
+        + [f"{deep}/other/{i}" for i in range(5)] + [deep, f"{deep}/bad", "http://l.com/a/b//"] \
+        + ["http://i.com" + "/s" * n for n in range(6)] + ["http://j.com/" + "x/" * 200] * 2 \
+        + [f"http://k.com/p{i}/q/r/s{j}" for i in range(2) for j in range(9)]
+    rows = ut.judge(pages(spark, urls), rules).collect()
+    assert len(rows) == len(urls)
+    of = {r.host + r.path: r for r in rows}
+    for i in range(30):
+        bad, good = of[f"{top}/bad/z{i}"], of[f"{top}/good/z{i}"]
+        assert bad.rule is None and good.rule is None
+        assert (bad.verdict, good.verdict) == ("block", "allow")
+        assert bad.template == "/a/b/c/d/e/f/g/h/bad/*"
+        assert good.template == "/a/b/c/d/e/f/g/h/good/*"
+    assert all(of[f"{top}/other/{i}"].verdict == "allow" for i in range(5))
+    assert of[top].template == "/a/b/c/d/e/f/g/h"
+    # Shared stretches are kept segment by segment, wherever pages end in them.
+    assert all(r.template == r.path for r in rows if r.host in ("i.com", "j.com", "l.com"))
+    assert {r.template for r in rows if r.host == "k.com"} == {"/~/q/r/~"}

@@ -1,6 +1,7 @@
 """URL filters: explicit host and path rules, and a tree of path templates.
 
 For the pages no rule decides, each host's paths form a tree.  Level by level,
+to the end of the deepest path,
 segments that vary are generalised into a wildcard (its file extension stays),
 and literal branches that statistics cannot tell from their siblings, by their
 labels or by how many paths end in them, are merged.  A template is rejected
@@ -10,7 +11,8 @@ template without labels is no evidence).  The labels are the verdicts of the
 rules.
 
 All steps are aggregates and joins on (host, node, segment); no host is ever
-gathered in one task.
+gathered in one task.  A level reads only the pages whose paths go on, and a
+stretch that all pages of a node share is passed in one step.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import run_folder
 
-MAX_DEPTH = 8               # segments of a template; deeper ones are not told apart
+MAX_DEPTH = 8               # levels the SQL check spells out; judge() has no such bound
 MIN_KINDS = 8               # children a varying position has at least
 RARE_SHARE = 20             # a varying child has at most one in so many of its parent's pages
 CHI_SQUARE = 3.84           # siblings within this of the pooled share are alike (5 %)
@@ -81,10 +83,6 @@ def matching_rule(rules: list[Rule], what: str) -> Column:
     return found
 
 
-def _sums(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad", "ends")])
-
-
 def _alike(part: Column, whole: Column, all_part: Column, all_whole: Column) -> Column:
     """Whether a share is within chance of the pooled one (two-proportion test)."""
     pooled = all_part / all_whole
@@ -99,15 +97,20 @@ def _opaque(key: str) -> Column:
     return F.concat(F.col(key), F.lit("")).alias(key)
 
 
-def _grow(rows: DataFrame, depth: int) -> DataFrame:
-    """Put the label of each page's segment at ``depth`` on its node."""
-    live = rows.withColumn("seg", F.get("segs", F.lit(depth)))
-    one = live.where("seg is not null").select(
+def _grow(live: DataFrame) -> DataFrame:
+    """Move the first of the segments each page has left (``segs``) as a label to
+    its node; where a node has one child only, with the segments that all of the
+    child's pages go on with."""
+    first, more = F.get("segs", F.lit(0)), F.expr("slice(segs, 2, size(segs))")
+    live = live.withColumn("seg", first)
+    one = live.select(
         "host", "node", "seg", F.lit(1).cast("long").alias("n"),
         (F.col("label") == 1).cast("long").alias("good"),
         (F.col("label") == 0).cast("long").alias("bad"),
-        (F.size("segs") == depth + 1).cast("long").alias("ends")).fillna(0)
-    kids = _sums(one, "host", "node", "seg")
+        (F.size("segs") == 1).cast("long").alias("ends"), more.alias("more")).fillna(0)
+    counts = [F.sum(c).alias(c) for c in ("n", "good", "bad", "ends")]
+    kids = one.groupBy("host", "node", "seg").agg(
+        *counts, F.min("more").alias("low"), F.max("more").alias("high"))
     pool = kids.groupBy("host", "node").agg(
         F.count("*").alias("kinds"),
         *[F.sum(c).alias(f"all_{c}") for c in ("n", "good", "bad", "ends")]).select(
@@ -117,14 +120,33 @@ def _grow(rows: DataFrame, depth: int) -> DataFrame:
     alike = _alike(c("good"), c("good") + c("bad"), c("all_good"), c("all_good") + c("all_bad")) \
         & _alike(c("ends"), c("n"), c("all_ends"), c("all_n"))
     extension = F.regexp_extract("seg", r"\.[A-Za-z0-9]{1,5}$", 0)
+    # What the smallest and the largest start with, all between them start with.
+    differ = F.expr("array_position(zip_with(low, high, (a, b) -> a <=> b), false)").cast("int")
+    same = F.when(c("kinds") > 1, 0).when(differ > 0, differ - 1).otherwise(F.size("low"))
     label = F.when(varies, F.concat(F.lit(ANY), extension)).when(
-        (c("kinds") > 1) & alike, F.lit(ALIKE)).otherwise(c("seg"))
-    named = kids.join(pool, ["host", "node"]).select("host", "node", _opaque("seg"),
-                                                     label.alias("to"))
-    return live.join(named, ["host", "node", "seg"], "left").select(
-        "page_id", "host", "path", "label", "rule", "segs",
-        F.when(c("to").isNull(), c("node")).otherwise(
-            F.concat(c("node"), F.lit("/"), c("to"))).alias("node"))
+        (c("kinds") > 1) & alike, F.lit(ALIKE)).otherwise(
+        F.concat_ws("/", F.array("seg"), F.slice("low", F.lit(1), same)))
+    named = kids.join(pool, ["host", "node"]).select(
+        "host", "node", _opaque("seg"), label.alias("to"), (same + 1).alias("taken"))
+    return live.join(named, ["host", "node", "seg"]).select(
+        "page_id", "host", "path", "label", "rule",
+        F.expr("slice(segs, taken + 1, size(segs))").alias("segs"),
+        F.concat(c("node"), F.lit("/"), c("to")).alias("node"))
+
+
+def _grown(rows: DataFrame) -> DataFrame:
+    """``rows`` with the whole template as ``node``.  Each level is written to a
+    folder of its own; a page is done in the level that leaves it no segments."""
+    spark, folder = rows.sparkSession, run_folder(rows.sparkSession, "url-rows")
+    levels = [f"{folder}/0"]
+    rows.write.parquet(levels[0])
+    while True:
+        last = spark.read.schema(rows.schema).parquet(levels[-1])
+        if not last.agg(F.max(F.size("segs"))).first()[0]:
+            break
+        levels.append(f"{folder}/{len(levels)}")
+        _grow(last.where(F.size("segs") > 0)).write.parquet(levels[-1])
+    return spark.read.schema(rows.schema).parquet(*levels).where(F.size("segs") == 0)
 
 
 def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -135,17 +157,15 @@ def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     by row; an empty table gives no rows; further columns are ignored."""
     parts = with_parts(pages)
     by_rule = matching_rule(rules, "verdict")
-    rows = staged(parts.select(
+    rows = _grown(parts.select(
         "page_id", "host", "path",
         F.when(by_rule == "allow", 1).when(by_rule == "block", 0).alias("label"),
         matching_rule(rules, "name").alias("rule"),
         F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(
-            F.slice(F.split(F.expr("substring(path, 2)"), "/", -1), 1, MAX_DEPTH)).alias("segs"),
-        F.lit("").alias("node")), "url-rows")
-    first = rows.agg(F.max(F.size("segs")), F.sum(F.col("label")), F.count("label")).first()
-    prior = max(LEAST_PRIOR, first[1] / first[2]) if first[2] else 1.0
-    for depth in range(first[0] or 0):
-        rows = staged(_grow(rows, depth), "url-rows")
+            F.split(F.expr("substring(path, 2)"), "/", -1)).alias("segs"),
+        F.lit("").alias("node")))
+    first = rows.agg(F.sum(F.col("label")), F.count("label")).first()
+    prior = max(LEAST_PRIOR, first[0] / first[1]) if first[1] else 1.0
     good, labelled = F.sum(F.col("label")), F.count("label")
     purity = (F.coalesce(good, F.lit(0)) + PRIOR_WEIGHT * prior) / (labelled + PRIOR_WEIGHT)
     reject = rows.groupBy("host", "node").agg((purity < REJECT_BELOW).alias("reject")).select(
