@@ -99,3 +99,24 @@ def test_dealing_is_bounded(monkeypatch):
     monkeypatch.setattr(ann, "GROUP_QUERIES", 50)
     plan = ann._deal({0: 60, 1: 30, 2: 950, 3: 40, 4: 70}, {0: 10, 2: 500, 3: 60})
     assert plan == [(0, 0, 1, 1), (1, 0, 1, 1), (2, 1, 10, 10), (3, 11, 1, 2), (4, 12, 1, 1)]
+
+
+def test_near_empty_lists_give_all_neighbours(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    centres = np.eye(8)[:4] * 10                    # tight clusters, and a few apart from them
+    x = np.vstack([c + r.normal(size=(300, 8)) * 0.01 for c in centres]
+                  + [-np.eye(8)[i] * 10 + r.normal(size=(1, 8)) for i in range(8)])
+    c = np.vstack([centres, x[-8:]])
+
+    def built(sample, lists, top):
+        index = ann.Index(np.empty(0), [], np.empty(0), top)
+        index.centroids = index.lengthen(c)
+        index.graph = [np.array([j for j in range(12) if j != i]) for i in range(12)]
+        index.entries = np.arange(12)
+        return index
+
+    monkeypatch.setattr(ann, "build_index", built)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.nearest(docs, F.col("vec_id") >= 1200, 20, 12).groupBy("query_id").count().collect()
+    assert len(got) == 8 and all(g["count"] == 20 for g in got)

@@ -105,9 +105,11 @@ class Index:
         np.minimum.at(out, row, d[to])
         return out / max(d.min(), 1e-300)
 
-    def probes(self, q: np.ndarray) -> list[int]:
+    def probes(self, q: np.ndarray, held: dict[int, int] | None = None,
+               least: int = 0) -> list[int]:
         """Lists to search for one query: best-first walk of the graph, then pruning
-        by the ratio to the best distance."""
+        by the ratio to the best distance.  Where the lists ``held`` fewer than
+        ``least`` vectors, the next nearest lists are added."""
         far = self._far(q)
         start = far(self.entries)
         order = np.argsort(start, kind="stable")[:4]
@@ -126,7 +128,15 @@ class Index:
                 heapq.heappush(todo, (dn, n))
                 best = min(best, dn)
         near = sorted((d, n) for n, d in found.items())
-        return [n for i, (d, n) in enumerate(near) if d <= best * self.ratio or i < MIN_PROBES]
+        picked = [n for i, (d, n) in enumerate(near) if d <= best * self.ratio or i < MIN_PROBES]
+        short = least - sum(held.get(n, 0) for n in picked) if held is not None else 0
+        if short > 0:
+            chosen = set(picked)
+            for n in np.argsort(far(np.arange(len(self.centroids))), kind="stable").tolist():
+                if short > 0 and n not in chosen:
+                    picked.append(n)
+                    short -= held.get(n, 0)
+        return picked
 
 
 def build_index(sample: np.ndarray, lists: int, top: float) -> Index:
@@ -272,13 +282,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
     def post(batches):
         for b in batches:
             row, to = shared.value.posts(_matrix(b.column(1), width))
+            once = np.diff(row, prepend=-1) != 0        # one posting of each vector
             yield pa.RecordBatch.from_arrays(
                 [pa.array(to, pa.int32()), b.column(0).take(pa.array(row)),
-                 b.column(1).take(pa.array(row))], ["list", "uid", "v"])
+                 b.column(1).take(pa.array(row)), pa.array(once)], ["list", "uid", "v", "once"])
 
     def probe(batches):
         for b in batches:
-            found = [shared.value.probes(q) for q in _matrix(b.column(1), width)]
+            found = [shared.value.probes(q, held.value, k + 1)
+                     for q in _matrix(b.column(1), width)]
             row = pa.array(np.repeat(np.arange(len(found)), list(map(len, found))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for f in found for n in f], pa.int32()), b.column(0).take(row),
@@ -286,12 +298,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
 
     schema = "list int, uid long, v array<float>"
     posted = staged(unique.select("uid", F.col("v").cast("array<float>")).mapInArrow(
-        post, schema), "ann-lists")
+        post, schema + ", once boolean"), "ann-lists")
+    # A vector counts in one of its lists, so lists together hold no fewer than this.
+    counted = posted.groupBy("list").agg(
+        F.count("*"), F.sum(F.col("once").cast("int"))).collect()
+    held = spark.sparkContext.broadcast({r[0]: r[2] for r in counted})
     probing = staged(queries.select("uid", F.col("v").cast("array<float>")).mapInArrow(
         probe, schema), "ann-probes")
     # Lists and their queries are dealt into groups of bounded size.  The plan
     # has one row per list, MAX_LISTS at most, so it may be broadcast.
-    sizes = [dict(side.groupBy("list").count().collect()) for side in (posted, probing)]
+    sizes = [{r[0]: r[1] for r in counted}, dict(probing.groupBy("list").count().collect())]
     plan = F.broadcast(spark.createDataFrame(_deal(*sizes), "list int, g int, v_n int, q_n int"))
     part = {n: F.pmod(F.xxhash64("uid", F.lit(SEED)), F.col(n)).cast("int")
             for n in ("v_n", "q_n")}
