@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm import line_rules as lr
+from tidemark.llm import merkle as mk
 from tidemark.llm import url_templates as ut
 from tidemark.llm.queries import URL_RULES
 
@@ -148,8 +149,85 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM r
 """
 
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    def field(c):
+        return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    fields = (n_chars if c == "n_chars" else c for c in mk.FIELDS)
+    return "sha256(" + " || ".join(map(field, fields)) + ")"
+
+
+# CRC-32 of the id's text, bit by bit; 3988292384 is its reversed polynomial.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, [ord(c)::BIGINT FOR c IN
+        regexp_extract_all(coalesce(CAST(doc_id AS VARCHAR), ''), '.')]),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT FOR i IN range(8)]),
+                               lambda x, _: xor(x >> 1, (x & 1) * 3988292384::BIGINT))))"""
+
+
+def _tree(name: str, source: str) -> str:
+    """All levels of the trees over ``source(grp, nodes)``; in ``<name>_at`` the nodes
+    of the levels that have a parent."""
+    return f"""
+{name}(grp, k, nodes) AS (
+  SELECT grp, 0, nodes FROM {source}
+  UNION ALL
+  SELECT grp, k + 1, [sha256(nodes[i] || coalesce(nodes[i + 1], ''))
+                      FOR i IN range(1, len(nodes) + 1, 2)]
+  FROM {name} WHERE len(nodes) > 1),
+{name}_at AS (
+  SELECT grp, k, unnest(nodes) AS node, unnest(range(len(nodes))) AS pos
+  FROM {name} WHERE len(nodes) > 1)"""
+
+
+def _steps(rows: str, tree: str) -> str:
+    """For each of ``rows(id, grp, pos)`` its levels' siblings: before it (L), after it
+    (R) or none."""
+    return f"""
+SELECT x.id, own.k, CASE WHEN s.node IS NULL THEN '-' WHEN s.pos < own.pos THEN 'L' ELSE 'R' END
+       || coalesce(s.node, '') AS step
+FROM {rows} x JOIN {tree}_at own ON own.grp = x.grp AND own.pos = x.pos >> own.k
+LEFT JOIN {tree}_at s ON s.grp = own.grp AND s.k = own.k AND s.pos = xor(own.pos, 1)"""
+
+
+OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS grp, {_leaf()} AS leaf,
+         CASE WHEN {_CRC} % {mk.TAMPER_DIVISOR} = 0 AND n_chars IS NOT NULL
+              THEN {_leaf("(n_chars + 1)")} END AS tampered
+  FROM documents),
+r AS MATERIALIZED (
+  SELECT *, row_number() OVER () AS id,
+         row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM d),
+own AS (SELECT grp, list(leaf ORDER BY pos) AS nodes FROM r GROUP BY grp),
+{_tree("low", "own")},
+sub AS (SELECT grp AS id, '' AS grp, nodes[1] AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos
+        FROM low WHERE len(nodes) = 1),
+subs AS (SELECT '' AS grp, list(subroot ORDER BY pos) AS nodes FROM sub),
+{_tree("high", "subs")},
+above AS (SELECT id, list(step ORDER BY k) AS steps FROM ({_steps("sub", "high")}) GROUP BY id),
+below AS (SELECT id, list(step ORDER BY k) AS steps FROM ({_steps("r", "low")}) GROUP BY id),
+p AS (
+  SELECT r.doc_id, r.leaf, r.tampered, sub.subroot,
+         (SELECT nodes[1] FROM high WHERE len(nodes) = 1) AS root,
+         list_concat(coalesce(b.steps, []), coalesce(a.steps, [])) AS steps
+  FROM r JOIN sub ON sub.id = r.grp LEFT JOIN below b ON b.id = r.id
+  LEFT JOIN above a ON a.id = r.grp),
+f AS (
+  SELECT *, list_reduce(list_prepend(coalesce(tampered, leaf), steps),
+                        lambda x, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || x
+                                            WHEN 'R' THEN x || s[2:] ELSE x END)) AS folded_root
+  FROM p)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string([s[2:] FOR s IN steps], '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM f
+"""
+
 SQL: dict[str, str] = {
     "op2_url_filters": _op2(),
     "op4_warc_archive": OP4,
     "op9_quality_rules": OP9,
+    "op12_merkle_manifest": OP12,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, bpe, chunks, language, line_rules, packing,
+from tidemark.llm import (ann, bpe, chunks, language, line_rules, merkle, packing,
                           quality, simhash, url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
@@ -89,6 +89,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -100,4 +104,5 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
