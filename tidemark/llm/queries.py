@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (ann, bpe, chunks, language, line_rules, merkle, packing,
-                          quality, simhash, url_templates, warc)
+                          quality, runs, simhash, url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
 from tidemark.sources.tables import table
@@ -89,6 +89,20 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    text = runs.with_repeated_tail(F.col("text"), F.col("doc_id"))
+    found = documents(spark, sf_dir).select("doc_id", runs.periodic_runs(text).alias("r"))
+    lines = F.transform("r.runs", lambda x: F.concat(
+        x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("r.runs").cast("long").alias("n_runs"),
+        *[F.col(f"r.best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * r.best.length div r.best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("r.collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(documents(spark, sf_dir))
 
@@ -104,5 +118,6 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
