@@ -182,7 +182,7 @@ def proof_text(path: Column) -> Column:
 @dataclass
 class Manifest:
     """``leaves(grp, doc_id, leaf, rank, n, ...)``, ``root(grp, digest)`` (one row, none
-    for an empty table), ``groups(grp, rank, n, digest)`` and the two stores."""
+    for an empty table), ``groups(all, grp, rank, n, digest)`` and the two stores."""
     leaves: DataFrame
     groups: DataFrame
     root: DataFrame
@@ -209,7 +209,7 @@ def manifest(docs: DataFrame, extra: dict[str, Column] | None = None, fanout: in
                               fanout, segment)
     groups = staged(ranked(tops.select(F.lit("").alias("all"), "grp", "digest"), "all", ["grp"],
                            "merkle-groups"), "merkle-groups")
-    nodes = groups.select(F.lit("").alias("grp"), "rank", "n", "digest")
+    nodes = groups.select(F.col("all").alias("grp"), "rank", "n", "digest")
     root, group_stores = build(nodes, fanout, segment, "merkle-top")
     return Manifest(leaves, groups, root, leaf_stores, group_stores, fanout, segment)
 
@@ -219,7 +219,7 @@ def prove(m: Manifest, requests: DataFrame | None = None) -> DataFrame:
     ``digest`` (the leaf found), ``subroot``, ``root`` and ``path`` (top first)."""
     start = m.root.select("grp", "digest", F.expr(f"CAST(array() AS array<{STEP}>)").alias("path"),
                           F.col("digest").alias("root"))
-    asked = m.groups.select(F.lit("").alias("grp"), F.col("grp").alias("name"), "rank", "n")
+    asked = m.groups.select(F.col("all").alias("grp"), F.col("grp").alias("name"), "rank", "n")
     at_groups = descend(start, asked, m.group_stores, m.fanout, m.segment)
     begin = at_groups.select(F.col("name").alias("grp"), "digest", "path", "root",
                              F.col("digest").alias("subroot"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, bpe, chunks, language, line_rules, merkle, packing,
+from tidemark.llm import (ann, bpe, chunks, language, line_rules, merkle, packing, pii,
                           quality, runs, simhash, url_templates, warc)
 from tidemark.llm.common import documents, held_out, prepare, run_folder
 from tidemark.llm.vocabulary import broadcast_vocabulary
@@ -107,6 +107,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(documents(spark, sf_dir))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir)).select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS],
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_url_filters": op2_url_filters,
@@ -120,4 +126,5 @@ QUERIES = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_personal_data": op13_personal_data,
 }
