@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
+from tidemark.functions import json_text as jt
 from tidemark.functions import scalar as fn
 
 CORRUPT = "_corrupt_record"
@@ -103,57 +104,47 @@ def parse_visits(text: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 # Open records (P1, P13, R2, F11) ---------------------------------------------------
-_OBJECT = "map<string,variant>"
-
-
-def _merge(left: Column, right: Column) -> Column:
-    return fn.merge_maps_right_wins(left, right)
-
-
-def _part(v: Column, path: str) -> Column:
-    """An object inside a record as a map; an empty one where it is absent."""
-    return F.coalesce(F.try_variant_get(v, path, "variant").try_cast(_OBJECT),
-                      F.expr(f"CAST(map() AS {_OBJECT})"))
-
-
-def _text(m: Column) -> Column:
-    return F.to_json(F.to_variant_object(m))
-
-
 def _quoted(c: Column) -> Column:
-    return F.parse_json(F.concat(F.lit('"'), c, F.lit('"')))
+    return F.concat(F.lit('"'), c, F.lit('"'))
 
 
 def whole_record(record: Column | str, is_new: Column | None = None) -> Column:
-    """The record's JSON text with every field it came with; with ``is_new``
-    (``0`` / ``1`` text) its ``common.is_new`` is replaced."""
+    """The record's JSON text, byte for byte as it came; with ``is_new`` (``0`` / ``1``
+    text) only the value of ``common.is_new`` is another.  A record without
+    ``common``, or with null ``is_new``, stays as it is."""
     r = F.col(record) if isinstance(record, str) else record
     if is_new is None:
         return r
-    v = F.try_parse_json(r)
-    common = _merge(_part(v, "$.common"), F.create_map(F.lit("is_new"), _quoted(is_new)))
-    return F.when(is_new.isNotNull(), _text(_merge(v.try_cast(_OBJECT), F.create_map(
-        F.lit("common"), F.to_variant_object(common))))).otherwise(r)
+    return F.when(is_new.isNull(), r).otherwise(
+        jt.with_member(r, ("common", "is_new"), _quoted(is_new)))
 
 
 def display_records(log: DataFrame) -> DataFrame:
-    """R2 on open records: one JSON text per display element, with all fields of
-    the element, ``ts``, ``page_id`` and all fields of ``common`` (the rewritten
-    ``is_new`` included); later ones win on a name clash."""
-    v, none = F.col("_v"), F.expr(f"CAST(map() AS {_OBJECT})")
-    fixed = F.map_filter(
-        F.create_map(F.lit("ts"), F.try_variant_get(v, "$.ts", "variant"),
-                     F.lit("page_id"), F.try_variant_get(v, "$.page.page_id", "variant")),
-        lambda _k, x: x.isNotNull())
-    common = _merge(_part(v, "$.common"), F.create_map(
-        F.lit("is_new"), _quoted(F.coalesce("common.is_new", F.lit("0")))))
-    elements = F.try_variant_get(v, "$.displays", "variant").try_cast("array<variant>")
-    # What every element of a record gets is merged once per record.
-    each = (log.withColumn("_v", F.try_parse_json(RECORD))
-            .select(elements.alias("_e"), _merge(fixed, common).alias("_m"))
-            .select(F.explode("_e").alias("_d"), "_m"))
-    return each.select(_text(_merge(F.coalesce(F.col("_d").try_cast(_OBJECT), none),
-                                    F.col("_m"))).alias("value"))
+    """R2 on open records: one JSON text per display element, with all members of
+    the element, ``ts``, ``page_id`` and all members of ``common`` (the rewritten
+    ``is_new`` included), each as it was written; later ones replace earlier ones
+    of the same name.  An element that is no object adds nothing of its own."""
+    own = F.col("_common")
+    named = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
+    common = jt.members(jt.with_member(F.when(own.startswith("{"), own).otherwise("{}"), ("is_new",),
+                                       _quoted(F.coalesce("common.is_new", F.lit("0")))))
+    # What every element of a record gets is made once per record.
+    parts = (log.select(jt.member(F.col(RECORD), "common").alias("_common"), "common",
+                        named("ts", jt.member(F.col(RECORD), "ts")).alias("_ts"),
+                        named("page_id", jt.member(jt.member(F.col(RECORD), "page"), "page_id"))
+                        .alias("_page"), jt.member(F.col(RECORD), "displays").alias("_displays"))
+             .select("_ts", "_page", "_displays", common.alias("_common"))
+             .select("_displays", "_common", "_ts", "_page",
+                     F.transform("_common", jt.key_of).alias("_keys")))
+    before = [F.when(F.col(c).isNotNull() & ~F.array_contains("_keys", name), F.col(c))
+              for c, name in (("_ts", "ts"), ("_page", "page_id"))]
+    taken = F.concat("_keys", F.array_compact(F.array(*[
+        F.when(b.isNotNull(), F.lit(name)) for b, name in zip(before, ("ts", "page_id"))])))
+    each = parts.select(F.explode(jt.elements(F.col("_displays"))).alias("_d"), taken.alias("_taken"),
+                        F.concat(F.array_compact(F.array(*before)), "_common").alias("_shared"))
+    left = F.filter(jt.members(F.col("_d")),
+                    lambda m: ~F.array_contains(F.col("_taken"), jt.key_of(m)))
+    return each.select(jt.object_of(F.concat(left, "_shared")).alias("value"))
 
 
 # A1 / A2 / A3 / P13 --------------------------------------------------------------

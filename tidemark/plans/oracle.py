@@ -297,7 +297,37 @@ ol AS (
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS n_disp FROM events),
        unnest(range(CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)) AS again(i))"""
 
+ODD_LOG = f"""
+{FLAGGED_LOG},
+o AS (
+  SELECT *, '"uid":1.50,' AS head, CAST(event_id AS VARCHAR) AS id,
+         CASE event_id % 3 WHEN 0 THEN '"is_new":"9","is_new" :"' || is_new || '",'
+                           WHEN 1 THEN ''
+                           ELSE '"is\\u005fnew": "' || is_new || '",' END AS claim,
+         CASE event_id % 3 WHEN 1 THEN '"is_new":"' || is_new || '",' ELSE '' END AS added,
+         '"mid":"' || mid || '","uid":' || event_id AS tail
+  FROM fl)"""
+
 SQL |= {
+    "log_odd_records": f"""
+WITH {ODD_LOG},
+d AS (
+  SELECT event_id, string_agg('{{"item":"' || i || '","n":1.10, "item":"' || i
+                              || '!","ts":5,"q":[{{"a":"]}}"}}]}}', ' , ' ORDER BY i) AS shown
+  FROM (SELECT event_id, event_id * 10 + unnest(range(n_disp)) + 1 AS i FROM fl) GROUP BY event_id)
+SELECT '{{"k":1,"big":1e400,"event_id":' || id || ',"common":{{"mid":"other","is_new":"7"}}, '
+       || CASE WHEN event_type = 'signup' THEN '"start" : {{"entry":"e\\"{{","v":1e400}},'
+               ELSE '"page":{{"page_id":"x","z":{{}},"page_id":"' || event_type || '"}},' END
+       || '"displays":[' || coalesce(shown, '') || '],"ts":' || ts || ',"common" : {{' || added || head
+       || claim || tail || '}} ,"k":{{"b":0.10,"b":[]}}}}' AS value
+FROM o LEFT JOIN d USING (event_id)
+""",
+    "display_odd_records": f"""
+WITH {ODD_LOG}
+SELECT '{{"item":"' || i || '","n":1.10, "item":"' || i || '!","q":[{{"a":"]}}"}}],"ts":' || ts
+       || ',"page_id":"' || event_type || '",' || added || head || claim || tail || '}}' AS value
+FROM (SELECT *, event_id * 10 + unnest(range(n_disp)) + 1 AS i FROM o WHERE event_type <> 'signup')
+""",
     "new_visitor_no_id": f"""
 WITH {OPEN_LOG}
 SELECT mid, ts, count(*) AS n_records,

@@ -220,6 +220,17 @@ def display_whole_records(spark: SparkSession, sf: str) -> DataFrame:
         F.col("r.ar.code").alias("area"))
 
 
+def log_odd_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole records, as text, of legal JSON that parsing and writing would change."""
+    return as_value(_flagged(P.odd_log_text(table(spark, sf, "events"))))
+
+
+def display_odd_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Display records, as text, of the same records."""
+    log = _flagged(P.odd_log_text(table(spark, sf, "events")))
+    return logs.display_records(log.where("start is null and displays is not null"))
+
+
 def cdc_clean_flawed(spark: SparkSession, sf: str) -> DataFrame:
     clean = cdc.clean_changes(P.flawed_change_text(table(spark, sf, "customer")))
     return clean.select(F.col("table").alias("source_table"), "type", "ts",
@@ -288,6 +299,8 @@ QUERIES: dict[str, Query] = {
     "new_visitor_no_id": new_visitor_no_id,
     "log_whole_records": log_whole_records,
     "display_whole_records": display_whole_records,
+    "log_odd_records": log_odd_records,
+    "display_odd_records": display_odd_records,
     "cdc_clean_flawed": cdc_clean_flawed,
     "rule_outcomes": rule_outcomes,
     "dim_upsert_versions": dim_upsert_versions,

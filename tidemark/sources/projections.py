@@ -95,6 +95,27 @@ def open_log_text(events: DataFrame) -> DataFrame:
                               F.explode(F.array_repeat(F.lit(0), times))).select("value")
 
 
+def odd_log_text(events: DataFrame) -> DataFrame:
+    """Legal raw log text that parsing and writing again would change: repeated keys at
+    every level, numbers beyond a double or with trailing zeros, keys in any order or
+    with escapes, blanks, and an ``is_new`` that comes twice, not at all or as a number."""
+    e = app_log(events)
+    k = F.col("event_id") % 3
+    text = lambda *parts: F.concat(*[
+        F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    claim = (F.when(k == 0, F.lit('"is_new":"9","is_new" :"8",')).when(k == 1, F.lit(""))
+             .otherwise(F.lit('"is\\u005fnew": 9,')))
+    shown = F.transform("displays", lambda d: text(
+        '{"item":"', d["item"], '","n":1.10, "item":"', d["item"], '!","ts":5,"q":[{"a":"]}"}]}'))
+    part = F.when(F.col("start").isNotNull(), F.lit('"start" : {"entry":"e\\"{","v":1e400},')).otherwise(
+        text('"page":{"page_id":"x","z":{},"page_id":"', F.col("page.page_id"), '"},'))
+    return e.select(text(
+        '{"k":1,"big":1e400,"event_id":', F.col("event_id"), ',"common":{"mid":"other","is_new":"7"}, ',
+        part, '"displays":[', F.array_join(shown, " , "), '],"ts":', F.col("ts"), ',"common" : {"uid":1.50,',
+        claim, '"mid":"', F.col("common.mid"), '","uid":', F.col("event_id"), '} ,"k":{"b":0.10,"b":[]}}',
+    ).alias("value"))
+
+
 def page_log(events: DataFrame) -> DataFrame:
     """``dwd_page`` shape over all events: mid = user, page = event type,
     entry page (no last page) for view and signup."""
