@@ -128,3 +128,16 @@ def test_little_padding_and_crc(spark, vocabulary):
     windows = check_pieces(rows, ids, 1024)
     assert sum(len(i) for _, i in ids) >= 0.99 * 1024 * windows
     assert all(r.crc == zlib.crc32(bytes(r.ids)) for r in rows)
+
+
+def test_packing_of_a_long_run_of_blanks(spark, vocabulary):
+    texts = [" " * 2_000_000 + "a", "\n" * 1_500_000 + " b", "c"]
+    docs = spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOC_SCHEMA)
+    library = vocabulary.tokenizer()
+    got = defaultdict(list)
+    for r in packing.pack(docs, broadcast_vocabulary(spark)).select("doc_id", "start", "ids").collect():
+        got[r.doc_id].append((r.start, bytes(r.ids)))
+    for i, t in enumerate(texts):
+        ids = b"".join(x for _, x in sorted(got[i]))
+        want = [*library.encode(t, add_special_tokens=False).ids, 0]
+        assert np.frombuffer(ids, "<u4").tolist() == want

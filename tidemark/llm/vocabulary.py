@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from functools import lru_cache
 
+import numpy as np
 import regex
 import tiktoken
 import tokenizers
@@ -69,6 +70,7 @@ class Vocabulary:
         self.made = [ids[a + b] for a, b in merges]
         self.rank = {ids[a] << 32 | ids[b]: r for r, (a, b) in enumerate(merges)}
         self.data = data
+        self._library = None
 
     @property
     def split_special(self):
@@ -91,10 +93,19 @@ class Vocabulary:
             fast = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks,
                                      special_tokens=self.special)
             allowed = set(self.special)
-            return lambda text: fast.encode_to_numpy(text, allowed_special=allowed)
-        import numpy as np
-        slow = self.tokenizer()
-        return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+
+            def encode(text: str) -> np.ndarray:
+                try:
+                    return fast.encode_to_numpy(text, allowed_special=allowed)
+                except ValueError:      # a run of blanks beyond its splitter's stack
+                    return self._slow_ids(text)
+            return encode
+        return self._slow_ids
+
+    def _slow_ids(self, text: str) -> np.ndarray:
+        if self._library is None:
+            self._library = self.tokenizer()
+        return np.array(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 @lru_cache(maxsize=2)
