@@ -96,3 +96,15 @@ def test_one_id_with_two_texts(spark):
     kept = simhash.keep_one_per_group(docs).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == sorted(
         [(5, sentence_text(1)), (5, sentence_text(2))])
+
+
+def test_kept_rows_keep_columns_of_any_name_and_type(spark):
+    rows = [(1, "a b c d", "k", 7, 2, "x.y", {"m": "n"}), (1, "a b c d", "j", 7, 2, "x.y", {"m": "o"}),
+            (2, "a b c d", "l", 8, 3, "z", None), (None, "q r s", "m", 9, 4, None, {})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _hash int, _nth int, "
+                                       "`a.b` string, m map<string,string>")
+    kept = simhash.keep_one_per_group(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[3]], key=str)
+    two = docs.select("doc_id", "text")
+    assert simhash.keep_one_per_group(two).count() == 2

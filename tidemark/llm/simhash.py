@@ -147,17 +147,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS,
 def keep_one_per_group(docs: DataFrame, shingle: int = SHINGLE_WORDS,
                        max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stand for their group: the smallest id (nulls
-    last), then the smallest text hash; of fully equal rows one stays."""
+    last), then the smallest text hash; of rows equal in both one stays, the
+    first by the JSON text of its other columns.  Those columns may have any
+    name and type and come back as they were."""
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     keep = (near_duplicates(docs, shingle, max_bits).groupBy("group").agg(F.min(first).alias("k"))
-            .select(F.xxhash64("k.doc_id").alias("_key"), F.col("k.doc_id").alias("_id"),
-                    F.col("k.text_hash").alias("_hash")))
-    own = docs.withColumns({"_key": F.xxhash64(F.col("doc_id").cast("long")),
-                            "_hash": F.xxhash64("text")})
-    rest = [F.xxhash64(*[c for c in docs.columns if c not in ("doc_id", "text")])] \
-        if len(docs.columns) > 2 else [F.lit(0)]
-    once = Window.partitionBy("_key", "_hash").orderBy(*rest)
-    same = own["_key"].eqNullSafe(keep["_key"]) & (own["_hash"] == keep["_hash"]) \
-        & own["doc_id"].eqNullSafe(keep["_id"])
-    return (own.join(keep, same, "left_semi").withColumn("_nth", F.row_number().over(once))
-            .where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .select(F.xxhash64("k.doc_id").alias("key"), F.col("k.doc_id").alias("id"),
+                    F.col("k.text_hash").alias("hash")))
+    named = [F.col(f"`{c}`") for c in docs.columns]
+    rest = [c for c, n in zip(named, docs.columns) if n not in ("doc_id", "text")]
+    own = docs.select(
+        F.struct(*named).alias("doc"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("doc_id").cast("long")).alias("key"), F.xxhash64("text").alias("hash"),
+        (F.to_json(F.struct(*rest)) if rest else F.lit("")).alias("others"))
+    same = (own["key"] == keep["key"]) & (own["hash"] == keep["hash"]) \
+        & own["id"].eqNullSafe(keep["id"])
+    once = Window.partitionBy("key", "hash").orderBy("others")
+    return (own.join(keep, same, "left_semi").withColumn("nth", F.row_number().over(once))
+            .where("nth = 1").select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
