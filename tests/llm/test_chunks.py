@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import DOC_SCHEMA, WORDS, doc, sentence_text
 from tidemark.llm import chunks
 
@@ -166,3 +168,14 @@ def test_no_passage_of_50_words_is_missed():
     raw = " ".join(words(4000, 1, 8)).encode()
     ends = chunks.boundaries(raw)
     assert max(len(raw[s:e].split()) for s, e in zip([0, *ends], ends)) <= chunks.DEFAULT.window
+
+
+def test_many_rows_of_one_id_are_linear(spark):
+    text = sentence_text(77, 300)
+    rows = [doc(1, text)] + [doc(5, text)] * 3000
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    sizes = chunks.foreign_chunks(docs).groupBy("key").agg(
+        F.size(F.collect_set(F.struct("digest", "owner"))).alias("n")).collect()
+    assert [r.n for r in sizes] and sizes[0].n < 400
+    done = chunks.deduplicate(docs).select("doc.doc_id", F.octet_length("text").alias("n")).collect()
+    assert len(done) == 3001 and {r.n for r in done if r.doc_id == 5} == {0}

@@ -244,7 +244,7 @@ def _key() -> Column:
 
 
 def chunk_digests(docs: DataFrame, cuts: Cuts = DEFAULT) -> DataFrame:
-    """``(key, digest)`` once for each distinct chunk of each document."""
+    """``(key, digest)`` once for each distinct chunk of each row."""
 
     def run(batches):
         for b in batches:
@@ -284,7 +284,8 @@ def deduplicate(docs: DataFrame, cuts: Cuts = DEFAULT) -> DataFrame:
     empty table gives no rows."""
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                       _key().alias("key"), F.col("text").alias("old"))
-    found = foreign_chunks(docs, cuts).groupBy("key").agg(F.collect_list(
+    # A set: rows that share an id repeat its chunks, and all of them get the list.
+    found = foreign_chunks(docs, cuts).groupBy("key").agg(F.collect_set(
         F.struct("digest", "owner")).alias("foreign"))
     joined = own.join(found, "key", "left")
 
