@@ -44,10 +44,11 @@ def parse_json(text: DataFrame, schema: T.StructType, value_col: str = "value",
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
         return parsed.select("r.*")
     return parse_where(text, F.from_json(F.col(value_col), schema),
-                       lambda r: _any_field(r, schema.fieldNames()))
+                       lambda r: any_field(r, schema.fieldNames()))
 
 
-def _any_field(r: Column, names: list[str]) -> Column:
+def any_field(r: Column, names: list[str]) -> Column:
+    """Whether any field of a parsed record holds a value."""
     cond = F.lit(False)
     for f in names:
         cond = cond | r[f].isNotNull()
@@ -79,7 +80,7 @@ def unparsable(text: DataFrame, schema: T.StructType, value_col: str = "value")
     rec = F.struct(F.col(value_col).alias("value"),
                    F.from_json(F.col(value_col), schema).alias("r"))
     return (text.select(F.inline(F.filter(F.array(rec),
-                                          lambda x: ~_any_field(x["r"], schema.fieldNames()))))
+                                          lambda x: ~any_field(x["r"], schema.fieldNames()))))
             .select("value"))
 
 
@@ -88,7 +89,7 @@ RECORD = "record"       # the raw text of a record, carried along with its parse
 
 def _with_record(text: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
     rec = F.struct(F.col(value_col).alias(RECORD), F.from_json(value_col, schema).alias("r"))
-    keep = lambda x: _any_field(x["r"], schema.fieldNames())
+    keep = lambda x: any_field(x["r"], schema.fieldNames())
     return text.select(F.inline(F.filter(F.array(rec), keep))).select("r.*", RECORD)
 
 

@@ -5,14 +5,17 @@ W8: ``run_job`` is the job template: sources -> ``transform`` (X1, the job's
 hook) -> one ``foreachBatch`` per output writing every branch of it.  Each
 query keeps its progress under ``spark.checkpoint.dir`` (shared storage on a
 cluster), so a restarted or re-scheduled job resumes where it stopped.
-W7: a file output of a micro-batch is put into place once and left alone on
-replay, so the next layer reads every record once.  Kafka output is at least
-once.
+The visitor jobs take their topic batch by batch through DataFrame operators
+(``steps``), with what is undecided in tables (``state``).
+W7: all file outputs of a micro-batch are committed by one manifest
+(``sinks.topics``), so the next layer reads every record once.  Kafka output is
+at least once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +28,11 @@ from tidemark.plans import config as C
 from tidemark.operators.joins import checked_broadcast
 from tidemark.session import configured_path, let_workers_import, require_state_provider
 from tidemark.sinks.dimensions import DimensionStore
-from tidemark.sinks.topics import write_addressed, write_topic
+from tidemark.sinks.topics import addressed, to_topic, write_batch
 from tidemark.sources.topics import TopicConfig, read_topic, read_topics
 from tidemark.streaming import pipelines as SP
+from tidemark.streaming import steps
+from tidemark.streaming.state import BatchState
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -65,24 +70,6 @@ def run_job(spark: SparkSession, name: str, sources: dict[str, DataFrame],
     return started
 
 
-def fan_out(branches: dict[str, Callable[[DataFrame], DataFrame]],
-            targets: dict[str, BatchWriter]) -> BatchWriter:
-    """One micro-batch, several outputs: the batch is cached once, each
-    branch filters it and is written; the cache is dropped afterwards."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for name, pick in branches.items():
-                targets[name](pick(batch), batch_id)
-        finally:
-            batch.unpersist()
-    return write
-
-
-def to_topic(cfg: TopicConfig, topic: str) -> BatchWriter:
-    return lambda df, batch_id: write_topic(df, cfg, topic, batch_id)
-
-
 # W6 ----------------------------------------------------------------------------------
 def rows_dropped_by_watermark(query: StreamingQuery, recent: bool = False) -> int:
     """Late rows dropped by the stateful operators in the last micro-batch
@@ -94,57 +81,74 @@ def rows_dropped_by_watermark(query: StreamingQuery, recent: bool = False) -> in
 
 # ---- the applications ----------------------------------------------------------------
 
+def _stepwise(spark: SparkSession, name: str, cfg: TopicConfig, topic: str, trigger: dict | None,
+              state_root: str | None, step: Callable, outputs: Callable) -> list[StreamingQuery]:
+    """A job that reads a topic once and takes it batch by batch through ``step(state,
+    before, log)``; ``outputs(step, unparsable)`` gives its ``(topic, value)`` records.
+    Rows dropped as late are counted in the topic ``<name>_metrics`` (W6)."""
+    root = f"{state_root.rstrip('/')}/{name}/state" if state_root else configured_path(
+        spark, "jobs", name, "state")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession        # a copy for this query; its batches are plain ones
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        state = BatchState(session, root)
+        before = state.before(batch_id)
+        parsed = batch.select("value", F.from_json("value", S.APP_LOG).alias("r")).persist()
+        sound = logs.any_field(F.col("r"), S.APP_LOG.fieldNames())
+        log = parsed.where(sound).select("r.*", F.col("value").alias(logs.RECORD))
+        done = step(state, before, log)
+        try:
+            counts = session.createDataFrame(
+                [(batch_id, done.late, done.watermark)],
+                "batch_id long, rows_dropped long, watermark long")
+            records = [to_topic(counts, f"{name}_metrics"),
+                       *outputs(done.out, parsed.where(~sound).select("value"))]
+            write_batch(reduce(DataFrame.unionByName, records), cfg, name, batch_id)
+            done.finish(state, before, batch_id)
+        finally:
+            done.release()
+            parsed.unpersist()
+
+    src = {topic: read_topic(spark, cfg, topic, name)}
+    return run_job(spark, name, src, lambda s: s[topic], {"out": write}, trigger, state_root)
+
+
 def log_detail_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WINDOW_MS,
                    allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
-                  state_root: str | None = None):
+                   state_root: str | None = None):
     """ods_log -> first-visit flag -> dwd_start / dwd_page / dwd_displays;
-    malformed text -> ods_log_quarantine."""
-    src = {S.TOPIC_ODS_LOG: read_topic(spark, cfg, S.TOPIC_ODS_LOG, "log_detail")}
+    malformed text -> ods_log_quarantine.  The topic is read and parsed once."""
+    def outputs(log: DataFrame, bad: DataFrame) -> list[DataFrame]:
+        split = logs.split_logs(log)
+        shown = logs.display_records(log.where("start is null and displays is not null"))
+        return [to_topic(split["start"], S.TOPIC_DWD_START), to_topic(split["page"], S.TOPIC_DWD_PAGE),
+                to_topic(shown, S.TOPIC_DWD_DISPLAYS), to_topic(bad, S.TOPIC_ODS_LOG + "_quarantine")]
 
-    def transform(s):
-        # two queries over the same topic, both with the cheap parse: the
-        # detail one keeps records with fields, the quarantine one the rest
-        text = s[S.TOPIC_ODS_LOG]
-        bad = logs.unparsable(text, S.APP_LOG)
-        return {"detail": SP.flag_new_visitors_stream(logs.parse_app_log(text), window_ms,
-                                                      allowance_ms),
-                "quarantine": bad}
-
-    split = {
-        S.TOPIC_DWD_START: lambda b: logs.split_logs(b)["start"],
-        S.TOPIC_DWD_PAGE: lambda b: logs.split_logs(b)["page"],
-        S.TOPIC_DWD_DISPLAYS: lambda b: logs.display_records(
-            b.where("start is null and displays is not null")),
-    }
-    writers = {
-        "detail": fan_out(split, {t: to_topic(cfg, t) for t in split}),
-        "quarantine": to_topic(cfg, S.TOPIC_ODS_LOG + "_quarantine"),
-    }
-    return run_job(spark, "log_detail", src, transform, writers, trigger, state_root)
+    return _stepwise(spark, "log_detail", cfg, S.TOPIC_ODS_LOG, trigger, state_root,
+                     lambda state, before, log: steps.first_visits(state, before, log, window_ms,
+                                                                   allowance_ms), outputs)
 
 
 def unique_visitor_job(spark: SparkSession, cfg: TopicConfig, window_ms: int = C.WINDOW_MS,
                        allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
-                  state_root: str | None = None):
+                       state_root: str | None = None):
     """dwd_page -> first page record per visitor and day -> dwm_uv."""
-    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE, "unique_visitor")}
-    transform = (lambda s: SP.daily_unique_visitors_stream(
-        logs.parse_app_log(s[S.TOPIC_DWD_PAGE]), window_ms, allowance_ms))
-    return run_job(spark, "unique_visitor", src, transform,
-                   {"out": to_topic(cfg, S.TOPIC_DWM_UV)}, trigger, state_root)
+    return _stepwise(spark, "unique_visitor", cfg, S.TOPIC_DWD_PAGE, trigger, state_root,
+                     lambda state, before, log: steps.daily_firsts(state, before, log, window_ms,
+                                                                   allowance_ms),
+                     lambda out, _bad: [to_topic(out, S.TOPIC_DWM_UV)])
 
 
 def bounce_job(spark: SparkSession, cfg: TopicConfig, within_ms: int = C.PATTERN_WITHIN_MS,
                next_rule: str = "entry", emit: str = "both",
                allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
-                  state_root: str | None = None):
+               state_root: str | None = None):
     """dwd_page -> bounced entry pages -> dwm_user_jump_detail."""
-    src = {S.TOPIC_DWD_PAGE: read_topic(spark, cfg, S.TOPIC_DWD_PAGE,
-                                        f"bounce_{next_rule}_{emit}")}
-    transform = (lambda s: SP.bounce_stream(logs.parse_app_log(s[S.TOPIC_DWD_PAGE]),
-                                            within_ms, next_rule, emit, allowance_ms))
-    return run_job(spark, f"bounce_{next_rule}_{emit}", src, transform,
-                   {"out": to_topic(cfg, S.TOPIC_DWM_USER_JUMP_DETAIL)}, trigger, state_root)
+    return _stepwise(spark, f"bounce_{next_rule}_{emit}", cfg, S.TOPIC_DWD_PAGE, trigger, state_root,
+                     lambda state, before, log: steps.bounces(state, before, log, within_ms,
+                                                              next_rule, emit, allowance_ms),
+                     lambda out, _bad: [to_topic(out, S.TOPIC_DWM_USER_JUMP_DETAIL)])
 
 
 def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_path: str,
@@ -164,8 +168,6 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
             projected = cdc.with_branch(cdc.project_columns(cdc.attach_rules(batch, rules)))
             projected.persist()
             kafka = projected.filter(F.col("branch") == S.SINK_TYPE_KAFKA)
-            write_addressed(kafka.select(F.col("sink_table"), F.col("data")),
-                            cfg, "sink_table", batch_id)
             hb = projected.filter(F.col("branch") == S.SINK_TYPE_HBASE).drop("branch")
             checked_broadcast(rules)        # refuses what is no configuration any more
             tables = dims.union_rules([
@@ -175,7 +177,8 @@ def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_p
             # Records of unknown sink types are not written, only counted
             counts = (projected.groupBy("branch").count()
                       .select(F.lit(int(batch_id)).alias("batch_id"), "branch", "count"))
-            write_topic(counts, cfg, "db_detail_metrics", batch_id)
+            write_batch(addressed(kafka.select("sink_table", "data"), "sink_table").unionByName(
+                to_topic(counts, "db_detail_metrics")), cfg, "db_detail", batch_id)
             projected.unpersist()
         finally:
             rules.unpersist()
@@ -210,7 +213,8 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
         now = as_of() if callable(as_of) else as_of
         wide = orders.enrich(batch, orders.order_wide_specs(tables, now))
         wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
-        write_topic(wide.select(*S.ORDER_WIDE_COLUMNS), cfg, S.TOPIC_DWM_ORDER_WIDE, batch_id)
+        write_batch(to_topic(wide.select(*S.ORDER_WIDE_COLUMNS), S.TOPIC_DWM_ORDER_WIDE), cfg,
+                    "order_wide", batch_id)
 
     return run_job(spark, "order_wide", src, transform, {"out": write}, trigger, state_root)
 
@@ -244,7 +248,8 @@ def raw_log_landing_job(spark: SparkSession, cfg: TopicConfig, incoming_path: st
              .withColumn("batch", F.lit(int(batch_id)))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("dt", "batch").text(landing_path))
-            write_topic(batch.select("value"), cfg, S.TOPIC_ODS_LOG, batch_id)
+            write_batch(to_topic(batch.select("value"), S.TOPIC_ODS_LOG), cfg, "raw_log_landing",
+                        batch_id)
         finally:
             batch.unpersist()
 
