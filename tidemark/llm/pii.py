@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import staged
-from tidemark.operators.joins import broadcast_if_small
 
 KINDS = ("email", "ip", "card", "phone")
 CANDIDATE = "candidate"
@@ -35,6 +34,7 @@ THRESHOLD = 0.75        # reliability that accepts
 MIN_RELIABILITY = 0.5   # below it a pattern says nothing
 UNKNOWN_WEIGHT = 0.25   # of a candidate not yet accepted, among a pattern's failures
 CONTEXT_CHARS = 100     # searched for the two words before a match
+FILTER_WORDS = 4096     # 64-bit words of the filter of contexts
 
 # The kinds' patterns.  They find what the plain patterns of the same
 # shape find, but begin only where a match can and never go back, so that a long
@@ -184,8 +184,33 @@ def identifiers(items: DataFrame) -> DataFrame:
     return items.select("row", "start", "end", "context", (~candidate).alias("known"), each)
 
 
+def _bit(context: Column) -> tuple[Column, Column]:
+    """The word and the bit of a context in the filter."""
+    h = F.xxhash64(context)
+    return (F.pmod(h, F.lit(FILTER_WORDS)).cast("int"),
+            F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int"))
+
+
+def _maybe(contexts: DataFrame):
+    """A test that every one of ``contexts`` passes and few others do: a bitmap of fixed
+    size, however many contexts there are."""
+    word, bit = _bit(F.col("context"))
+    bits = [0] * FILTER_WORDS
+    for r in contexts.select(word.alias("w"), F.call_function(
+            "shiftleft", F.lit(1).cast("long"), bit).alias("b")).groupBy("w").agg(
+            F.bit_or("b").alias("b")).collect():
+        bits[r.w] = r.b
+    bitmap = F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>")    # folded once
+
+    def test(context: Column) -> Column:
+        word, bit = _bit(context)
+        return F.call_function("shiftright", F.get(bitmap, word), bit).bitwiseAND(1) == 1
+    return test
+
+
 def followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``(context, n)``: how often each of ``contexts`` is followed by a word, in all texts."""
+    """``(context, n)``: how often contexts are followed by a word, in all texts; for each
+    of ``contexts``, and maybe others.  Counted before any join."""
     words = F.filter(F.split(_plain(F.concat(F.lit("\n "), F.col("text"))), " "), lambda w: w != "")
 
     def pairs(w: Column) -> Column:
@@ -196,8 +221,8 @@ def followers(docs: DataFrame, contexts: DataFrame) -> DataFrame:
     # The words are bound once, by a one-element array.
     every = docs.where("text is not null").select(
         F.explode(F.flatten(F.transform(F.array(words), pairs))).alias("context"))
-    return (every.join(broadcast_if_small(contexts.select("context")), "context")
-            .groupBy("context").agg(F.count("*").alias("n")))
+    return every.where(_maybe(contexts)(F.col("context"))).groupBy("context").agg(
+        F.count("*").alias("n"))
 
 
 def graph(docs: DataFrame, items: DataFrame, ids: DataFrame) -> DataFrame:
