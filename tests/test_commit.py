@@ -1,0 +1,117 @@
+"""The commit of a batch's output survives a crash between any two writes."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sinks import fs, topics
+from tidemark.sources.topics import TopicConfig, read_topic
+
+
+class Crash(Exception):
+    pass
+
+
+WRITES = ("move_file", "write_text", "remove")
+
+
+def crash_at(monkeypatch, n: int, after: bool):
+    """The ``n``-th file operation of the sinks fails, before or after its work."""
+    left = [n]
+    for name in WRITES:
+        real = getattr(fs, name)
+
+        def op(*args, _real=real):
+            left[0] -= 1
+            mine = left[0] == 0
+            if mine and not after:
+                raise Crash
+            _real(*args)
+            if mine:
+                raise Crash
+        monkeypatch.setattr(topics.fs, name, op)
+
+
+def records(spark, parts: int):
+    return spark.range(60).repartition(parts).select(
+        F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("topic"),
+        F.concat(F.lit("r"), F.col("id").cast("string")).alias("value"))
+
+
+def files(base) -> dict[str, int]:
+    return {os.path.join(d, n): os.path.getsize(os.path.join(d, n))
+            for d, _, names in os.walk(base) for n in names
+            if n.startswith("part-") and "_staging" not in d}
+
+
+def contents(spark, cfg):
+    return sorted(r.value for t in ("t0", "t1", "t2")
+                  for r in read_topic(spark, cfg, t, streaming=False).collect())
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_a_crash_between_any_two_writes(spark, scratch, monkeypatch, after):
+    want = sorted(f"r{i}" for i in range(60))
+    n = 1
+    while True:
+        cfg = TopicConfig(base_path=f"{scratch}/{after}-{n}")
+        with monkeypatch.context() as m:
+            crash_at(m, n, after)
+            try:
+                topics.write_batch(records(spark, 2), cfg, "job", 7)
+                break                       # fewer writes than n: all points were tried
+            except Crash:
+                pass
+        seen = files(cfg.base_path)         # what a reader may have taken already
+        topics.write_batch(records(spark, 3), cfg, "job", 7)
+        topics.write_batch(records(spark, 3), cfg, "job", 7)
+        assert contents(spark, cfg) == want, n
+        assert seen.items() <= files(cfg.base_path).items(), n
+        n += 1
+    assert n > 6
+
+
+def test_a_half_copied_file_is_copied_again(spark, scratch, monkeypatch):
+    cfg = TopicConfig(base_path=scratch)
+    real = fs.move_file
+
+    def half(session, source, target):
+        if "topic=" in source:
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            with open(source, "rb") as f, open(target, "wb") as g:
+                g.write(f.read()[:-3])
+            raise Crash
+        real(session, source, target)
+
+    with monkeypatch.context() as m:
+        m.setattr(topics.fs, "move_file", half)
+        with pytest.raises(Crash):
+            topics.write_batch(records(spark, 2), cfg, "job", 0)
+    topics.write_batch(records(spark, 2), cfg, "job", 0)
+    assert contents(spark, cfg) == sorted(f"r{i}" for i in range(60))
+
+
+def test_a_lost_staged_file_ends_the_job(spark, scratch, monkeypatch):
+    cfg = TopicConfig(base_path=scratch)
+    with monkeypatch.context() as m:
+        crash_at(m, 3, False)               # manifest written, nothing moved
+        with pytest.raises(Crash):
+            topics.write_batch(records(spark, 2), cfg, "job", 0)
+    staged = [os.path.join(d, n) for d, _, names in os.walk(f"{scratch}/_staging") for n in names
+              if n.startswith("part-")]
+    os.remove(staged[0])
+    with pytest.raises(OSError, match="is lost"):
+        topics.write_batch(records(spark, 2), cfg, "job", 0)
+
+
+def test_old_commits_go(spark, scratch, monkeypatch):
+    monkeypatch.setattr(topics, "KEPT_COMMITS", 2)
+    cfg = TopicConfig(base_path=scratch)
+    for i in range(5):
+        topics.write_batch(records(spark, 1), cfg, "job", i)
+    assert sorted(n for n in os.listdir(f"{scratch}/_commits/job") if n.endswith("json")) == [
+        "batch=3.json", "batch=4.json"]
+    assert len(contents(spark, cfg)) == 300

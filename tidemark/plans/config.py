@@ -21,6 +21,7 @@ OUT_OF_ORDER_MS = 3_000
 # Values used by the registered queries on the driver tables.
 BOUNCE_WITHIN_MS = 6 * 60 * 60 * 1000          # 6 h
 ORDER_BAND_MS = 30 * 24 * 60 * 60 * 1000       # +-30 days
+LATE_CUT_MS = 1_705_276_800_000                # 2024-01-15: between two parts of the events
 AS_OF = "2024-01-01 00:00:00"                  # age reference instant
 
 # Routing-rule changelog: the rules table as change rows (rule columns, op,

@@ -418,6 +418,13 @@ SELECT 'dwd_start' AS topic, count(*) AS n_records FROM ol WHERE event_type = 's
 UNION ALL SELECT 'dwd_page', count(*) FROM ol WHERE event_type <> 'signup'
 UNION ALL SELECT 'dwd_displays', CAST(sum(n_disp) AS BIGINT) FROM ol WHERE event_type <> 'signup'
 UNION ALL SELECT 'ods_log_quarantine', 1
+""",
+    "stream_late_rows": f"""
+WITH {OPEN_LOG}
+SELECT 'dropped' AS what, b AS batch_id,
+       (SELECT CASE WHEN b = 2 THEN count(*) ELSE 0 END FROM ol WHERE event_id % 10 = 0) AS n_rows
+FROM (SELECT unnest([0, 1, 2])::BIGINT AS b)
+UNION ALL SELECT 'late pages written', NULL, 0
 """,
     "stream_unique_visitor": SQL["daily_unique_visitor"],
     "stream_bounce": SQL["bounce_detail"],

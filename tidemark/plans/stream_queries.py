@@ -2,8 +2,9 @@
 from the given tables on file topics below the shared folder, runs a job over
 them to the end, and returns what its output holds.
 
-All records of a topic arrive in one batch, so none is late; a closing record far
-in the future moves the watermark past every window, and is left out."""
+But for ``stream_late_rows`` all records of a topic arrive in one batch, so none is
+late; a closing record far in the future moves the watermark past every window, and
+is left out."""
 
 from __future__ import annotations
 
@@ -88,6 +89,31 @@ def stream_log_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("topic").agg(F.count("*").alias("n_records"))
 
 
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """ods_log -> log_detail job, started three times: the events up to a time, the
+    later ones, and every tenth event again with a time long gone.  What the job's
+    metrics topic says was dropped per batch, and the records of its page topic."""
+    cfg, base = _place(spark)
+    events = table(spark, sf, "events")
+    cut = F.timestamp_millis(F.lit(C.LATE_CUT_MS))
+    early = F.col("ts").cast("timestamp") < cut
+    again = events.where("event_id % 10 = 0").withColumn(
+        "ts", F.timestamp_millis(F.lit(1_000_000)).cast("timestamp_ntz"))
+    for i, part in enumerate((events.where(early), events.where(~early), again)):
+        write_topic(P.open_log_text(part), cfg, S.TOPIC_ODS_LOG, i)
+        _finish(jobs.log_detail_job(spark, cfg, WINDOW_MS, trigger=ONCE, state_root=f"{base}/state"))
+    counts = read_topic(spark, cfg, "log_detail_metrics", streaming=False).select(
+        F.from_json("value", "batch_id long, rows_dropped long").alias("m")).select(
+        F.lit("dropped").alias("what"), F.col("m.batch_id").alias("batch_id"),
+        F.col("m.rows_dropped").alias("n_rows"))
+    long_gone = F.col("ts") == 1_000_000
+    pages = _read(spark, cfg, S.TOPIC_DWD_PAGE).agg(
+        F.count_if(long_gone).alias("n")).select(
+        F.lit("late pages written").alias("what"), F.lit(None).cast("long").alias("batch_id"),
+        F.col("n").alias("n_rows"))
+    return counts.unionByName(pages)
+
+
 def _page_topic(spark: SparkSession, sf: str) -> tuple[TopicConfig, str]:
     cfg, base = _place(spark)
     pages = P.page_log(table(spark, sf, "events")).select(F.to_json(F.struct("*")).alias("value"))
@@ -180,6 +206,7 @@ def stream_order_wide(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES: dict[str, Query] = {
     "stream_log_detail": stream_log_detail,
     "stream_log_outputs": stream_log_outputs,
+    "stream_late_rows": stream_late_rows,
     "stream_unique_visitor": stream_unique_visitor,
     "stream_bounce": stream_bounce,
     "stream_bounce_timeout": stream_bounce_timeout,
