@@ -46,9 +46,24 @@ def _before(name: str) -> str:
     return rf"{_WS}\{{{again}{others}{key}{_WS}"
 
 
+def _plainly(name: str) -> str:
+    """The same where the key is there once and nothing is escaped: one pass."""
+    return rf'{_WS}\{{(?:(?!{_WS}"{name}"){_MEMBER},)*+{_WS}"{name}"{_WS}:{_WS}'
+
+
+def _once(text: Column, name: str) -> Column:
+    key = F.lit(f'"{name}"')
+    find = lambda start: F.call_function("locate", key, text, start)
+    first = find(F.lit(1))
+    return (first > 0) & (find(first + 1) == 0)
+
+
 def member(text: Column, name: str) -> Column:
     """The text of the value of an object's member; null where it has none."""
-    found = F.regexp_extract(text, f"(?s)^{_before(name)}({_VALUE})", 1)
+    plain = ~text.contains("\\")
+    found = F.when(plain & ~text.contains(f'"{name}"'), F.lit("")).when(
+        plain & _once(text, name), F.regexp_extract(text, f"(?s)^{_plainly(name)}({_VALUE})", 1)
+    ).otherwise(F.regexp_extract(text, f"(?s)^{_before(name)}({_VALUE})", 1))
     return F.when(found != "", found)
 
 
@@ -76,6 +91,22 @@ def with_member(text: Column, path: tuple[str, ...], value: Column) -> Column:
     """``text`` with the value at ``path`` replaced by the JSON text ``value``, or put
     first into the innermost object where it has no such member.  A text without
     the objects that lead there stays as it is."""
+    plain = ~text.contains("\\")
+    for name in path:
+        plain = plain & _once(text, name)
+    before = F.regexp_extract(F.when(plain, text), f"(?s)^{''.join(map(_plainly, path))}", 0)
+
+    def put(found: Column) -> Column:
+        rest = F.substr(text, F.length(found) + 1, F.length(text))
+        return F.when(F.length(found) > 0, F.concat(found, F.regexp_replace(
+            rest, F.lit(f"(?s)^{_VALUE}"), _literal(value)))).otherwise(_with_last(text, path, value))
+
+    # What stands before the value is bound once, by a one-element array.
+    return F.get(F.transform(F.array(before), put), 0)
+
+
+def _with_last(text: Column, path: tuple[str, ...], value: Column) -> Column:
+    """The same for texts with repeated, escaped or missing keys."""
     *outer, name = path
     way = "".join(map(_before, outer))
     replaced = F.regexp_replace(text, F.lit(f"(?s)^({way}{_before(name)}){_VALUE}"),

@@ -7,7 +7,7 @@ a column missing from the record is stored as ``''``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,20 +67,17 @@ def dimension_rows(routed: DataFrame, seq_col: str = "ts",
 def latest_per_key(df: DataFrame, key_cols: list[str], seq_col: str,
                    pos_col: str) -> DataFrame:
     """Newest row of every (non-null) key: largest ``seq``, then largest ``pos``
-    (last write wins), equal ones decided by content.
+    (last write wins), of rows equal in both any one.
 
     A maximum of a packed fixed-size key (hash aggregate, combined before the
     shuffle, so a hot key costs one row per map task) joined back on (key,
-    packed key); whole rows move once."""
-    from pyspark.sql import Window
-
+    packed key); whole rows move once, and equal ones are counted through where
+    they are."""
     own = df.withColumn("_at", fn.order_key(
         F.coalesce(F.col(seq_col), F.lit(-(10 ** 16))), F.col(pos_col)))
     top = own.groupBy(*key_cols).agg(F.max("_at").alias("_at"))
-    same = Window.partitionBy(*key_cols, "_at").orderBy(F.xxhash64(*[
-        F.to_json(c) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c)
-        for c in df.columns]))
-    return (own.join(top, [*key_cols, "_at"]).withColumn("_nth", F.row_number().over(same))
+    same = Window.partitionBy(*key_cols, "_at").rowsBetween(Window.unboundedPreceding, 0)
+    return (own.join(top, [*key_cols, "_at"]).withColumn("_nth", F.count(F.lit(1)).over(same))
             .where("_nth = 1").select(*df.columns))
 
 

@@ -16,7 +16,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,25 +160,25 @@ def tie_of(df: DataFrame, id_col: str = "event_id") -> Column:
 def mark_earliest(df: DataFrame, keys: dict[str, Column], id_col: str = "event_id",
                   ts_col: str = "ts", narrow: DataFrame | None = None) -> DataFrame:
     """``df`` with ``_first``: true on exactly one row per combination of the
-    (non-null) keys, the earliest, ties decided by ``tie_of``, then content.
+    (non-null) keys, the earliest, ties decided by ``tie_of``; of rows equal in
+    that too any one.
 
     A minimum of a packed fixed-size key per combination, joined back on
-    (keys, packed key); equal rows are numbered where the join already put
-    them together.  The minimum may be taken over ``narrow``: the same records
-    with fewer fields, cheaper to parse."""
-    from pyspark.sql import Window
-
+    (keys, packed key).  Equal rows are counted through, in no order, where the
+    join put them together: no further shuffle, sort or hash of whole rows.  The
+    minimum may be taken over ``narrow``: the same records with fewer fields,
+    cheaper to parse."""
     def keyed(frame: DataFrame) -> DataFrame:
         return frame.withColumns({**keys, "_at": fn.order_key(
             F.col(ts_col), tie_of(frame, id_col))})
 
     own = keyed(df)
     names = list(keys)
-    low = keyed(df if narrow is None else narrow).groupBy(*names).agg(F.min("_at").alias("_at")).withColumn("_low", F.lit(True))
+    low = keyed(df if narrow is None else narrow).groupBy(*names).agg(
+        F.min("_at").alias("_at")).withColumn("_low", F.lit(True))
     joined = own.join(low, [*names, "_at"], "left")
-    same = Window.partitionBy(*names, "_at").orderBy(
-        F.xxhash64(*[F.col(c) for c in df.columns]))
-    first = F.col("_low").isNotNull() & (F.row_number().over(same) == 1)
+    same = Window.partitionBy(*names, "_at").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.col("_low").isNotNull() & (F.count(F.lit(1)).over(same) == 1)
     return joined.withColumn("_first", first).select(*df.columns, *names, "_first")
 
 
@@ -293,8 +293,6 @@ def bounce_visits(page_log: DataFrame, within_ms: int, next_rule: str = "entry",
     """
     if emit not in ("both", "timeout"):
         raise ValueError("emit in {both, timeout}")
-    from pyspark.sql import Window
-
     start, follows = pattern_predicates(next_rule, start_when, next_when)
     base = (page_log
             .withColumn("_tie", tie_of(page_log, id_col))
