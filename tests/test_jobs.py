@@ -130,6 +130,59 @@ def test_dimension_store_follows_rule_changes(spark, env):
     assert sorted((r.ID, r.NAME, r.CITY) for r in store.read("d").collect()) == want
 
 
+def test_lookups_read_only_the_buckets_of_their_keys(spark, env):
+    base, _ = env
+    store = DimensionStore(spark, os.path.join(base, "dims4"), max_deltas=2, bucket_rows=5)
+
+    def up(batch, n, name):
+        rows = spark.createDataFrame([("d", f"{k:03d}", batch, k, {"ID": f"{k:03d}", "NAME": name})
+                                      for k in range(n)], ROWS)
+        store.upsert(rows, batch, {"d": ("id,name", "id")})
+
+    for batch, (n, name) in enumerate([(120, "a"), (40, "b"), (3, "c"), (2, "d"), (1, "e")]):
+        up(batch, n, name)
+        asked = spark.createDataFrame([(0,), (2,), (39,), (100,), (999,), (None,)], "k long")
+        got = store.lookup("d", asked)
+        newest = lambda k: next(x for m, x in reversed([(120, "a"), (40, "b"), (3, "c"), (2, "d"), (
+            1, "e")][:batch + 1]) if k < m)
+        assert sorted((r.ID, r.NAME) for r in got.collect()) == [
+            (f"{k:03d}", newest(k)) for k in (0, 2, 39, 100)]
+    plan = got._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1][:200]
+    scanned = store._current("d", touched=[0]).count()
+    assert 0 < scanned < 30 and store.read("d").count() == 120
+
+
+def test_a_replayed_batch_keeps_its_rules(spark, env):
+    base, _ = env
+    rules, pins = os.path.join(base, "rules"), os.path.join(base, "pins")
+    new = ("t", "insert", "kafka", "other_topic", "a", None, None, "update_after", 2, 0)
+    old = ("t", "insert", "kafka", "topic", "a", None, None, "insert", 1, 0)
+    spark.createDataFrame([old], S.RULE_CHANGE).write.parquet(rules)
+    names = lambda b: [r.sink_table for r in jobs.pinned_rules(spark, rules, pins, b).collect()]
+    assert names(0) == ["topic"]
+    spark.createDataFrame([new], S.RULE_CHANGE).write.mode("append").parquet(rules)
+    assert names(0) == ["topic"] and names(1) == ["other_topic"] and names(1) == ["other_topic"]
+
+
+def test_records_of_a_bad_rule_are_held_back_alone(spark, env):
+    base, cfg = env
+    rules = [("good", "insert", "hbase", "dim_good", "id,n", "id", None, "insert", 1, 0),
+             ("bad", "insert", "hbase", "dim_bad", "n", "id", None, "insert", 2, 0),
+             ("top", "insert", "kafka", "dwd_top", "id", None, None, "insert", 3, 0)]
+    spark.createDataFrame(rules, S.RULE_CHANGE).write.parquet(os.path.join(base, "rules"))
+    text = spark.createDataFrame([(f'{{"database":"d","table":"{t}","type":"insert","ts":1,'
+                                   f'"data":{{"id":"{i}","n":"name"}}}}',)
+                                  for t in ("good", "bad", "top") for i in range(3)], "value string")
+    write_topic(text, cfg, S.TOPIC_ODS_DB, batch_id=0)
+    _finish(jobs.db_detail_job(spark, cfg, os.path.join(base, "rules"), os.path.join(base, "dims"),
+                               trigger=ONCE, state_root=os.path.join(base, "state")))
+    assert DimensionStore(spark, os.path.join(base, "dims")).read("dim_good").count() == 3
+    assert read_topic(spark, cfg, "dwd_top", streaming=False).count() == 3
+    held = read_topic(spark, cfg, S.TOPIC_ODS_DB + "_quarantine", streaming=False)
+    assert [r.value.count('"source_table":"bad"') for r in held.collect()] == [1, 1, 1]
+
+
 def test_a_replayed_batch_reaches_the_next_layer_once(spark, env):
     from tidemark.sinks.topics import write_addressed
     base, cfg = env

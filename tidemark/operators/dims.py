@@ -42,6 +42,20 @@ def union_rules(rules: list[tuple[str, str, str | None]]) -> dict[str, tuple[str
     return out
 
 
+def storable(rules: list[tuple[str, str, str | None]]) -> tuple[dict[str, tuple[str, str]], list[str]]:
+    """``union_rules`` of the rules that it accepts, and the others, each as its table,
+    columns and key joined by line ends.  Of rules that name different keys for a
+    table, those that agree with the first stay."""
+    good, bad = [], []
+    for rule in sorted(rules, key=lambda r: (r[0], r[1])):
+        try:
+            union_rules([*good, rule])
+            good.append(rule)
+        except ValueError:
+            bad.append("\n".join((rule[0], rule[1], rule[2] or DEFAULT_PK)))
+    return union_rules(good), bad
+
+
 # P12 / T9 ----------------------------------------------------------------------------
 def dimension_rows(routed: DataFrame, seq_col: str = "ts",
                    pos_col: str | None = None) -> DataFrame:

@@ -27,8 +27,9 @@ from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
 from tidemark.operators.joins import checked_broadcast
 from tidemark.session import configured_path, let_workers_import, require_state_provider
+from tidemark.sinks import fs
 from tidemark.sinks.dimensions import DimensionStore
-from tidemark.sinks.topics import addressed, to_topic, write_batch
+from tidemark.sinks.topics import KEPT_COMMITS, addressed, to_topic, write_batch
 from tidemark.sources.topics import TopicConfig, read_topic, read_topics
 from tidemark.streaming import pipelines as SP
 from tidemark.streaming import steps
@@ -151,44 +152,67 @@ def bounce_job(spark: SparkSession, cfg: TopicConfig, within_ms: int = C.PATTERN
                      lambda out, _bad: [to_topic(out, S.TOPIC_DWM_USER_JUMP_DETAIL)])
 
 
+def pinned_rules(spark: SparkSession, rules_path: str, pins: str, batch_id: int) -> DataFrame:
+    """The rules in force when a batch was first met: the changelog is read once per batch,
+    and what it gave is kept under the batch's id, so that a replay routes as the first
+    time did (S7, J10).  Rules are configuration; their size is checked."""
+    pin = f"{pins}/batch={batch_id}"
+    if not fs.exists(spark, f"{pin}/_SUCCESS"):
+        in_force = cdc.rules_in_force(spark.read.parquet(rules_path))
+        checked_broadcast(in_force)         # refuses what is no configuration any more
+        in_force.coalesce(1).write.mode("overwrite").parquet(pin)
+        old = f"{pins}/batch={batch_id - KEPT_COMMITS}"
+        if fs.exists(spark, old):
+            fs.remove(spark, old)
+    return spark.read.parquet(pin)
+
+
 def db_detail_job(spark: SparkSession, cfg: TopicConfig, rules_path: str, dims_path: str,
                   ops: tuple[str, ...] = ("insert",), trigger: dict | None = None,
                   state_root: str | None = None):
     """ods_db -> clean -> rules in force -> column projection -> kafka-type
     records to the topic named by their rule, hbase-type records upserted
     into the dimension store, per-branch counts (incl. ``dropped``) to the
-    ``db_detail_metrics`` topic.  The rules changelog (parquet) is re-read
-    every micro-batch, so a rule change applies from the next batch on."""
+    ``db_detail_metrics`` topic.  The rules changelog (parquet) is read for
+    every micro-batch, so a rule change applies from the next batch on; a
+    replayed batch keeps its rules.  Records of a rule that cannot be stored
+    (its key is not among its columns, or another rule of the table names another
+    key) go to ``ods_db_quarantine``; the others go on."""
     src = {S.TOPIC_ODS_DB: read_topic(spark, cfg, S.TOPIC_ODS_DB, "db_detail")}
     store = DimensionStore(spark, dims_path)
+    pins = f"{state_root.rstrip('/')}/db_detail/rules" if state_root else configured_path(
+        spark, "jobs", "db_detail", "rules")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rules = cdc.rules_in_force(spark.read.parquet(rules_path)).persist()
+        rules = pinned_rules(spark, rules_path, pins, batch_id)
+        tables, bad = dims.storable([
+            (r.sink_table, r.sink_columns, r.sink_pk)
+            for r in rules.filter(F.col("sink_type") == S.SINK_TYPE_HBASE).collect()])
+        projected = cdc.with_branch(cdc.project_columns(cdc.attach_rules(batch, rules)))
+        unfit = (F.col("branch") == S.SINK_TYPE_HBASE) & F.concat_ws(
+            "\n", "sink_table", "sink_columns", F.coalesce("sink_pk", F.lit(dims.DEFAULT_PK))).isin(bad)
+        projected = projected.withColumn("branch", F.when(unfit, F.lit("quarantine")).otherwise(
+            F.col("branch"))).persist()
         try:
-            projected = cdc.with_branch(cdc.project_columns(cdc.attach_rules(batch, rules)))
-            projected.persist()
             kafka = projected.filter(F.col("branch") == S.SINK_TYPE_KAFKA)
             hb = projected.filter(F.col("branch") == S.SINK_TYPE_HBASE).drop("branch")
-            checked_broadcast(rules)        # refuses what is no configuration any more
-            tables = dims.union_rules([
-                (r.sink_table, r.sink_columns, r.sink_pk)
-                for r in rules.filter(F.col("sink_type") == S.SINK_TYPE_HBASE).collect()])
             store.upsert(dims.dimension_rows(hb, pos_col="xoffset"), batch_id, tables)
             # Records of unknown sink types are not written, only counted
             counts = (projected.groupBy("branch").count()
                       .select(F.lit(int(batch_id)).alias("batch_id"), "branch", "count"))
+            held_back = projected.filter(F.col("branch") == "quarantine").drop("branch")
             write_batch(addressed(kafka.select("sink_table", "data"), "sink_table").unionByName(
-                to_topic(counts, "db_detail_metrics")), cfg, "db_detail", batch_id)
-            projected.unpersist()
+                to_topic(counts, "db_detail_metrics")).unionByName(
+                to_topic(held_back, S.TOPIC_ODS_DB + "_quarantine")), cfg, "db_detail", batch_id)
         finally:
-            rules.unpersist()
+            projected.unpersist()
 
     return run_job(spark, "db_detail", src, lambda s: cdc.clean_changes(s[S.TOPIC_ODS_DB], ops),
                    {"out": write}, trigger, state_root)
 
 
 def order_wide_job(spark: SparkSession, cfg: TopicConfig,
-                   dim_tables: dict[str, DataFrame] | Callable[[], dict[str, DataFrame]],
+                   dim_tables: dict[str, DataFrame] | Callable[[DataFrame], dict[str, DataFrame]],
                    as_of: str | Callable[[], str], lower_ms: int = C.JOIN_BAND_MS, upper_ms: int = C.JOIN_BAND_MS,
                    allowance_ms: int = C.OUT_OF_ORDER_MS, trigger: dict | None = None,
                    state_root: str | None = None):
@@ -196,10 +220,10 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
     dimension enrichment -> dwm_order_wide.
 
     Enrichment runs per micro-batch: ``dim_tables`` may be a callable that
-    returns the dimension frames (e.g. from a ``DimensionStore``), called
-    for every batch so upserted dimension rows are seen by later orders, as
-    the reference's per-record look-ups did; ``as_of`` may be one too, so that
-    ages of a long-running job follow the calendar."""
+    returns the dimension frames for a batch (e.g. ``dimension_reader``), called
+    with every batch so upserted dimension rows are seen by later orders, as
+    the reference's per-record look-ups did; ``as_of`` may be a callable too, so
+    that ages of a long-running job follow the calendar."""
     src = read_topics(spark, cfg, S.TOPIC_DWD_ORDER_INFO, S.TOPIC_DWD_ORDER_DETAIL,
                       group="order_wide")
 
@@ -209,23 +233,33 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
         return SP.order_interval_join_stream(info, detail, lower_ms, upper_ms, allowance_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tables = dim_tables() if callable(dim_tables) else dim_tables
-        now = as_of() if callable(as_of) else as_of
-        wide = orders.enrich(batch, orders.order_wide_specs(tables, now))
-        wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
-        write_batch(to_topic(wide.select(*S.ORDER_WIDE_COLUMNS), S.TOPIC_DWM_ORDER_WIDE), cfg,
-                    "order_wide", batch_id)
+        batch.persist()                     # its keys are read before it is enriched
+        try:
+            tables = dim_tables(batch) if callable(dim_tables) else dim_tables
+            now = as_of() if callable(as_of) else as_of
+            wide = orders.enrich(batch, orders.order_wide_specs(tables, now))
+            wide = wide.withColumn("sku_name", F.coalesce(F.col("dim_sku_name"), F.col("sku_name")))
+            write_batch(to_topic(wide.select(*S.ORDER_WIDE_COLUMNS), S.TOPIC_DWM_ORDER_WIDE), cfg,
+                        "order_wide", batch_id)
+        finally:
+            batch.unpersist()
 
     return run_job(spark, "order_wide", src, transform, {"out": write}, trigger, state_root)
 
 
+# The dimensions that grow with the data, and the fact column that names their rows.
+LOOKED_UP = {S.DIM_USER_INFO: "user_id", S.DIM_SKU_INFO: "sku_id"}
+
+
 def dimension_reader(store: DimensionStore,
                      names: tuple[str, ...] = (S.DIM_USER_INFO, S.DIM_BASE_PROVINCE,
                                                S.DIM_SKU_INFO, S.DIM_SPU_INFO,
                                                S.DIM_BASE_TRADEMARK, S.DIM_BASE_CATEGORY3)):
-    """A ``dim_tables`` callable reading the current content of the store."""
-    def read() -> dict[str, DataFrame]:
-        out = {n: store.read(n) for n in names}
+    """A ``dim_tables`` callable over the current content of the store: of users and skus
+    the rows that the batch names, from their buckets alone; the small tables whole."""
+    def read(batch: DataFrame) -> dict[str, DataFrame]:
+        out = {n: store.lookup(n, batch.select(LOOKED_UP[n])) if n in LOOKED_UP else store.read(n)
+               for n in names}
         missing = [n for n, d in out.items() if d is None]
         if missing:
             raise ValueError(f"dimension tables missing: {missing}")
