@@ -134,13 +134,14 @@ def _orders(spark, sf):
 
 def _dims(spark, sf) -> dict[str, DataFrame]:
     customer, nation, part = (table(spark, sf, t) for t in ("customer", "nation", "part"))
+    categories = P.category3_ids(part)
     return {
         S.DIM_USER_INFO: P.dim_user_info(customer),
         S.DIM_BASE_PROVINCE: P.dim_base_province(nation),
-        S.DIM_SKU_INFO: P.dim_sku_info(part),
+        S.DIM_SKU_INFO: P.dim_sku_info(part, categories),
         S.DIM_SPU_INFO: P.dim_spu_info(part),
         S.DIM_BASE_TRADEMARK: P.dim_base_trademark(part),
-        S.DIM_BASE_CATEGORY3: P.dim_base_category3(part),
+        S.DIM_BASE_CATEGORY3: P.dim_base_category3(categories),
     }
 
 

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.functions.scalar import DATETIME_FMT
+from tidemark.operators.joins import broadcast_if_small
+from tidemark.operators.ranking import dense_ranks
 
 
 def epoch_ms(ts: Column | str) -> Column:
@@ -299,18 +301,20 @@ def _brand_number() -> Column:
     return F.regexp_extract("p_brand", r"([0-9]+)", 1)
 
 
-def _category3_id() -> Column:
-    """A category number from the product type's name: no ranking over all types."""
-    return F.conv(F.substring(F.md5(F.col("p_type").cast("binary")), 1, 8), 16, 10)
+def category3_ids(part: DataFrame) -> DataFrame:
+    """``(p_type, CATEGORY3_ID)``: a category number per product type, its dense rank."""
+    ranks = dense_ranks(part, "p_type", "CATEGORY3_ID")
+    return ranks.withColumn("CATEGORY3_ID", F.col("CATEGORY3_ID").cast("string"))
 
 
-def dim_sku_info(part: DataFrame) -> DataFrame:
-    return part.select(
+def dim_sku_info(part: DataFrame, categories: DataFrame) -> DataFrame:
+    """``categories`` from ``category3_ids``."""
+    return part.join(broadcast_if_small(categories), "p_type", "left").select(
         F.col("p_partkey").cast("string").alias("ID"),
         F.col("p_name").alias("SKU_NAME"),
         F.pmod(F.col("p_partkey"), F.lit(100)).cast("string").alias("SPU_ID"),
         _brand_number().alias("TM_ID"),
-        _category3_id().alias("CATEGORY3_ID"))
+        "CATEGORY3_ID")
 
 
 def dim_spu_info(part: DataFrame) -> DataFrame:
@@ -324,5 +328,5 @@ def dim_base_trademark(part: DataFrame) -> DataFrame:
             .distinct())
 
 
-def dim_base_category3(part: DataFrame) -> DataFrame:
-    return part.select(_category3_id().alias("ID"), F.col("p_type").alias("NAME")).distinct()
+def dim_base_category3(categories: DataFrame) -> DataFrame:
+    return categories.select(F.col("CATEGORY3_ID").alias("ID"), F.col("p_type").alias("NAME"))
