@@ -51,7 +51,8 @@ def _plainly(name: str) -> str:
     return rf'{_WS}\{{(?:(?!{_WS}"{name}"){_MEMBER},)*+{_WS}"{name}"{_WS}:{_WS}'
 
 
-def _once(text: Column, name: str) -> Column:
+def once(text: Column, name: str) -> Column:
+    """Whether a text holds ``name`` in quotes exactly once."""
     key = F.lit(f'"{name}"')
     find = lambda start: F.call_function("locate", key, text, start)
     first = find(F.lit(1))
@@ -62,7 +63,7 @@ def member(text: Column, name: str) -> Column:
     """The text of the value of an object's member; null where it has none."""
     plain = ~text.contains("\\")
     found = F.when(plain & ~text.contains(f'"{name}"'), F.lit("")).when(
-        plain & _once(text, name), F.regexp_extract(text, f"(?s)^{_plainly(name)}({_VALUE})", 1)
+        plain & once(text, name), F.regexp_extract(text, f"(?s)^{_plainly(name)}({_VALUE})", 1)
     ).otherwise(F.regexp_extract(text, f"(?s)^{_before(name)}({_VALUE})", 1))
     return F.when(found != "", found)
 
@@ -93,7 +94,7 @@ def with_member(text: Column, path: tuple[str, ...], value: Column) -> Column:
     the objects that lead there stays as it is."""
     plain = ~text.contains("\\")
     for name in path:
-        plain = plain & _once(text, name)
+        plain = plain & once(text, name)
     before = F.regexp_extract(F.when(plain, text), f"(?s)^{''.join(map(_plainly, path))}", 0)
 
     def put(found: Column) -> Column:
@@ -123,8 +124,3 @@ def _with_last(text: Column, path: tuple[str, ...], value: Column) -> Column:
 def _literal(value: Column) -> Column:
     """``value`` as the replacement of a pattern: no group references in it."""
     return F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
-
-
-def object_of(parts: Column) -> Column:
-    """An object's text from an array of member texts."""
-    return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))

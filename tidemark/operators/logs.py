@@ -125,27 +125,62 @@ def display_records(log: DataFrame) -> DataFrame:
     the element, ``ts``, ``page_id`` and all members of ``common`` (the rewritten
     ``is_new`` included), each as it was written; later ones replace earlier ones
     of the same name.  An element that is no object adds nothing of its own."""
-    own = F.col("_common")
-    named = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
-    common = jt.members(jt.with_member(F.when(own.startswith("{"), own).otherwise("{}"), ("is_new",),
-                                       _quoted(F.coalesce("common.is_new", F.lit("0")))))
-    # What every element of a record gets is made once per record.
-    parts = (log.select(jt.member(F.col(RECORD), "common").alias("_common"), "common",
-                        named("ts", jt.member(F.col(RECORD), "ts")).alias("_ts"),
-                        named("page_id", jt.member(jt.member(F.col(RECORD), "page"), "page_id"))
-                        .alias("_page"), jt.member(F.col(RECORD), "displays").alias("_displays"))
-             .select("_ts", "_page", "_displays", common.alias("_common"))
-             .select("_displays", "_common", "_ts", "_page",
-                     F.transform("_common", jt.key_of).alias("_keys")))
-    before = [F.when(F.col(c).isNotNull() & ~F.array_contains("_keys", name), F.col(c))
+    # Spark's parser writes a value asked for as text in one way of many; where that is
+    # how the record has it, the value need not be searched for.
+    record = F.col("_record")
+    read = _bound(log, {
+        "_raw": F.from_json(RECORD, "common string, displays array<string>, ts string"),
+        "_record": F.col(RECORD), "_flag": F.coalesce("common.is_new", F.lit("0")),
+        "_page_id": F.col("page.page_id"), "_typed": F.col("displays")})
+    own = F.coalesce(_written("common", F.col("_raw.common"), record), jt.member(record, "common"))
+    list_text = F.concat(F.lit("["), F.array_join("_raw.displays", ","), F.lit("]"))
+    elements = F.when(_written("displays", list_text, record).isNotNull(), F.col("_raw.displays")).otherwise(
+        jt.elements(jt.member(record, "displays")))
+    found = _bound(read, {
+        "_own": own, "_flag": F.col("_flag"),
+        "_ts": F.coalesce(_written("ts", F.col("_raw.ts"), record), jt.member(record, "ts")),
+        "_page": F.coalesce(_written("page_id", _quoted(F.col("_page_id")), record),
+                            jt.member(jt.member(record, "page"), "page_id")),
+        "_elements": F.arrays_zip(elements.alias("text"), F.col("_typed").alias("typed"))})
+    common = _bound(found, {
+        "_common": jt.with_member(F.when(F.col("_own").startswith("{"), F.col("_own")).otherwise("{}"),
+                                  ("is_new",), _quoted(F.col("_flag"))),
+        "_ts": F.concat(F.lit('"ts":'), "_ts"), "_page": F.concat(F.lit('"page_id":'), "_page"),
+        "_elements": F.col("_elements")})
+    keys = F.json_object_keys("_common")
+    before = [F.when(~F.array_contains(keys, name), F.col(c))
               for c, name in (("_ts", "ts"), ("_page", "page_id"))]
-    taken = F.concat("_keys", F.array_compact(F.array(*[
-        F.when(b.isNotNull(), F.lit(name)) for b, name in zip(before, ("ts", "page_id"))])))
-    each = parts.select(F.explode(jt.elements(F.col("_displays"))).alias("_d"), taken.alias("_taken"),
-                        F.concat(F.array_compact(F.array(*before)), "_common").alias("_shared"))
-    left = F.filter(jt.members(F.col("_d")),
-                    lambda m: ~F.array_contains(F.col("_taken"), jt.key_of(m)))
-    return each.select(jt.object_of(F.concat(left, "_shared")).alias("value"))
+    names = [F.when(b.isNotNull(), F.lit(name)) for b, name in zip(before, ("ts", "page_id"))]
+    # What every element of a record gets is made once per record.
+    shared = _bound(common, {
+        "_shared": F.concat_ws(",", *before, _inside(F.col("_common"))),
+        "_taken": F.concat(keys, F.array_compact(F.array(*names))), "_elements": F.col("_elements")})
+    each = _bound(shared.select(F.explode("_elements").alias("_e"), "_shared", "_taken"), {
+        "_d": F.when(F.col("_e.typed").isNotNull(), F.col("_e.text")).otherwise("{}"),
+        "_shared": F.col("_shared"), "_taken": F.col("_taken")})
+    left = F.array_join(F.filter(jt.members(F.col("_d")), lambda m: ~F.array_contains(
+        F.col("_taken"), jt.key_of(m))), ",")
+    clash = F.arrays_overlap(F.json_object_keys("_d"), "_taken")
+    mine = F.when(clash, left).otherwise(_inside(F.col("_d")))
+    return each.select(F.concat(F.lit("{"), F.concat_ws(
+        ",", F.when(F.trim(mine) != "", mine), "_shared"), F.lit("}")).alias("value"))
+
+
+def _inside(text: Column) -> Column:
+    """The members of an object's text, as one text."""
+    return F.substr(text, F.lit(2), F.length(text) - 2)
+
+
+def _written(name: str, value: Column, text: Column) -> Column:
+    """``value`` where ``text`` has just that behind its only ``name``; else null."""
+    there = text.contains(F.concat(F.lit(f'"{name}":'), value)) & jt.once(text, name)
+    return F.when(there & ~text.contains("\\"), value)
+
+
+def _bound(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df.select`` of the columns behind a one-element generator: they are computed once
+    per row, and not again wherever later columns refer to them."""
+    return df.select(F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 # A1 / A2 / A3 / P13 --------------------------------------------------------------
