@@ -76,3 +76,10 @@ def test_order_wide_has_no_single_task_and_few_shuffles(at_scale):
     text = _plan(at_scale, "order_wide")
     assert "SinglePartition" not in text
     assert len(re.findall(r"Exchange hashpartitioning", text)) <= 10, text
+
+
+def test_inputs_are_spread_only_where_they_have_fewer_partitions_than_cores(spark):
+    from tidemark.sources.tables import spread
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many) is many

@@ -14,12 +14,16 @@ from tidemark.operators import cdc, dims, logs, orders
 from tidemark.plans import config as C
 from tidemark.sinks.topics import as_value
 from tidemark.sources import projections as P
-from tidemark.sources.tables import table
+from tidemark.sources.tables import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # ---- log path ------------------------------------------------------------------
+def _events(spark, sf):
+    return spread(table(spark, sf, "events"))
+
+
 def _page_log(spark, sf):
     return P.page_log(table(spark, sf, "events"))
 
@@ -29,7 +33,7 @@ def _flagged(text: DataFrame) -> DataFrame:
 
 
 def _flagged_log(spark, sf):
-    return _flagged(P.app_log_text(table(spark, sf, "events")))
+    return _flagged(P.app_log_text(_events(spark, sf)))
 
 
 def daily_unique_visitor(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,7 +170,7 @@ def dim_sku_flat(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_log_by_day(spark: SparkSession, sf: str) -> DataFrame:
     from tidemark.functions import scalar as fn
-    text = P.app_log_text(table(spark, sf, "events"))
+    text = P.app_log_text(_events(spark, sf))
     return (text.groupBy(fn.landing_day("value").alias("dt"))
             .agg(F.count(F.lit(1)).alias("n_records")))
 
@@ -191,7 +195,7 @@ def user_age(spark: SparkSession, sf: str) -> DataFrame:
 def new_visitor_no_id(spark: SparkSession, sf: str) -> DataFrame:
     """First visits of records without an id, some of which came twice: records
     and new-visitor flags per visitor and time."""
-    log = _flagged(P.open_log_text(table(spark, sf, "events")))
+    log = _flagged(P.open_log_text(_events(spark, sf)))
     return log.groupBy(F.col("common.mid").alias("mid"), "ts").agg(
         F.count("*").alias("n_records"),
         F.sum((F.col("common.is_new") == "1").cast("long")).alias("n_new"))
@@ -199,7 +203,7 @@ def new_visitor_no_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """What the detail layer writes: whole records, undeclared fields included."""
-    log = _flagged(P.open_log_text(table(spark, sf, "events")))
+    log = _flagged(P.open_log_text(_events(spark, sf)))
     text = as_value(log)
     r = F.from_json("value", "common struct<mid string, uid string, is_new string, "
                     "ar struct<code string>>, page struct<item string>, err struct<no string>, "
@@ -212,7 +216,7 @@ def log_whole_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def display_whole_records(spark: SparkSession, sf: str) -> DataFrame:
     """Display records with all fields of the element and of ``common``."""
-    log = logs.parse_app_log(P.open_log_text(table(spark, sf, "events")))
+    log = logs.parse_app_log(P.open_log_text(_events(spark, sf)))
     text = logs.display_records(log.where("start is null and displays is not null"))
     r = F.from_json("value", "item string, pos string, display_type string, `order` string, "
                     "ts string, page_id string, mid string, uid string, ar struct<code string>")
@@ -223,12 +227,12 @@ def display_whole_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_odd_records(spark: SparkSession, sf: str) -> DataFrame:
     """Whole records, as text, of legal JSON that parsing and writing would change."""
-    return as_value(_flagged(P.odd_log_text(table(spark, sf, "events"))))
+    return as_value(_flagged(P.odd_log_text(_events(spark, sf))))
 
 
 def display_odd_records(spark: SparkSession, sf: str) -> DataFrame:
     """Display records, as text, of the same records."""
-    log = _flagged(P.odd_log_text(table(spark, sf, "events")))
+    log = _flagged(P.odd_log_text(_events(spark, sf)))
     return logs.display_records(log.where("start is null and displays is not null"))
 
 

@@ -14,3 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     predicate pushdown reach the scan through Catalyst; the scan decides the
     partitions."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` for work that is heavy per row: over all cores, where its input has fewer
+    partitions than the cluster has cores (few row groups make few scan tasks, however
+    many cores there are).  An input with enough partitions stays as it is, so a large
+    table is never shuffled for this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
