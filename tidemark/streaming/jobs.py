@@ -233,7 +233,8 @@ def order_wide_job(spark: SparkSession, cfg: TopicConfig,
         return SP.order_interval_join_stream(info, detail, lower_ms, upper_ms, allowance_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()                     # its keys are read before it is enriched
+        if callable(dim_tables):
+            batch.persist()                 # its keys are read before it is enriched
         try:
             tables = dim_tables(batch) if callable(dim_tables) else dim_tables
             now = as_of() if callable(as_of) else as_of
