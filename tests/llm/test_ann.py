@@ -120,3 +120,13 @@ def test_near_empty_lists_give_all_neighbours(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = ann.nearest(docs, F.col("vec_id") >= 1200, 20, 12).groupBy("query_id").count().collect()
     assert len(got) == 8 and all(g["count"] == 20 for g in got)
+
+
+def test_scores_of_double_vectors_are_exact(spark):
+    r = np.random.default_rng(9)
+    v = r.normal(size=(300, 16)) + 1e-9 * r.normal(size=(300, 16))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                      F.col("vec_id") % 20 == 0).collect()
+    assert len(got) == 15 * 20
+    assert max(abs(x.score - float(v[x.query_id] @ v[x.vec_id])) for x in got) < 1e-13

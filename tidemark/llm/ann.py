@@ -296,14 +296,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST,
                 [pa.array([n for f in found for n in f], pa.int32()), b.column(0).take(row),
                  b.column(1).take(row)], ["list", "uid", "v"])
 
-    schema = "list int, uid long, v array<float>"
-    posted = staged(unique.select("uid", F.col("v").cast("array<float>")).mapInArrow(
+    # Scores are those of the vectors as they came: doubles stay doubles.
+    number = "float" if rows.schema["v"].dataType.elementType.typeName() == "float" else "double"
+    schema = f"list int, uid long, v array<{number}>"
+    posted = staged(unique.select("uid", F.col("v").cast(f"array<{number}>")).mapInArrow(
         post, schema + ", once boolean"), "ann-lists")
     # A vector counts in one of its lists, so lists together hold no fewer than this.
     counted = posted.groupBy("list").agg(
         F.count("*"), F.sum(F.col("once").cast("int"))).collect()
     held = spark.sparkContext.broadcast({r[0]: r[2] for r in counted})
-    probing = staged(queries.select("uid", F.col("v").cast("array<float>")).mapInArrow(
+    probing = staged(queries.select("uid", F.col("v").cast(f"array<{number}>")).mapInArrow(
         probe, schema), "ann-probes")
     # Lists and their queries are dealt into groups of bounded size.  The plan
     # has one row per list, MAX_LISTS at most, so it may be broadcast.
