@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import math
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tests.conftest import SF01
+from tidemark.llm import characters as ch
 from tidemark.llm import language, quality
+from tests.llm.conftest import DOC_SCHEMA, doc, sentence_text
 from tidemark.llm.common import documents, held_out
 from tidemark.llm.queries import QUERIES
 from tidemark.sources.tables import table
@@ -86,3 +91,95 @@ def test_family_first_then_pairs(spark):
     model = language.fit(documents(spark, SF01))
     assert model.of_family == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
     assert set(model.pairs) == {("de", "en"), ("es", "fr")}
+
+
+def test_hot_rows_do_not_fill_the_fits(spark):
+    """An id and a row on most rows: the samples keep to their bounds and to distinct rows."""
+    same = doc(1, sentence_text(1))
+    rows = [same] * 3000 + [doc(1, sentence_text(s)) for s in range(300)]
+    rows += [doc(i, sentence_text(i + 1000), "de" if i % 2 else "en") for i in range(2, 200)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(4)
+    assert not docs.where(held_out(F.col("doc_id"))).where("doc_id = 1").count()
+    labels = spark.createDataFrame([(1, 1), (1, 1)] + [(i, i % 2) for i in range(2, 200)],
+                                   "doc_id long, quality int")
+    all_rows = quality._sample(docs, labels, 10_000)
+    learned = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(2, 200))
+    assert all_rows.count() == 300 + learned        # text 1 is one of the 300
+    assert 20 <= quality._sample(docs, labels, 100).count() <= 150
+    assert quality.fit(docs, labels, 100) is not None
+    whole = language._sample(docs, 10_000)
+    assert whole.count() == whole.distinct().count() == 300 + learned
+    few = {r["lang"]: r["count"] for r in language._sample(docs, 60).groupBy("lang").count().collect()}
+    assert set(few) == {"de", "en"} and all(12 <= n <= 55 for n in few.values())
+
+
+def plain_profile(text):
+    """The same profile gram by gram."""
+    letters, gap = [], False
+    for c in text.lower():
+        if ch.class_table()[ord(c)] <= ch.LETTER:
+            letters.append(ord(c))
+            gap = True
+        elif gap or not letters:
+            letters.append(32)
+            gap = False
+    if text and not letters:
+        letters = [32]
+    out = [0.0] * language.BINS
+    for n in language.ORDERS:
+        grams = [letters[i:i + n] for i in range(len(letters) - n + 1)]
+        for gram in grams:
+            h = n
+            for k, code in enumerate(gram):
+                h = ((h ^ code) * int(language._MIX[k])) % 2 ** 32
+                h ^= h >> 15
+            out[h % language.BINS] += 1 / (len(grams) * len(language.ORDERS))
+    return [v ** 0.5 for v in out]
+
+
+def test_language_against_brute_force(spark):
+    """Every prediction over the table, from profiles made gram by gram and from
+    all machines in turn."""
+    docs = documents(spark, SF01).where("text is not null")
+    model = language.fit(docs)
+    squash = lambda m: 1 / (1 + math.exp(-2 * m))
+    rows = docs.select("text", language.predict("text", model).alias("p")).orderBy(
+        F.xxhash64("text")).limit(120).collect()
+    for text, p in rows:
+        if not language.has_letter(text):
+            assert tuple(p) == ("und", 0.0)
+            continue
+        x = np.array(plain_profile(text) + [1.0])
+        by_family = {f: float(w @ x) for f, w in zip(model.families, model.family_weights)}
+        family = max(by_family, key=by_family.get)
+        rest = max(m for f, m in by_family.items() if f != family)
+        wins = {a: [float(model.pairs[k] @ x) * (1 if a == k[0] else -1)
+                    for k in model.pairs if a in k] for a in model.of_family[family]}
+        lang = max(wins, key=lambda a: sum(m >= 0 for m in wins[a]))
+        assert p.lang == lang
+        assert abs(p.score - squash(by_family[family] - rest) * squash(min(wins[lang]))) < 1e-4
+
+
+def test_svm_separates_what_can_be_separated():
+    r = np.random.default_rng(3)
+    x = r.normal(size=(300, 5)).astype(np.float32)
+    side = x @ np.array([1.0, -2.0, 0.5, 0, 0]) > 0.7
+    x[side] += [0.3, -0.6, 0.15, 0, 0]
+    w = language.train_svm(x, np.arange(300), side)
+    assert ((x @ w[:-1] + w[-1] > 0) == side).mean() >= 0.97
+
+
+def test_families_of_unknown_languages(spark):
+    rows = documents(spark, SF01).where("text is not null").select("lang", "text").collect()
+    mean = {v: np.mean([language.profile(r.text) for r in rows if r.lang == v], axis=0)
+            for v in ("de", "en", "es", "fr")}
+    as_is = language.families_of(mean)
+    assert as_is == {"de": "germanic", "en": "germanic", "es": "romance", "fr": "romance"}
+    # The same texts under codes that no table knows.
+    new = language.families_of({f"x{v}": m for v, m in mean.items()})
+    assert new["xde"] == new["xen"] != new["xes"] == new["xfr"]
+    mixed = language.families_of({"de": mean["de"], "xen": mean["en"], "es": mean["es"],
+                                  "xfr": mean["fr"]})
+    assert mixed["xfr"] == "romance" and len(set(mixed.values())) == 2
+    assert language.families_of({"xx": mean["en"]}) == {"xx": "like xx"}
+    assert language.families_of({}) == {}

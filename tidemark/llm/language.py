@@ -2,7 +2,8 @@
 
 Linear support vector machines over hashed character n-grams first choose the
 language family, one against the rest; within the family, one machine per
-pair of languages votes for the language.
+pair of languages votes for the language.  Languages of no known family join
+the family, known or new, whose mean profiles are most like theirs.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from tidemark.llm import characters as ch
 from tidemark.llm.common import held_out, staged
 
 MAX_TRAIN_ROWS = 6_000      # the fit's bound, shared evenly by the languages
+MAX_LANGUAGES = 128         # that are learned: those of the most rows
 BINS = 4096
 ORDERS = (1, 2, 3)
 EPOCHS, STEP, SHRINK, SEED = 30, 64, 1e-4, 7
 UNDETERMINED = "und"
 
-# Families of common languages; any other language is its own family.
+# Families of common languages; those of others are learned.
 FAMILIES = {
     "germanic": ("da", "de", "en", "is", "nl", "no", "sv"),
     "romance": ("ca", "es", "fr", "it", "pt", "ro"),
@@ -120,32 +122,64 @@ def _squash(margin: float) -> float:
     return float(1 / (1 + np.exp(-2 * np.clip(margin, -30, 30))))
 
 
-def fit(docs: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Model | None:
-    """The model learned from ``docs(doc_id, text, lang)`` outside the held-out
-    fold, from ``bound`` rows at most (about as many of each language, chosen by
-    a hash of id and text); None where no row has both a language and a letter."""
+def families_of(centroids: dict[str, np.ndarray]) -> dict[str, str]:
+    """The family of each language: the known one or, for a language that has none,
+    by joining the two groups whose mean profiles are most alike (mean cosine over
+    their pairs), as long as they are no less so than languages are on average.  Two
+    known families are never joined; a new one is named after a language of it."""
+    langs = sorted(centroids)
+    unit = np.array([centroids[v] / np.linalg.norm(centroids[v]) for v in langs])
+    cosine = unit @ unit.T
+    groups: dict[str, list[int]] = {}
+    for i, v in enumerate(langs):
+        groups.setdefault(_FAMILY.get(v, f"like {v}"), []).append(i)
+    average = cosine[np.triu_indices(len(langs), 1)].mean() if len(langs) > 1 else 1.0
+    while True:
+        pairs = [(cosine[np.ix_(groups[a], groups[b])].mean(), a, b)
+                 for a, b in combinations(sorted(groups), 2)
+                 if a not in FAMILIES or b not in FAMILIES]
+        alike, a, b = max(pairs, default=(-1.0, "", ""), key=lambda p: p[0])
+        if alike < average:
+            return {langs[i]: name for name, own in groups.items() for i in own}
+        kept, gone = (b, a) if b in FAMILIES else (a, b)
+        groups[kept] += groups.pop(gone)
+
+
+def _sample(docs: DataFrame, bound: int) -> DataFrame | None:
+    """``(lang, text)``: distinct rows the fit may see, about ``bound`` at most and about
+    as many of each language, chosen by a hash of id and text; None where there are
+    none."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                       & ~held_out(F.col("doc_id"))).select(
-        "lang", "text", F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)),
-                               F.lit(1 << 30)).alias("at"))
-    counts = {r.lang: r.n for r in docs.where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-        .groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-        .limit(bound).collect()}
+        "lang", "text", F.xxhash64("doc_id", "text", F.lit(SEED)).alias("h"))
+    # Copies count once, so a hot row neither fills the sample nor thins out the others.
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).orderBy(
+        F.desc("n"), "lang").limit(min(bound, MAX_LANGUAGES)).collect()
     if not counts:
         return None
-    each = max(1, bound // len(counts))
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col("lang") == lang) & (F.col("at") < int(min(1, each / n) * (1 << 30))))
+    each, grain = max(1, bound // len(counts)), 1 << 30
+    shares = F.broadcast(docs.sparkSession.createDataFrame(
+        [(r.lang, int(min(1.0, each / max(1, r.n)) * grain)) for r in counts],
+        "lang string, below long"))         # MAX_LANGUAGES rows at most
+    return rows.join(shares, "lang").where(F.pmod("h", F.lit(grain)) < F.col("below")).groupBy(
+        "lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
+
 
+def fit(docs: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Model | None:
+    """The model learned from ``docs(doc_id, text, lang)`` outside the held-out
+    fold, from ``bound`` rows at most (see ``_sample``; equal rows are one, and only
+    the ``MAX_LANGUAGES`` languages of the most rows are learned); None where no row
+    has both a language and a letter."""
     @F.arrow_udf(ArrayType(FloatType()))
     def profiles(texts: pa.Array) -> pa.Array:
         return pa.array([profile(t) if has_letter(t) else None for t in texts.to_pylist()],
                         pa.list_(pa.float32()))
 
-    seen = staged(rows.where(keep).select("lang", profiles("text").alias("x")),
-                  "language-train").where("x is not null").toArrow()
+    rows = _sample(docs, bound)
+    if rows is None:
+        return None
+    seen = staged(rows.select("lang", profiles("text").alias("x")), "language-train") \
+        .where("x is not null").toArrow()
     if not seen.num_rows:
         return None
     lang = np.array(seen.column("lang").to_pylist())
@@ -156,9 +190,10 @@ def fit(docs: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Model | None:
         at += len(chunk)
     del seen
     langs = sorted(set(lang.tolist()))
-    family = np.array([_FAMILY.get(v, v) for v in lang])
+    family_of = families_of({v: x[lang == v].mean(0, dtype=np.float64) for v in langs})
+    family = np.array([family_of[v] for v in lang])
     families = sorted(set(family.tolist()))
-    of_family = {f: [v for v in langs if _FAMILY.get(v, v) == f] for f in families}
+    of_family = {f: [v for v in langs if family_of[v] == f] for f in families}
     model = Model(families, of_family, np.zeros((len(families), BINS + 1)))
     if len(families) > 1:
         model.family_weights = np.array([train_svm(x, np.arange(len(x)), family == f)

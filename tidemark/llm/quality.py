@@ -21,11 +21,12 @@ from tidemark.llm import characters as ch
 from tidemark.llm.common import held_out, staged
 from tidemark.llm.line_rules import SPACE, SYMBOLS, TERMINAL, repeated_words
 
-MAX_TRAIN_ROWS = 20_000     # the fit's bound: labelled rows, sampled by a hash of their id
+MAX_TRAIN_ROWS = 20_000     # the fit's bound: labelled rows, sampled by a hash of id and text
 FEATURES = 256
 BANDWIDTH = 3.0             # of the Gaussian kernel, in standard deviations
 RIDGE = 1.0
 FOLDS = 4
+SLACK = 1.1                 # a sample by hash may exceed its bound by so much
 TRAIN_PARTITIONS = 16       # partial normal equations that reach the driver, per fold
 SEED = 11
 THRESHOLD = 0.7
@@ -107,15 +108,30 @@ def _matrix(rows: pa.Array, width: int) -> np.ndarray:
     return rows.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _sample(labels: DataFrame, bound: int) -> DataFrame:
-    """Labelled rows the fit may see, about ``bound`` at most, chosen by a hash of the id."""
-    rows = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)
-                         & ~held_out(F.col("doc_id")))
-            .select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.col("quality").cast("double").alias("y")).distinct())
-    share = min(1.0, bound / max(1, rows.count()))
+def _below(bound: int, n: int, *of: str) -> Column:
+    """True for about ``bound`` of ``n`` rows at most, by a hash of the columns."""
     grain = 1 << 30
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(grain)) < int(share * grain))
+    return (F.pmod(F.xxhash64(*of, F.lit(SEED)), F.lit(grain))
+            < int(min(1.0, bound / max(1, n)) * grain))
+
+
+def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
+    """``(y, fold, x)`` of the rows the fit may see, about ``bound`` at most: first of
+    the labelled ids, then of their distinct texts, since an id may be on any number
+    of rows."""
+    ids = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)
+                        & ~held_out(F.col("doc_id")))
+           .select(F.col("doc_id").cast("long").alias("doc_id"),
+                   F.col("quality").cast("double").alias("y")).distinct())
+    some = F.broadcast(ids.where(_below(bound, ids.count(), "doc_id")))   # ``bound`` rows
+    found = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                   .join(some, "doc_id")
+                   .select("doc_id", "y", F.xxhash64("text").alias("h"),
+                           _statistics("text").alias("x")), "quality-train")
+    rows = found.groupBy("doc_id", "y", "h").agg(F.first("x").alias("x"))
+    n = found.select("doc_id", "y", "h").distinct().count()
+    return rows.where(_below(bound, n, "doc_id", "h") if n > bound * SLACK else F.lit(True)).select(
+        "y", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), "x")
 
 
 def fit(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Model | None:
@@ -123,12 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN_ROWS) -> Mode
     ``docs`` outside the held-out fold; None where no such row exists.
 
     Null ids and labels other than 0 and 1 teach nothing; a document under two
-    labels, or an id with two texts, counts once for each."""
-    sample = F.broadcast(_sample(labels, bound))    # bounded by ``bound``
-    rows = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                  .join(sample, "doc_id")
-                  .select("y", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"),
-                          _statistics("text").alias("x")), "quality-train")
+    labels, or an id with two texts, counts once for each; equal rows count once."""
+    rows = staged(_sample(docs, labels, bound), "quality-sample")
     width = len(statistics(""))
     moments = rows.agg(F.count("*"), *[f(F.col("x")[i]) for i in range(width)
                                        for f in (F.mean, F.stddev_pop)]).first()
