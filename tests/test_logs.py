@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators import logs
+from tidemark.sources.topics import from_records
 
 PAGE_SCHEMA = "event_id long, common struct<mid:string,is_new:string>, " \
               "page struct<page_id:string,last_page_id:string>, ts long"
@@ -92,8 +93,7 @@ def test_bounce_equals_whole_key_lead(spark, rows, within, variant):
 
 
 def _log_text(spark, records):
-    return spark.createDataFrame([(r if isinstance(r, str) else json.dumps(r),) for r in records],
-                                 "value string")
+    return from_records(spark, [r if isinstance(r, str) else json.dumps(r) for r in records])
 
 
 RAW = [

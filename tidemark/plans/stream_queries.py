@@ -22,7 +22,7 @@ from tidemark.sinks.dimensions import DimensionStore
 from tidemark.sinks.topics import write_topic
 from tidemark.sources import projections as P
 from tidemark.sources.tables import table
-from tidemark.sources.topics import TopicConfig, read_topic
+from tidemark.sources.topics import TopicConfig, from_records, read_topic
 from tidemark.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -47,7 +47,7 @@ def _finish(queries) -> None:
 
 
 def _closed(spark: SparkSession, text: DataFrame) -> DataFrame:
-    return text.unionByName(spark.createDataFrame([(CLOSING,)], "value string"))
+    return text.unionByName(from_records(spark, [CLOSING]))
 
 
 def _read(spark: SparkSession, cfg: TopicConfig, topic: str) -> DataFrame:
@@ -62,7 +62,7 @@ def _path(p: str) -> Column:
 def _log_detail(spark: SparkSession, sf: str) -> TopicConfig:
     cfg, base = _place(spark)
     text = _closed(spark, P.open_log_text(table(spark, sf, "events")).unionByName(
-        spark.createDataFrame([("{broken",)], "value string")))
+        from_records(spark, ["{broken"])))
     write_topic(text, cfg, S.TOPIC_ODS_LOG, 0)
     _finish(jobs.log_detail_job(spark, cfg, WINDOW_MS, trigger=ONCE, state_root=f"{base}/state"))
     return cfg
