@@ -138,7 +138,7 @@ def plain_profile(text):
 
 
 def test_language_against_brute_force(spark):
-    """Every prediction over the table, from profiles made gram by gram and from
+    """Predictions of 120 rows of the table, from profiles made gram by gram and from
     all machines in turn."""
     docs = documents(spark, SF01).where("text is not null")
     model = language.fit(docs)
