@@ -105,3 +105,21 @@ def test_long_texts(spark):
     got = df.select(jt.with_member(F.col("t"), ("common", "is_new"), F.lit('"0"')).alias("n")).collect()
     assert got[0].n == many.replace('"9"', '"0"') and got[1].n == text.replace('"9"', '"0"')
     assert got[2].n == "{" * 100_000
+
+
+def test_work_grows_with_the_depth_of_a_path(spark):
+    df = spark.createDataFrame([('{"k\\\\":1,"a":{"a":{"a":7}}}',)], "t string")
+
+    def found(depth):
+        value = F.col("t")
+        for _ in range(depth):
+            value = jt.member(value, "a")
+        return df.select(F.inline(F.array(F.struct(value.alias("v")))))
+
+    def patterns(depth):
+        return found(depth)._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract")
+
+    assert [found(d).first().v for d in (1, 2, 3)] == ['{"a":{"a":7}}', '{"a":7}', "7"]
+    assert patterns(3) == 3 * patterns(1)
+    keys = df.select(F.inline(F.array(F.struct(jt.key_of(F.col("t")).alias("k")))))
+    assert keys._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
