@@ -373,3 +373,22 @@ def test_layers_chain_through_topics(spark, env):
     want = logs.daily_unique_visitors(pages).select("mid", "event_id")
     assert sorted(got.collect()) == sorted(want.collect())
     assert want.count() > 0
+
+
+def test_order_wide_job_keeps_no_row_wise_state(spark, env):
+    """All orders and details pass through a batch join; late ones are counted."""
+    base, cfg = env
+    info, detail = P.order_info(table(spark, SF001, "orders")), P.order_detail(table(spark, SF001, "lineitem"))
+    ran = []
+    for i, part in enumerate((info, info.limit(3))):
+        write_topic(part, cfg, S.TOPIC_DWD_ORDER_INFO, i)
+        write_topic(detail if i == 0 else detail.limit(0), cfg, S.TOPIC_DWD_ORDER_DETAIL, i)
+        ran += jobs.order_wide_job(spark, cfg, Q._dims(spark, SF001), C.AS_OF, C.ORDER_BAND_MS,
+                                   C.ORDER_BAND_MS, trigger=ONCE, state_root=os.path.join(base, "state"))
+        _finish(ran)
+    assert not any(p["stateOperators"] for q in ran for p in q.recentProgress)
+    counts = read_topic(spark, cfg, "order_wide_metrics", streaming=False).select(
+        F.get_json_object("value", "$.rows_dropped").cast("int").alias("n"))
+    assert sum(r.n for r in counts.collect()) == 3
+    assert read_topic(spark, cfg, S.TOPIC_DWM_ORDER_WIDE, streaming=False).count() == \
+        Q.order_wide(spark, SF001).count()

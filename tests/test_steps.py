@@ -126,3 +126,52 @@ def test_key_sets_read_only_touched_buckets_and_fold(spark, scratch):
     state.write(10, after, {}, {}, spark.createDataFrame([], KEY_SCHEMA), now=1000)
     left = state._read(state.before(11)["seen"]).where("until is null").count()
     assert left == 100
+
+
+def orders_of(spark, infos, details):
+    """Orders ``(id, ts)`` and details ``(id, order, ts)`` as the topics' parsed records."""
+    from pyspark.sql import functions as F
+
+    from tidemark import schemas as S
+
+    def typed(rows, names, schema, more):
+        df = spark.createDataFrame(rows, names + ", create_ts long")
+        have = df.columns
+        return df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in schema], *more, "create_ts")
+    info = typed(infos, "id long", S.ORDER_INFO, [
+        F.lit(c).alias(c) for c in ("create_date", "create_hour")])
+    return info, typed(details, "id long, order_id long", S.ORDER_DETAIL, [])
+
+
+def test_wide_orders_hold_one_band(spark, scratch):
+    lower, upper, allowance = 30, 50, 20
+    r = random.Random(5)
+    infos = [(r.randrange(40), t) for t in range(0, 1000, 12)] + [(None, 500), (3, None)]
+    details = [(n, r.randrange(40), t) for n, t in enumerate(range(0, 1000, 3))] + [(-1, None, 5), (-2, 3, None)]
+    state, got, late, sizes = BatchState(spark, scratch), [], 0, []
+    # Details arrive a batch behind their orders; two records come long after their time.
+    cut = lambda rows, a, b: [x for x in rows if a <= (500 if x[-1] is None else x[-1]) < b]
+    parts = [(cut(infos, b * 100, b * 100 + 100), cut(details, b * 100 - 100, b * 100)) for b in range(11)]
+    parts[9][0].append((7, 10))
+    parts[9][1].append((-3, 7, 10))
+    for i, part in enumerate(parts):
+        for again in range(2 if i == 4 else 1):
+            before = state.before(i)
+            done = steps.wide_orders(state, before, *orders_of(spark, *part), lower, upper, allowance)
+            rows = sorted((x.detail_id, x.order_id) for x in done.out.select("detail_id", "order_id").collect())
+            done.finish(state, before, i)
+            done.release()
+            assert not again or rows == first
+            first = rows
+        got, late = got + rows, late + done.late
+        after = state.before(i + 1)
+        sizes.append([state.held(after, n, df.schema).agg({"create_ts": "min"}).first()[0]
+                      for n, df in zip(("info", "detail"), orders_of(spark, [], []))])
+    assert sorted(got) == sorted((d, o) for o, t in infos for d, p, u in details
+                                 if None not in (o, p, t, u) and o == p and t - lower <= u <= t + upper)
+    assert late == 2
+    top = max(t for o, t in infos if t is not None)
+    last = min(top, max(u for _, _, u in details if u is not None)) - allowance
+    assert sizes[-1][0] is None or sizes[-1][0] > last - upper
+    assert sizes[-1][1] > last - lower
