@@ -392,3 +392,22 @@ def test_order_wide_job_keeps_no_row_wise_state(spark, env):
     assert sum(r.n for r in counts.collect()) == 3
     assert read_topic(spark, cfg, S.TOPIC_DWM_ORDER_WIDE, streaming=False).count() == \
         Q.order_wide(spark, SF001).count()
+
+
+def test_log_detail_job_persists_no_frame(spark, env, monkeypatch):
+    """The records of a batch do not pass through the executors' storage memory."""
+    base, cfg = env
+    rows = [f'{{"common":{{"mid":"m{i % 3}"}},"page":{{"page_id":"p"}},"ts":{i}}}' for i in range(30)]
+    write_topic(spark.createDataFrame([(r,) for r in [*rows, "{broken"]], "value string"), cfg,
+                S.TOPIC_ODS_LOG, 0)
+    plans, write = [], jobs.write_batch
+
+    def watched(records, *args):
+        plans.append(records._jdf.queryExecution().toString())
+        write(records, *args)
+
+    monkeypatch.setattr(jobs, "write_batch", watched)
+    _finish(jobs.log_detail_job(spark, cfg, HOUR, trigger=ONCE, state_root=os.path.join(base, "state")))
+    assert plans and not any("InMemoryTableScan" in p for p in plans)
+    assert not os.path.exists(os.path.join(base, "state", "log_detail", "state", "work"))
+    assert read_topic(spark, cfg, S.TOPIC_ODS_LOG + "_quarantine", streaming=False).collect()[0].value == "{broken"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -71,6 +72,30 @@ def test_first_visits(spark, scratch, cuts):
     assert len(place) == 42
 
 
+def test_first_visits_are_staged_in_files(spark, scratch):
+    """A batch larger than the executors' memory: no persisted frame holds its records."""
+    rows = visits(200, 6, 2 * DAY)
+    rows += [(None, *r[1:]) for r in rows[:20]] * 2         # records without an id that come twice
+    plans, state = [], BatchState(spark, scratch)
+    # A batch that was broken off has left a table of its own.
+    state.stage("marked", spark.range(3)).count()
+
+    def step(*args):
+        done = steps.first_visits(*args, 3_600_000, 60_000)
+        plans.extend(df._jdf.queryExecution().toString()
+                     for df in (done.out, done.new_keys, *done.held.values()))
+        assert not done.cached
+        return done
+
+    got, _, _, _ = drive(spark, scratch, [rows, END], step, replay=True)
+    assert plans and not any("InMemoryTableScan" in p for p in plans)
+    want = logs.flag_new_visitors(spark.createDataFrame(rows, SCHEMA)).collect()
+    flags = sorted((str(r[0]), r[4], r[1].is_new) for r in got if r[0] != 10 ** 6)
+    assert flags == sorted((str(r.event_id), r.record, r.common.is_new) for r in want)
+    state.drop_staged()
+    assert not any(n == "work" for n in os.listdir(scratch))
+
+
 def test_late_records_of_closed_windows_are_dropped_and_counted(spark, scratch):
     def rec(i, mid, ts):
         return (i, (mid, None), ("p", None, 1.0), ts, "x")
